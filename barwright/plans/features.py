@@ -116,3 +116,18 @@ def modular_features(bars: DataFrame, lay: Layout = Layout(), min_rows: int = 50
     keep = (F.col("_h") == 0) & (~gated | all_present)
     cols = [F.when(gated, F.col(c)).alias(c) for c in MODULAR_COLUMNS]
     return df.filter(keep).select("ticker", "date", *base, *other, *cols)
+
+
+def with_indicators(bars: DataFrame, *levels, emas: dict[str, float] | None = None,
+                    macd: dict | None = None, lay: Layout = Layout(), src: str = "close") -> DataFrame:
+    """All own rows of ``bars`` with the given indicator levels (see ``indicators``),
+    optional exponential means ``emas`` (name -> span) and an optional MACD family
+    (``macd`` = keyword arguments of ``macd_family``)."""
+    df, max_rows = layout_bars(bars, lay, value=src)
+    df = ind.apply_levels(df, [{"_pobs": prev_observation(src, lay)}], *levels)
+    if emas:
+        df = ema_family(df, lay, src, F.col("_pobs"), dict(emas), max_rows)
+    if macd is not None:
+        df = macd_family(df, lay, max_rows, src=src, **macd)
+    internal = ["_n", "_i", "_h", "_blk", "_sb", "_pobs", "_pobs_blk", "_kafter"]
+    return df.filter(F.col("_h") == 0).drop(*internal)

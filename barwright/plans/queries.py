@@ -2,5 +2,6 @@
 
 from barwright.plans import catalog  # noqa: F401
 from barwright.plans import q_features  # noqa: F401
+from barwright.plans import q_indicators  # noqa: F401
 
 QUERIES = catalog.QUERIES
