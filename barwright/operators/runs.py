@@ -116,9 +116,10 @@ def progress(done: Column, total: Column, elapsed: Column) -> tuple[Column, Colu
 def format_time(seconds: Column) -> Column:
     """'x.xs' below a minute, 'x.xm' below an hour, else 'x.xh' (F8)."""
     s = seconds.cast("double")
-    return (F.when(s < 60, F.format_string("%.1fs", s))
-             .when(s < 3600, F.format_string("%.1fm", s / 60.0))
-             .otherwise(F.format_string("%.1fh", s / 3600.0)))
+    one = lambda x: F.round(x * 10.0, 0) / 10.0  # noqa: E731  round first: ties go away from zero
+    return (F.when(s < 60, F.format_string("%.1fs", one(s)))
+             .when(s < 3600, F.format_string("%.1fm", one(s / 60.0)))
+             .otherwise(F.format_string("%.1fh", one(s / 3600.0))))
 
 
 def format_progress(cur: Column, total: Column, elapsed: Column) -> Column:
@@ -137,3 +138,40 @@ def dashboard_summary(runs: DataFrame, last: int = 10) -> DataFrame:
                    F.count_if(F.col("status") == "failed").cast("long").alias("failed_runs"),
                    F.count_if(F.col("status") == "running").cast("long").alias("running_runs"),
                    F.when(n > 0, ok * 100.0 / n).otherwise(F.lit(0.0)).alias("success_rate"))
+
+
+def runs_from_events(events: DataFrame) -> DataFrame:
+    """A run log derived from an event table: one run per user, first event type -> mode,
+    last event type -> status ('error' failed, 'signup' still running, else completed),
+    high-value error events -> retries.  One aggregate per user (combined map-side)."""
+    order = F.struct("ts", "event_id")
+    first = F.min_by("event_type", order)
+    last = F.max_by("event_type", order)
+    # retries: error events of a high value (above 400)
+    n_err = F.count_if((F.col("event_type") == "error") & (F.col("value") > 400))
+    mode = (F.when(first.isin("view", "purchase"), F.lit("daily")).when(first == "click", F.lit("weekly"))
+             .when(first == "signup", F.lit("test")).otherwise(F.lit("manual")))
+    status = (F.when(last == "signup", F.lit("running")).when(last == "error", F.lit("failed"))
+               .otherwise(F.lit("completed")))
+    msg = F.when(last == "error", F.concat(F.lit("stage "), first, F.lit(" failed. code "),
+                                            F.count(F.lit(1)).cast("string"), F.lit("; see log")))
+    return events.groupBy(F.col("user_id").alias("run_id")).agg(
+        F.min("ts").alias("start_time"),
+        F.when(last == "signup", F.lit(None).cast("timestamp_ntz")).otherwise(F.max("ts")).alias("end_time"),
+        mode.alias("mode"), status.alias("status"), n_err.cast("int").alias("retry_count"),
+        msg.alias("error_message"))
+
+
+def checkpoints_from_events(events: DataFrame) -> DataFrame:
+    """Flat checkpoint rows (the exploded form of A20) from an event table: each event of a
+    run is a checkpoint; progress = events so far / events of the run."""
+    from pyspark.sql import Window
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    n = F.count(F.lit(1)).over(Window.partitionBy("user_id"))
+    k = F.row_number().over(w)
+    start = F.min("ts").over(Window.partitionBy("user_id"))
+    return events.select(F.col("user_id").alias("run_id"), F.col("event_type").alias("stage"),
+                         F.col("ts").alias("timestamp"), k.cast("long").alias("tickers_processed"),
+                         n.cast("long").alias("total_tickers"),
+                         (k * 100.0 / n).alias("progress_percent"),
+                         seconds_between(F.col("ts"), start).alias("elapsed_seconds"))
