@@ -7,5 +7,6 @@ from barwright.plans import q_history  # noqa: F401
 from barwright.plans import q_universe  # noqa: F401
 from barwright.plans import q_runs  # noqa: F401
 from barwright.plans import q_quality  # noqa: F401
+from barwright.plans import q_io  # noqa: F401
 
 QUERIES = catalog.QUERIES
