@@ -60,7 +60,7 @@ def html_constituents(pages: DataFrame, html: str = "html", url: str = "url") ->
     return out.filter((F.length("symbol") > 0) & (F.length("company") > 0))
 
 
-def test_summary(logs: DataFrame, text: str = "value", order: str | None = None) -> DataFrame:
+def parse_test_summary(logs: DataFrame, text: str = "value", order: str | None = None) -> DataFrame:
     """Counts from a test-run summary text (S13): passed / failed / skipped and failed test
     names; when several logs are given the last by ``order`` wins."""
     t = F.col(text)
