@@ -125,7 +125,10 @@ def store_metadata(spark, sf):
 
 @register("table_quality", f"""WITH b AS ({BARS_ORDERS})
 SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT ticker) AS BIGINT) AS tickers,
-  round(0.0, 6) AS null_pct, CAST(0 AS BIGINT) AS duplicate_rows FROM b""")
+  round(CASE WHEN count(*) > 0 THEN ((count(*) - count(ticker)) + (count(*) - count(date)) + (count(*) - count(open))
+        + (count(*) - count(high)) + (count(*) - count(low)) + (count(*) - count(close)) + (count(*) - count(volume)))
+        * 100.0 / (count(*) * 7) END, 6) AS null_pct,
+  CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM b) d) AS BIGINT) AS duplicate_rows FROM b""")
 def table_quality(spark, sf):
     """Availability and quality of the daily bar table (Q3)."""
     return r6(rp.table_quality(ds.daily_orders(spark, sf)))
