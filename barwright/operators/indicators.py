@@ -43,8 +43,26 @@ def rolling(agg, lay: Layout, src: str | Column, n: int) -> Column:
     return full_window(agg(c).over(w), F.count(c).over(w), n)
 
 
+PREFIX_MIN_ROWS = 30   # frames at least this long use prefix sums
+PREFIX_DECIMAL = "decimal(38,12)"
+
+
 def sma(lay: Layout, src: str, n: int, out: str) -> Levels:
-    return [{out: rolling(F.avg, lay, src, n)}]
+    """n-row mean.  Long frames: difference of exact decimal running sums (O(1) per row
+    instead of re-aggregating the frame for every row); short frames: the frame itself."""
+    if n < PREFIX_MIN_ROWS:
+        return [{out: rolling(F.avg, lay, src, n)}]
+    if n - 1 > lay.halo_rows:
+        raise ValueError(f"look-back {n - 1} exceeds the halo of {lay.halo_rows} rows")
+    c = F.col(src)
+    run = lay.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    s, k = f"_t_s_{out}", f"_t_k_{out}"
+    lvl1 = {s: F.sum(F.coalesce(c.cast(PREFIX_DECIMAL), F.lit(0).cast(PREFIX_DECIMAL))).over(run),
+            k: F.count(c).over(run)}
+    prev_s = F.coalesce(F.lag(F.col(s), n).over(lay.window()), F.lit(0).cast(PREFIX_DECIMAL))
+    prev_k = F.coalesce(F.lag(F.col(k), n).over(lay.window()), F.lit(0))
+    mean = (F.col(s) - prev_s).cast("double") / F.lit(float(n))
+    return [lvl1, {out: F.when(F.col(k) - prev_k == n, mean)}]
 
 
 def lag(lay: Layout, src: str, n: int = 1) -> Column:

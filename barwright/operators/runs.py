@@ -164,14 +164,17 @@ def runs_from_events(events: DataFrame) -> DataFrame:
 
 def checkpoints_from_events(events: DataFrame) -> DataFrame:
     """Flat checkpoint rows (the exploded form of A20) from an event table: each event of a
-    run is a checkpoint; progress = events so far / events of the run."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    n = F.count(F.lit(1)).over(Window.partitionBy("user_id"))
-    k = F.row_number().over(w)
-    start = F.min("ts").over(Window.partitionBy("user_id"))
-    return events.select(F.col("user_id").alias("run_id"), F.col("event_type").alias("stage"),
-                         F.col("ts").alias("timestamp"), k.cast("long").alias("tickers_processed"),
-                         n.cast("long").alias("total_tickers"),
-                         (k * 100.0 / n).alias("progress_percent"),
-                         seconds_between(F.col("ts"), start).alias("elapsed_seconds"))
+    run is a checkpoint; progress = events so far / events of the run.
+
+    Positions come from the range-partitioned index, so a run holding a large share of
+    the events is numbered by many tasks; run starts are a per-run aggregate."""
+    from barwright.operators.series import index_series_ranged
+    e = events.select("user_id", "event_type", "ts", "event_id")
+    idx = index_series_ranged(e, "user_id", "ts", ["event_id"])
+    start = events.groupBy("user_id").agg(F.min("ts").alias("_start"))
+    k = F.col("_i") + 1
+    return idx.join(start, "user_id").select(
+        F.col("user_id").alias("run_id"), F.col("event_type").alias("stage"), F.col("ts").alias("timestamp"),
+        k.cast("long").alias("tickers_processed"), F.col("_n").cast("long").alias("total_tickers"),
+        (k * 100.0 / F.col("_n")).alias("progress_percent"),
+        seconds_between(F.col("ts"), F.col("_start")).alias("elapsed_seconds"))

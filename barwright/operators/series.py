@@ -27,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pyspark import StorageLevel
+from barwright.session import keep
 
 BUCKET_DAYS = 64      # rows per (ticker, bucket) <= 64 daily bars, <= 1536 hourly bars
 BLOCK_ROWS = 1024     # rows per window partition (plus the halo)
@@ -77,6 +77,35 @@ def index_series(df: DataFrame, key: str = "ticker", order: str = "date",
              .drop("_off", "_tb"))
 
 
+def index_series_ranged(df: DataFrame, key: str, order: str, tiebreak: list[str] | None = None,
+                        parts: int | None = None) -> DataFrame:
+    """``_i`` / ``_n`` like ``index_series`` for rows of any density (raw events, ticks).
+
+    ``repartitionByRange(key, order)`` picks partition bounds from a sample, so one hot key
+    spans as many partitions as its share of rows needs.  The range-partitioned rows are
+    checkpointed (partition ids must not change between the count and the numbering),
+    rows are counted per (key, partition) - at most ``parts`` rows per key - and the
+    running sum of those counts offsets a ``row_number`` inside each (key, partition).
+    """
+    from barwright.session import materialize
+    spark = df.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    tb = [F.col(c) for c in (tiebreak or [])]
+    r = materialize(df.filter(F.col(key).isNotNull())
+                      .repartitionByRange(parts, F.col(key), F.col(order), *tb)
+                      .withColumn("_p", F.spark_partition_id()))
+    counts = r.groupBy(key, "_p").agg(F.count(F.lit(1)).alias("_cnt"))
+    w = Window.partitionBy(key).orderBy("_p")
+    offsets = counts.select(
+        key, "_p",
+        (F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_cnt")).alias("_off"),
+        F.sum("_cnt").over(Window.partitionBy(key)).alias("_n"))
+    rn = F.row_number().over(Window.partitionBy(key, "_p").orderBy(F.col(order), *tb))
+    return (r.join(offsets, [key, "_p"])
+             .withColumn("_i", (F.col("_off") + rn - 1).cast("long"))
+             .drop("_off", "_p"))
+
+
 def block_layout(indexed: DataFrame, layout: Layout = Layout()) -> DataFrame:
     """Explode the halo copies: ``_blk`` = block the row is computed in, ``_h`` = 1 for a copy."""
     k, h = layout.block_rows, layout.halo_rows
@@ -253,7 +282,7 @@ def ema_family(df: DataFrame, layout: Layout, value: str, prev: Column, spans: d
 
     # the local sums feed both the summary and the final columns: compute them once; the
     # cached scan keeps the (ticker, block) partitioning, so the carry join shuffles only carries
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = keep(df)
     # one summary row per sub-block (own rows only)
     subs_per_blk = layout.block_rows // SUB_ROWS
     fields = [F.col(f"_P_{n}").alias(f"P{j}") for j, n in enumerate(names)] + \

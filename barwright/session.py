@@ -62,3 +62,24 @@ def materialize(df):
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_PERSISTED: list = []
+
+
+def keep(df, level=None):
+    """Persist ``df`` (memory, spilling to disk) and remember it for ``release``.  Lost
+    blocks are recomputed from lineage, which starts at a reliable checkpoint."""
+    from pyspark import StorageLevel
+    out = df.persist(level or StorageLevel.MEMORY_AND_DISK)
+    _PERSISTED.append(out)
+    return out
+
+
+def release() -> int:
+    """Unpersist every intermediate kept by the operators; returns how many."""
+    n = 0
+    while _PERSISTED:
+        _PERSISTED.pop().unpersist()
+        n += 1
+    return n

@@ -122,3 +122,15 @@ def test_depth_filter_switch(spark):
     assert set(hist.ticker) == {"DEEP"} and len(hist) == 30
     literal = standard_features(sdf, tail=30, min_rows=500, depth_on="output")
     assert literal.count() == 0
+
+
+def test_ranged_index_hot_key(spark):
+    from barwright.operators.series import index_series_ranged
+    hot = spark.range(0, 50000).select(F.lit("HOT").alias("k"), (F.col("id") % 977).alias("t"), F.col("id").alias("tb"))
+    cold = spark.range(0, 30).select(F.lit("COLD").alias("k"), F.col("id").alias("t"), F.col("id").alias("tb"))
+    out = index_series_ranged(hot.unionByName(cold), "k", "t", ["tb"], parts=16)
+    pdf = out.toPandas()
+    for k, g in pdf.groupby("k"):
+        g = g.sort_values(["t", "tb"])
+        assert list(g["_i"]) == list(range(len(g)))
+        assert set(g["_n"]) == {len(g)}
