@@ -188,3 +188,13 @@ def stream_upsert(spark, sf):
                            T.StructField("volume", T.LongType()), T.StructField("dt", T.DateType())])
     upsert_stream(spark, landing, schema, hist_root, scratch_dir(spark, "stream-upsert-ckpt"), files_per_batch=16)
     return r6(io.read_history(spark, hist_root).select("ticker", "date", *BASE, "volume"))
+
+
+@register("landed_roundtrip", f"SELECT ticker, date, {sql_r6(BASE)}, volume FROM ({BARS_ORDERS}) b")
+def landed_roundtrip(spark, sf):
+    """Bars landed as CSV under dt=/ticker= (K3, one dt per month) and read back."""
+    root = scratch_dir(spark, "raw")
+    bars = ds.daily_orders(spark, sf).withColumn("dt", F.to_date(F.date_trunc("month", "date")))
+    io.write_partitioned(bars, root, ["dt", "ticker"], "csv", cluster=["date"], header="true")
+    back = io.read_landed(spark, root)
+    return r6(back.select("ticker", "date", *BASE, "volume"))

@@ -30,9 +30,10 @@ def read_landed(spark: SparkSession, root: str, dt: str | None = None,
                 schema: T.StructType = LANDED_SCHEMA) -> DataFrame:
     """Landed bars (S1): ticker = file stem, ``dt`` from the partition directory, ``_row`` =
     position in the file's split (a tiebreak for keep-last)."""
-    r = (spark.read.option("header", True).schema(schema).csv(root)
-              .withColumn("ticker", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1))
-              .withColumn("_row", F.monotonically_increasing_id()))
+    r = spark.read.option("header", True).schema(schema).csv(root)
+    if "ticker" not in r.columns:       # <TICKER>.csv files; a ticker= directory is used as is
+        r = r.withColumn("ticker", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1))
+    r = r.withColumn("ticker", F.col("ticker").cast("string")).withColumn("_row", F.monotonically_increasing_id())
     if dt is not None:
         r = r.filter(F.col("dt") == F.lit(dt).cast("date"))
     r = normalise_columns(r)
