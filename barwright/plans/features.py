@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from barwright.operators import indicators as ind
 from barwright.operators.bars import BASE_COLUMNS
+from barwright.session import keep as keep_df
 from barwright.session import materialize
 from barwright.operators.series import (
     Layout, block_layout, block_table, ema_family, index_series, prev_observation, series_max_rows,
@@ -33,6 +34,9 @@ def layout_bars(bars: DataFrame, lay: Layout = Layout(), bucket_days: int = 64,
                 value: str = "close", keep=None):
     """Index (lineage cut by a checkpoint) + halo blocks + the per-block side table,
     repartitioned on (ticker, block).  Returns (layout, longest series)."""
+    # the index reads its input twice (bucket counts and rows); the count side prunes
+    # columns, so the two scans would not share an exchange: keep the input once
+    bars = keep_df(bars)
     idx = materialize(index_series(bars, lay.key, lay.order, bucket_days))
     max_rows = int(idx.agg(F.max("_n")).collect()[0][0] or 0)
     df = block_layout(idx, lay)
