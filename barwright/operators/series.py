@@ -189,26 +189,46 @@ def with_sub_blocks(df: DataFrame, layout: Layout) -> DataFrame:
                                        ).otherwise(F.lit(-1)).cast("long"))
 
 
+SUPER_BLOCKS = 1024   # blocks per super-block in the two-level scans of the block table
+
+
 def block_table(layout_df: DataFrame, layout: Layout, value: str | None = None,
                 keep: Column | None = None) -> DataFrame:
     """Small per-(ticker, block) table: ``_pobs_blk`` = position of the last non-NULL ``value``
-    in all earlier blocks, ``_kafter`` = rows passing ``keep`` in all later blocks."""
+    in all earlier blocks, ``_kafter`` = rows passing ``keep`` in all later blocks.
+
+    Both are scans over the blocks of a ticker, done in two levels so no window holds more
+    than ``SUPER_BLOCKS`` rows or the super-blocks of one ticker (data / 1M rows)."""
     key = layout.key
     own = layout_df.filter(F.col("_h") == 0)
     aggs = []
     if value is not None:
         aggs.append(F.max(F.when(F.col(value).isNotNull(), F.col("_i"))).alias("_m"))
     if keep is not None:
-        aggs.append(F.sum(F.when(keep, 1).otherwise(0)).alias("_k"))
-    per_blk = own.groupBy(key, "_blk").agg(*aggs)
-    wb = Window.partitionBy(key).orderBy("_blk")
+        aggs.append(F.sum(F.when(keep, 1).otherwise(0)).cast("long").alias("_k"))
+    per_blk = (own.groupBy(key, "_blk").agg(*aggs)
+                  .withColumn("_sup", F.floor(F.col("_blk") / F.lit(SUPER_BLOCKS)).cast("long")))
+    sup_aggs = ([F.max("_m").alias("_sm")] if value is not None else []) + \
+               ([F.sum("_k").alias("_sk")] if keep is not None else [])
+    per_sup = per_blk.groupBy(key, "_sup").agg(*sup_aggs)
+    ws = Window.partitionBy(key).orderBy("_sup")
+    sup_cols = [key, "_sup"]
+    if value is not None:
+        sup_cols.append(F.max("_sm").over(ws.rowsBetween(Window.unboundedPreceding, -1)).alias("_sm_before"))
+    if keep is not None:
+        sup_cols.append(F.coalesce(F.sum("_sk").over(ws.rowsBetween(1, Window.unboundedFollowing)),
+                                   F.lit(0)).alias("_sk_after"))
+    sup = per_sup.select(*sup_cols)
+    wb = Window.partitionBy(key, "_sup").orderBy("_blk")
+    j = per_blk.join(sup, [key, "_sup"], "left")
     cols = [key, "_blk"]
     if value is not None:
-        cols.append(F.max("_m").over(wb.rowsBetween(Window.unboundedPreceding, -1)).alias("_pobs_blk"))
+        in_sup = F.max("_m").over(wb.rowsBetween(Window.unboundedPreceding, -1))
+        cols.append(F.greatest(in_sup, F.col("_sm_before")).alias("_pobs_blk"))
     if keep is not None:
-        cols.append(F.coalesce(F.sum("_k").over(wb.rowsBetween(1, Window.unboundedFollowing)),
-                               F.lit(0)).cast("long").alias("_kafter"))
-    return per_blk.select(*cols)
+        in_sup = F.coalesce(F.sum("_k").over(wb.rowsBetween(1, Window.unboundedFollowing)), F.lit(0))
+        cols.append((in_sup + F.col("_sk_after")).cast("long").alias("_kafter"))
+    return j.select(*cols)
 
 
 def prev_observation(value: str, layout: Layout) -> Column:

@@ -134,3 +134,24 @@ def test_ranged_index_hot_key(spark):
         g = g.sort_values(["t", "tb"])
         assert list(g["_i"]) == list(range(len(g)))
         assert set(g["_n"]) == {len(g)}
+
+
+def test_block_table_two_level(spark, monkeypatch):
+    from barwright.operators import series as se
+    monkeypatch.setattr(se, "SUPER_BLOCKS", 3)
+    lay = Layout(block_rows=64, halo_rows=16)
+    rng = np.random.default_rng(0)
+    n = 64 * 20 + 7
+    close = np.where(rng.random(n) < 0.7, np.nan, 1.0)
+    close[200:900] = np.nan
+    pdf = pd.DataFrame({"ticker": "A", "date": pd.date_range("2000-01-01", periods=n, freq="D"), "close": close})
+    df = spark.createDataFrame(pdf, "ticker string, date timestamp_ntz, close double")
+    bt = se.block_table(se.block_layout(index_series(df), lay), lay, "close",
+                        F.col("close").isNotNull()).toPandas()
+    obs = np.where(~np.isnan(close))[0]
+    for _, r in bt.iterrows():
+        start = int(r["_blk"]) * 64
+        end = min(n, start + 64)
+        prev = obs[obs < start]
+        assert (None if pd.isna(r["_pobs_blk"]) else int(r["_pobs_blk"])) == (int(prev.max()) if len(prev) else None)
+        assert int(r["_kafter"]) == int((obs >= end).sum())
