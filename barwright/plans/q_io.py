@@ -18,7 +18,8 @@ from barwright.plans.sqlparts import r6 as sql_r6
 from barwright.session import scratch_dir
 from barwright.sources import io
 from barwright.sources.parse import error_mentions, html_constituents, vendor_series
-from barwright.streaming.bars import run_to_table, tick_bars_stream, upsert_stream
+from barwright.streaming.bars import (drain_to_files, run_to_table, running_indicators, tick_bars_stream,
+                                     upsert_stream)
 
 BASE = ["open", "high", "low", "close"]
 AS_OF = "2001-08-01"
@@ -198,3 +199,31 @@ def landed_roundtrip(spark, sf):
     io.write_partitioned(bars, root, ["dt", "ticker"], "csv", cluster=["date"], header="true")
     back = io.read_landed(spark, root)
     return r6(back.select("ticker", "date", *BASE, "volume"))
+
+
+SPLIT_AT = "2024-01-16 00:00:00"
+
+
+@register("stream_running_ema", """WITH RECURSIVE b AS (""" + BARS_EVENTS + """),
+s AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) - 1 AS i FROM b),
+e (ticker, i, e12, e26, sig) AS (
+  SELECT ticker, i, close, close, CAST(0.0 AS DOUBLE) FROM s WHERE i = 0
+  UNION ALL
+  SELECT x.ticker, x.i, (2.0/13) * x.close + (1 - 2.0/13) * e.e12, (2.0/27) * x.close + (1 - 2.0/27) * e.e26,
+         (2.0/10) * (((2.0/13) * x.close + (1 - 2.0/13) * e.e12) - ((2.0/27) * x.close + (1 - 2.0/27) * e.e26))
+           + (1 - 2.0/10) * e.sig
+  FROM e JOIN s x ON x.ticker = e.ticker AND x.i = e.i + 1)
+SELECT s.ticker, s.date, round(e.e12, 6) AS ema_12, round(e.e26, 6) AS ema_26, round(e.e12 - e.e26, 6) AS macd,
+  round(e.sig, 6) AS macd_signal FROM s JOIN e ON s.ticker = e.ticker AND s.i = e.i""")
+def stream_running_ema(spark, sf):
+    """Running EMA / MACD as streaming state (ST4): hourly bars land in two chunks (before and
+    after 2024-01-16); two availableNow runs on one checkpoint, the second resuming from the
+    per-ticker state of the first."""
+    bars = ds.hourly_events(spark, sf)
+    landing, out, ckpt = (scratch_dir(spark, n) for n in ("run-landing", "run-out", "run-ckpt"))
+    cut = F.lit(SPLIT_AT).cast("timestamp_ntz")
+    schema = bars.schema
+    for part in (bars.filter(F.col("date") < cut), bars.filter(F.col("date") >= cut)):
+        part.write.mode("append").parquet(landing)
+        drain_to_files(running_indicators(spark.readStream.schema(schema).parquet(landing)), out, ckpt)
+    return r6(spark.read.parquet(out).select("ticker", "date", "ema_12", "ema_26", "macd", "macd_signal"))
