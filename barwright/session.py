@@ -42,6 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                           "(lineage cuts and scratch tables are written there)")
+    # local mode only (tests, single-machine runs): a scratch folder of this machine
     path = tempfile.mkdtemp(prefix="barwright-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return path
