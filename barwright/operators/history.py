@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from barwright.functions.time import whole_days_between
 from barwright.operators.bars import BASE_COLUMNS
 
 
@@ -60,8 +61,7 @@ def completeness(history: DataFrame, universe: DataFrame, min_rows: int = 730,
 
 def days_between(later: Column, earlier: Column) -> Column:
     """Whole days from ``earlier`` to ``later``, floored (timedelta.days semantics)."""
-    secs = F.unix_micros(later.cast("timestamp")) - F.unix_micros(earlier.cast("timestamp"))
-    return F.floor(secs / F.lit(86_400_000_000)).cast("long")
+    return whole_days_between(later, earlier)
 
 
 def ingest_plan(universe: DataFrame, history: DataFrame, as_of, days_back: int = 30,

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barwright.functions.time import seconds_between as _seconds_between
+
 # Fixed values of the run rules: retries below 3 for daily / weekly runs; a run older than
 # 7200 s is stuck; mean runtime above 3600 s warns; dashboard: success below 80 %.
 MAX_RETRIES = 3
@@ -35,8 +37,8 @@ RUN_LOG = T.StructType([
 
 
 def seconds_between(end: Column, start: Column) -> Column:
-    """Duration in seconds with the fraction."""
-    return (F.unix_micros(end.cast("timestamp")) - F.unix_micros(start.cast("timestamp"))) / F.lit(1e6)
+    """Duration in seconds with the fraction (F7); independent of the session time zone."""
+    return _seconds_between(end, start)
 
 
 def runs_from_log(log: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barwright.operators.bars import ohlcv_bars
+from barwright.functions.time import instant_to_wall, wall_to_instant
 from barwright.plans import datasets as ds
 from barwright.plans.catalog import r6, register
 from barwright.plans.q_history import HIST_SQL, LANDED_SQL, history_bars, landed_bars
@@ -162,13 +162,14 @@ def stream_bars(spark, sf):
     availableNow in complete mode."""
     schema = ds.table(spark, sf, "events").schema
     # a stream source is a directory: the driver's folder, filtered to the events file.
-    # Event time as TIMESTAMP (watermarks need it); whole-hour windows keep the wall clock.
+    # Event time as TIMESTAMP (watermarks need it), read as UTC so that windows align to
+    # wall-clock hours whatever the session time zone.
     ticks = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-             .withColumn("ts", F.col("ts").cast("timestamp")))
+             .withColumn("ts", wall_to_instant(F.col("ts"))))
     bars = tick_bars_stream(ticks, "event_type", "ts", "value", "event_id", dedupe_key=None)
     name = "stream_bars_" + os.urandom(4).hex()
     run_to_table(bars, name, scratch_dir(spark, "stream-ckpt"))
-    out = spark.table(name).select("ticker", F.col("w.start").cast("timestamp_ntz").alias("date"),
+    out = spark.table(name).select("ticker", instant_to_wall(F.col("w.start")).alias("date"),
                                    *BASE, "volume")
     return r6(out)
 

@@ -84,3 +84,16 @@ def test_dashboard_document(spark):
     import json
     j = json.loads(doc)
     assert set(j) == {"summary", "recent_runs", "recommendations"} and len(j["recent_runs"]) == 10
+
+
+def test_durations_ignore_session_zone(spark):
+    from barwright.functions.time import instant_to_wall, seconds_between, wall_to_instant
+    df = spark.createDataFrame([(d("2024-03-10 01:30:00"), d("2024-03-10 03:30:00"))], "a timestamp_ntz, b timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        row = df.select(seconds_between(F.col("b"), F.col("a")).alias("s"),
+                        instant_to_wall(wall_to_instant(F.col("b"))).alias("w")).collect()[0]
+        assert row.s == 7200.0 and row.w == d("2024-03-10 03:30:00")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
