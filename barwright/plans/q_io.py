@@ -205,8 +205,17 @@ def landed_roundtrip(spark, sf):
 SPLIT_AT = "2024-01-16 00:00:00"
 
 
+_RSI_W = "(PARTITION BY ticker ORDER BY i ROWS BETWEEN 13 PRECEDING AND CURRENT ROW)"
+_AG = f"avg(CASE WHEN close - pc > 0 THEN close - pc ELSE 0 END) OVER {_RSI_W}"
+_AL = f"avg(CASE WHEN close - pc < 0 THEN pc - close ELSE 0 END) OVER {_RSI_W}"
+
+
 @register("stream_running_ema", """WITH RECURSIVE b AS (""" + BARS_EVENTS + """),
-s AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) - 1 AS i FROM b),
+s AS (SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date) - 1 AS i,
+             lag(close) OVER (PARTITION BY ticker ORDER BY date) AS pc FROM b),
+r AS (SELECT ticker, i, CASE WHEN i >= 13 THEN (CASE WHEN """ + _AL + """ = 0 AND """ + _AG + """ > 0 THEN 100.0
+        WHEN """ + _AL + """ = 0 THEN NULL ELSE 100.0 - 100.0 / (1.0 + """ + _AG + """ / """ + _AL + """) END) END AS rsi
+      FROM s),
 e (ticker, i, e12, e26, sig) AS (
   SELECT ticker, i, close, close, CAST(0.0 AS DOUBLE) FROM s WHERE i = 0
   UNION ALL
@@ -215,9 +224,10 @@ e (ticker, i, e12, e26, sig) AS (
            + (1 - 2.0/10) * e.sig
   FROM e JOIN s x ON x.ticker = e.ticker AND x.i = e.i + 1)
 SELECT s.ticker, s.date, round(e.e12, 6) AS ema_12, round(e.e26, 6) AS ema_26, round(e.e12 - e.e26, 6) AS macd,
-  round(e.sig, 6) AS macd_signal FROM s JOIN e ON s.ticker = e.ticker AND s.i = e.i""")
+  round(e.sig, 6) AS macd_signal, round(r.rsi, 6) AS rsi_14
+FROM s JOIN e ON s.ticker = e.ticker AND s.i = e.i JOIN r ON s.ticker = r.ticker AND s.i = r.i""")
 def stream_running_ema(spark, sf):
-    """Running EMA / MACD as streaming state (ST4): hourly bars land in two chunks (before and
+    """Running EMA / MACD / RSI as streaming state (ST4): hourly bars land in two chunks (before and
     after 2024-01-16); two availableNow runs on one checkpoint, the second resuming from the
     per-ticker state of the first."""
     bars = ds.hourly_events(spark, sf)
@@ -227,4 +237,4 @@ def stream_running_ema(spark, sf):
     for part in (bars.filter(F.col("date") < cut), bars.filter(F.col("date") >= cut)):
         part.write.mode("append").parquet(landing)
         drain_to_files(running_indicators(spark.readStream.schema(schema).parquet(landing)), out, ckpt)
-    return r6(spark.read.parquet(out).select("ticker", "date", "ema_12", "ema_26", "macd", "macd_signal"))
+    return r6(spark.read.parquet(out).select("ticker", "date", "ema_12", "ema_26", "macd", "macd_signal", "rsi_14"))

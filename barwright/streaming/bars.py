@@ -71,9 +71,11 @@ def upsert_stream(spark: SparkSession, landing: str, schema: T.StructType, histo
 # ---------------------------------------------------------------------------
 
 RUNNING_OUT = ("ticker string, date timestamp_ntz, ema_12 double, ema_26 double, macd double, "
-               "macd_signal double")
+               "macd_signal double, rsi_14 double")
 RUNNING_STATE = ("last_date timestamp_ntz, e12 double, e26 double, sig double, "
-                 "ow12 double, ow26 double")
+                 "ow12 double, ow26 double, last_close double, rows long, "
+                 "gains array<double>, losses array<double>")
+RSI_ROWS = 14
 
 
 def _running_step(key, batches, state):
@@ -89,16 +91,28 @@ def _running_step(key, batches, state):
 
     pdf = pd.concat(list(batches), ignore_index=True).sort_values("date", kind="mergesort")
     if state.exists:
-        last, e12, e26, sig, ow12, ow26 = state.get
+        last, e12, e26, sig, ow12, ow26, prev, nrows, gains, losses = state.get
         pdf = pdf[pdf["date"] > pd.Timestamp(last)]
+        gains, losses = list(gains), list(losses)
     else:
-        last, e12, e26, sig, ow12, ow26 = None, None, None, None, 1.0, 1.0
+        last, e12, e26, sig, ow12, ow26, prev, nrows, gains, losses = (None, None, None, None, 1.0, 1.0,
+                                                                       None, 0, [], [])
     if pdf.empty:
         return
     a12, a26, a9 = 2.0 / 13, 2.0 / 27, 2.0 / 10
     closes = pdf["close"].to_numpy(dtype=float)
-    o12, o26, om, osig = (np.full(len(closes), np.nan) for _ in range(4))
+    o12, o26, om, osig, orsi = (np.full(len(closes), np.nan) for _ in range(5))
     for j, x in enumerate(closes):
+        # simple-mean RSI over the last 14 deltas; a missing delta counts as 0
+        d = x - prev if (prev is not None and not np.isnan(x) and not np.isnan(prev)) else np.nan
+        gains.append(float(d) if d > 0 else 0.0)
+        losses.append(float(-d) if d < 0 else 0.0)
+        gains, losses = gains[-RSI_ROWS:], losses[-RSI_ROWS:]
+        nrows += 1
+        prev = x
+        if nrows >= RSI_ROWS:
+            ag, al = sum(gains) / RSI_ROWS, sum(losses) / RSI_ROWS
+            orsi[j] = 100.0 if (al == 0 and ag > 0) else (np.nan if al == 0 else 100.0 - 100.0 / (1.0 + ag / al))
         if e12 is not None:
             ow12 *= 1 - a12
             ow26 *= 1 - a26
@@ -119,13 +133,17 @@ def _running_step(key, batches, state):
                 sig = ((1 - a9) * sig + a9 * m) / ((1 - a9) + a9)
             o12[j], o26[j], om[j], osig[j] = e12, e26, m, sig
     last = pdf["date"].iloc[-1]
-    state.update((last.to_pydatetime(), e12, e26, sig, ow12, ow26))
+    num = lambda v: None if v is None else float(v)  # noqa: E731  state holds plain Python values
+    state.update((last.to_pydatetime(), num(e12), num(e26), num(sig), float(ow12), float(ow26), num(prev),
+                  int(nrows), gains, losses))
     yield pd.DataFrame({"ticker": key[0], "date": pdf["date"].to_numpy(), "ema_12": o12, "ema_26": o26,
-                        "macd": om, "macd_signal": osig})
+                        "macd": om, "macd_signal": osig, "rsi_14": orsi})
 
 
 def running_indicators(bars_stream: DataFrame) -> DataFrame:
-    """Running ema_12 / ema_26 / macd / macd_signal per ticker over a stream of bars (ST4)."""
+    """Running ema_12 / ema_26 / macd / macd_signal / rsi_14 per ticker over a stream of bars
+    (ST4).  State per ticker: the three means, gap weights, last close and the last 14
+    gains and losses."""
     from pyspark.sql.streaming.state import GroupStateTimeout
     return (bars_stream.select("ticker", "date", "close").groupBy("ticker")
             .applyInPandasWithState(_running_step, RUNNING_OUT, RUNNING_STATE, "append",
