@@ -55,6 +55,8 @@ def normalise_columns(df: DataFrame, aliases: dict[str, str] | None = None) -> D
     for c in PRICE_COLUMNS:
         if c in out.columns:
             out = out.withColumn(c, nan_to_null(F.col(c).cast("double")))
+    if "volume" in out.columns and dict(out.dtypes)["volume"] == "string":
+        out = out.withColumn("volume", F.col("volume").cast("double"))
     if "date" in out.columns:
         out = out.withColumn("date", F.to_timestamp_ntz(F.col("date").cast("string")) if
                              dict(out.dtypes)["date"] == "string" else F.col("date").cast("timestamp_ntz"))
@@ -65,3 +67,20 @@ def missing_required(columns: list[str], required: list[str] = BASE_COLUMNS) ->
     """Required-column gate (P2): the names a table lacks; a non-empty answer skips the table."""
     have = {c.lower() for c in columns}
     return [c for c in required if c not in have]
+
+
+def required_gate(df: DataFrame, required: list[str] = BASE_COLUMNS, key: str = "ticker") -> tuple[DataFrame, DataFrame]:
+    """Per-ticker required-column gate (P2): a ticker whose source lacks a required column
+    (read as all NULL, or absent from the table) is skipped, not an error.
+
+    Returns (rows of passing tickers, skipped (ticker, missing) table).  One aggregate of
+    non-NULL counts per ticker, combined map-side."""
+    present = [c for c in required if c in df.columns]
+    absent = [c for c in required if c not in df.columns]
+    counts = df.groupBy(key).agg(*[F.count(F.col(c)).alias(f"_n_{c}") for c in present])
+    missing = F.array_compact(F.array(*[F.when(F.col(f"_n_{c}") == 0, F.lit(c)) for c in present],
+                                      *[F.lit(c) for c in absent]))
+    gate = counts.select(key, missing.alias("missing"))
+    skipped = gate.filter(F.size("missing") > 0)
+    ok = df.join(gate.filter(F.size("missing") == 0).select(key), key, "left_semi")
+    return ok, skipped

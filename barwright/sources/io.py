@@ -14,11 +14,6 @@ from pyspark.sql import types as T
 
 from barwright.operators.bars import normalise_columns
 
-LANDED_SCHEMA = T.StructType([
-    T.StructField("date", T.StringType()), T.StructField("open", T.DoubleType()),
-    T.StructField("high", T.DoubleType()), T.StructField("low", T.DoubleType()),
-    T.StructField("close", T.DoubleType()), T.StructField("volume", T.DoubleType())])
-
 FORMATS = ("parquet", "csv", "json")
 
 
@@ -26,18 +21,50 @@ FORMATS = ("parquet", "csv", "json")
 # sources
 # ---------------------------------------------------------------------------
 
-def read_landed(spark: SparkSession, root: str, dt: str | None = None,
-                schema: T.StructType = LANDED_SCHEMA) -> DataFrame:
-    """Landed bars (S1): ticker = file stem, ``dt`` from the partition directory, ``_row`` =
-    position in the file's split (a tiebreak for keep-last)."""
-    r = spark.read.option("header", True).schema(schema).csv(root)
-    if "ticker" not in r.columns:       # <TICKER>.csv files; a ticker= directory is used as is
-        r = r.withColumn("ticker", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1))
-    r = r.withColumn("ticker", F.col("ticker").cast("string")).withColumn("_row", F.monotonically_increasing_id())
+def file_headers(spark: SparkSession, root: str) -> DataFrame:
+    """First line of every CSV file under ``root``: (header, path).  The first split of a
+    file (block start 0) holds its first line, the lowest row id of that split."""
+    lines = spark.read.text(root).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
+        F.col("value"), F.monotonically_increasing_id().alias("_id"))
+    return (lines.filter(F.col("start") == 0).groupBy("path")
+                 .agg(F.min_by("value", "_id").alias("header")))
+
+
+def read_landed(spark: SparkSession, root: str, dt: str | None = None) -> DataFrame:
+    """Landed bars (S1): one CSV per ticker (ticker = file stem, or a ``ticker=`` directory),
+    ``dt`` from the partition directory, ``_row`` = row order inside a file (keep-last
+    tiebreak).  Files are read by their own header (upper-case names, vendor spellings,
+    missing columns), one read per distinct header, then unioned by name (P1, F11)."""
+    heads = file_headers(spark, root)
     if dt is not None:
-        r = r.filter(F.col("dt") == F.lit(dt).cast("date"))
-    r = normalise_columns(r)
-    return r.withColumn("volume", F.col("volume").cast("bigint"))
+        heads = heads.filter(F.col("path").contains(f"dt={dt}"))
+    groups = heads.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
+    out = None
+    for g in groups:     # one read per distinct header: a handful, whatever the file count
+        r = spark.read.option("header", True).option("basePath", root).csv(g["paths"])
+        r = normalise_columns(r)
+        if "ticker" not in r.columns:
+            r = r.withColumn("ticker", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1))
+        out = r if out is None else out.unionByName(r, allowMissingColumns=True)
+    if out is None:
+        return spark.createDataFrame([], "ticker string, date timestamp_ntz, open double, high double, "
+                                         "low double, close double, volume bigint")
+    for c in ("open", "high", "low", "close"):
+        if c in out.columns:
+            out = out.withColumn(c, F.col(c).cast("double"))
+    if "volume" in out.columns:
+        out = out.withColumn("volume", F.col("volume").cast("double").cast("bigint"))
+    return (out.withColumn("ticker", F.col("ticker").cast("string"))
+               .withColumn("_row", F.monotonically_increasing_id()))
+
+
+def read_symbols(spark: SparkSession, path: str) -> DataFrame:
+    """Symbol list written by the constituent stage (S4): ``symbol`` (and ``company_name``
+    when present), in file order."""
+    r = spark.read.option("header", True).csv(path).withColumn("pos", F.monotonically_increasing_id())
+    cols = ["pos", "symbol"] + (["company_name"] if "company_name" in r.columns else [])
+    return r.select(*cols)
 
 
 def read_history(spark: SparkSession, root: str, tickers: DataFrame | None = None) -> DataFrame:

@@ -92,3 +92,22 @@ def test_modular_gate_uneven_tickers(spark):
     long = out[out.ticker == "LONG"].sort_values("date")
     assert len(long) == 120 - 49 and long[MODULAR_COLUMNS].notna().all().all()
     assert long["date"].min() == pd.Timestamp("2020-01-01") + pd.Timedelta(days=49)
+
+
+def test_required_gate_and_symbols(spark):
+    from barwright.operators.bars import required_gate
+    root = tempfile.mkdtemp(prefix="bw-gate-")
+    day = os.path.join(root, "dt=2025-01-16")
+    os.makedirs(day)
+    pd.DataFrame({"Date": ["2025-01-16"], "Open": [1.0], "High": [2.0], "Low": [0.5], "Close": [1.5],
+                  "Volume": [10]}).to_csv(os.path.join(day, "GOOD.csv"), index=False)
+    pd.DataFrame({"Date": ["2025-01-16"], "Open": [1.0], "High": [2.0], "Low": [0.5],
+                  "Volume": [10]}).to_csv(os.path.join(day, "NOCLOSE.csv"), index=False)
+    landed = io.read_landed(spark, root)
+    ok, skipped = required_gate(landed)
+    assert {x.ticker for x in ok.collect()} == {"GOOD"}
+    assert [(x.ticker, x.missing) for x in skipped.collect()] == [("NOCLOSE", ["close"])]
+    sym = os.path.join(tempfile.mkdtemp(prefix="bw-sym-"), "tickers.csv")
+    pd.DataFrame({"symbol": ["AAPL", "MSFT"], "company_name": ["Apple", "Microsoft"]}).to_csv(sym, index=False)
+    assert [(x.symbol, x.company_name) for x in io.read_symbols(spark, sym).orderBy("pos").collect()] == [
+        ("AAPL", "Apple"), ("MSFT", "Microsoft")]
