@@ -8,6 +8,8 @@ Hadoop URI (local, s3a://, gs://).
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,10 +44,12 @@ def read_landed(spark: SparkSession, root: str, dt: str | None = None) -> DataFr
     groups = heads.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
     out = None
     for g in groups:     # one read per distinct header: a handful, whatever the file count
-        r = spark.read.option("header", True).option("basePath", root).csv(g["paths"])
+        paths = [unquote(p) for p in g["paths"]]     # file metadata paths are URI-encoded
+        r = spark.read.option("header", True).option("basePath", root).csv(paths)
         r = normalise_columns(r)
         if "ticker" not in r.columns:
-            r = r.withColumn("ticker", F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1))
+            stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
+            r = r.withColumn("ticker", F.coalesce(F.try_url_decode(stem), stem))
         out = r if out is None else out.unionByName(r, allowMissingColumns=True)
     if out is None:
         return spark.createDataFrame([], "ticker string, date timestamp_ntz, open double, high double, "
