@@ -117,12 +117,6 @@ def block_layout(indexed: DataFrame, layout: Layout = Layout()) -> DataFrame:
                    .withColumn("_blk", own + F.col("_h")))
 
 
-def series_max_rows(df: DataFrame, key: str = "ticker") -> int:
-    """Rows of the longest series (one scalar job on the key column); sizes the carry recursion."""
-    r = df.groupBy(key).count().agg(F.max("count").alias("m")).collect()[0]["m"]
-    return int(r or 0)
-
-
 # ---------------------------------------------------------------------------
 # affine prefix (the carry chain)
 # ---------------------------------------------------------------------------

@@ -13,7 +13,7 @@ small carry tables joined back on (ticker, block).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from barwright.operators import indicators as ind
@@ -21,7 +21,7 @@ from barwright.operators.bars import BASE_COLUMNS
 from barwright.session import keep as keep_df
 from barwright.session import materialize
 from barwright.operators.series import (
-    Layout, block_layout, block_table, ema_family, index_series, prev_observation, series_max_rows,
+    Layout, block_layout, block_table, ema_family, index_series, prev_observation,
     with_sub_blocks)
 
 STANDARD_COLUMNS = ["sma_50", "sma_200", "ema_26", "macd", "macd_signal", "macd_histogram",

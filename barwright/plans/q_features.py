@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from barwright.plans import datasets as ds
 from barwright.plans.catalog import r6, register
-from barwright.plans.features import modular_features, standard_features
+from barwright.plans.features import standard_features
 from barwright.plans.sqlparts import BARS_ORDERS, BARS_SUPPLIER
 
 

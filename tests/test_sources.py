@@ -7,7 +7,6 @@ import tempfile
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import functions as F
 
 from barwright.operators import runs as r
 from barwright.plans.features import MODULAR_COLUMNS, modular_features
