@@ -42,3 +42,16 @@ def features_shape(spark, sf_dir):
     prof = features_profile(feats, [])
     return prof["shape"].select("rows", "tickers", "columns", "tickers_ok",
                                 F.lit(features_generated(feats)).cast("long").alias("features_generated"))
+
+
+@register("features_store", _features_sql(BARS_ORDERS))
+def features_store(spark, sf_dir):
+    """Standard features written for one processing date (K1: dt= partition, dynamic
+    overwrite) and read back."""
+    from barwright.session import scratch_dir
+    from barwright.sources import io
+    root = scratch_dir(spark, "processed")
+    feats = standard_features(ds.daily_orders(spark, sf_dir), tail=30)
+    io.write_features(feats, root, "2001-08-01")
+    back = spark.read.parquet(root).filter("dt = DATE'2001-08-01'").drop("dt")
+    return r6(back)
