@@ -96,10 +96,14 @@ def validate_frame(df: DataFrame, required: list[str], min_rows: int = 1) -> Dat
     return one.select(F.inline(F.array(*checks)))
 
 
-def sample_fixed(df: DataFrame, n: int, key: list[str], seed: int = 42) -> DataFrame:
-    """Repeatable sample of ``n`` rows (T4): the n smallest ``xxhash64(key, seed)``; capped at
-    the row count by construction.  Independent of partitioning."""
-    h = F.xxhash64(F.lit(seed), *[F.col(k) for k in key])
+def sample_fixed(df: DataFrame, n: int, key: list[str], seed: int = 42, method: str = "xxhash64") -> DataFrame:
+    """Repeatable sample of ``n`` rows (T4): the n smallest hashes of (seed, key); capped at
+    the row count by construction.  Independent of partitioning.  ``method="md5"`` hashes
+    the text ``seed|k1|k2...`` (slower, but reproducible by any engine)."""
+    if method == "md5":
+        h = F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+    else:
+        h = F.xxhash64(F.lit(seed), *[F.col(k) for k in key])
     return df.withColumn("_h", h).orderBy("_h", *key).limit(n).drop("_h")
 
 

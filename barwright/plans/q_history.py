@@ -146,12 +146,13 @@ SELECT CAST(count(*) AS BIGINT) AS tickers_processed, CAST(count(*) FILTER (WHER
   CAST(coalesce(sum(rows) FILTER (WHERE ok), 0) AS BIGINT) AS total_rows,
   CASE WHEN count(*) FILTER (WHERE NOT ok) = 0 THEN 'success' WHEN count(*) FILTER (WHERE ok) > 0
        THEN 'partial_success' ELSE 'failed' END AS status,
-  coalesce(list_sort(list(ticker) FILTER (WHERE NOT ok)), []) AS failed_tickers
+  array_to_string(coalesce(list_sort(list(ticker) FILTER (WHERE NOT ok)), []), ',') AS failed_tickers
 FROM o""")
 def backfill_outcome(spark, sf):
     """Backfill of supplier-level bars for every supplier (M13) and its summary."""
     _, outcome = h.backfill(ds.daily_lineitem(spark, sf, by_supplier=True), _supplier_universe(spark, sf))
-    return h.outcome_summary(outcome)
+    s = h.outcome_summary(outcome)
+    return s.withColumn("failed_tickers", F.array_join("failed_tickers", ","))
 
 
 @register("source_fallback", f"""WITH p AS ({BARS_SUPPLIER.replace("FROM lineitem", "FROM lineitem WHERE l_returnflag = 'R'")}),

@@ -116,11 +116,12 @@ def copy_table(spark, sf):
 
 @register("store_metadata", f"""SELECT CAST(count(DISTINCT ticker) AS BIGINT) AS ticker_count,
   CAST(count(*) AS BIGINT) AS total_rows, min(date) AS start_date, max(date) AS end_date,
-  list_sort(list(DISTINCT ticker)) AS tickers, 'ticker,date,open,high,low,close,volume' AS columns
+  array_to_string(list_sort(list(DISTINCT ticker)), ',') AS tickers, 'ticker,date,open,high,low,close,volume' AS columns
 FROM ({BARS_ORDERS}) b""")
 def store_metadata(spark, sf):
     """Bars stored as Parquet and CSV, with the metadata row (K6)."""
-    return rp.store_data(ds.daily_orders(spark, sf), scratch_dir(spark, "store"))
+    meta = rp.store_data(ds.daily_orders(spark, sf), scratch_dir(spark, "store"))
+    return meta.withColumn("tickers", F.array_join("tickers", ","))
 
 
 @register("table_quality", f"""WITH b AS ({BARS_ORDERS})
