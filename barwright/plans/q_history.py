@@ -71,12 +71,15 @@ _AGE = f"CAST(floor(date_diff('second', latest_date, TIMESTAMP '{AS_OF}') / 8640
 
 
 @register("ingest_plan", f"""WITH w AS (SELECT ticker, max(date) AS latest_date FROM ({HIST_SQL}) h GROUP BY ticker)
-SELECT u.ticker, w.latest_date, {_AGE} AS days_since_update,
+SELECT u.ticker, w.latest_date, CAST({_AGE} AS DOUBLE) AS days_since_update,
   CASE WHEN latest_date IS NULL THEN 'full' WHEN {_AGE} <= 1 THEN 'up_to_date' ELSE 'incremental' END AS action,
   CAST(CASE WHEN latest_date IS NULL THEN 30 WHEN {_AGE} <= 1 THEN 0 ELSE {_AGE} + 5 END AS BIGINT) AS days_to_request
 FROM ({UNIVERSE_SQL}) u LEFT JOIN w ON u.ticker = w.ticker""")
 def ingest_plan(spark, sf):
-    return h.ingest_plan(universe(spark, sf), history_bars(spark, sf), AS_OF, days_back=30)
+    """Ingest plan per ticker (M1).  The age is NULL for a ticker without history; it is
+    returned as a double so that both engines hand NULL over as NaN."""
+    p = h.ingest_plan(universe(spark, sf), history_bars(spark, sf), AS_OF, days_back=30)
+    return p.withColumn("days_since_update", F.col("days_since_update").cast("double"))
 
 
 @register("ingest_apply", f"""WITH w AS (SELECT ticker, max(date) AS latest_date FROM ({HIST_SQL}) h GROUP BY ticker),
