@@ -23,16 +23,19 @@ VENDOR_ALIASES = {
 
 def ohlcv_bars(ticks: DataFrame, ticker: Column | str, ts: Column | str, price: Column | str,
                volume: Column | str | None = None, unit: str = "day",
-               tiebreak: Column | str | None = None) -> DataFrame:
+               tiebreak: Column | str | list | None = None) -> DataFrame:
     """Aggregate ticks to bars: open = first price, close = last price, high, low, volume.
 
-    ``unit`` is a ``date_trunc`` unit.  Ties on the timestamp are broken by ``tiebreak``.
+    ``unit`` is a ``date_trunc`` unit.  Ties on the timestamp are broken by ``tiebreak`` (a
+    column or a list of columns, compared in order; kept flat in one struct, which is
+    cheaper to compare than a nested one).
     ``volume`` None counts ticks.  Partial aggregation runs map-side, so a hot ticker
     is combined before the shuffle.
     """
     col = lambda c: F.col(c) if isinstance(c, str) else c
     t, p = col(ts), col(price)
-    order = F.struct(t, col(tiebreak)) if tiebreak is not None else t
+    ties = [] if tiebreak is None else [col(c) for c in (tiebreak if isinstance(tiebreak, list) else [tiebreak])]
+    order = F.struct(t, *ties) if ties else t
     vol = F.count(F.lit(1)) if volume is None else F.sum(col(volume))
     return (ticks.groupBy(col(ticker).alias("ticker"), F.date_trunc(unit, t).cast("timestamp_ntz").alias("date"))
                  .agg(F.min_by(p, order).alias("open"),

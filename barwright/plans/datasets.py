@@ -42,5 +42,4 @@ def daily_lineitem(spark: SparkSession, sf_dir: str, by_supplier: bool = False)
               else F.concat(F.col("l_returnflag"), F.col("l_linestatus")))
     price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     return ohlcv_bars(li, ticker, "l_shipdate", price, "l_quantity", "day",
-                      F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
-                                "l_extendedprice", "l_quantity"))
+                      ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"])

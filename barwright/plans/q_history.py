@@ -169,7 +169,7 @@ def source_fallback(spark, sf):
     secondary source (S14): a union with an anti-join on the primary's tickers."""
     li = ds.table(spark, sf, "lineitem")
     price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
-    tb = F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity")
+    tb = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
     mk = lambda d: ohlcv_bars(d, F.col("l_suppkey").cast("string"), "l_shipdate", price, "l_quantity", "day", tb)
     prim = mk(li.filter(F.col("l_returnflag") == "R")).withColumn("source", F.lit("primary"))
     sec = mk(li.filter(F.col("l_returnflag") != "R")).withColumn("source", F.lit("secondary"))
