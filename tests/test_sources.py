@@ -110,3 +110,29 @@ def test_required_gate_and_symbols(spark):
     pd.DataFrame({"symbol": ["AAPL", "MSFT"], "company_name": ["Apple", "Microsoft"]}).to_csv(sym, index=False)
     assert [(x.symbol, x.company_name) for x in io.read_symbols(spark, sym).orderBy("pos").collect()] == [
         ("AAPL", "Apple"), ("MSFT", "Microsoft")]
+
+
+def test_sinks_features_landed_events(spark):
+    import datetime as dt
+    base = tempfile.mkdtemp(prefix="bw-sinks-")
+    bars = spark.createDataFrame([("AAPL", dt.datetime(2025, 1, 15), 1.0, 2.0, 0.5, 1.5, 10),
+                                  ("MSFT", dt.datetime(2025, 1, 15), 3.0, 4.0, 2.5, 3.5, 20)],
+                                 "ticker string, date timestamp_ntz, open double, high double, low double, "
+                                 "close double, volume bigint")
+    feats = os.path.join(base, "processed")
+    io.write_features(bars, feats, "2025-01-15")
+    io.write_features(bars.filter("ticker = 'AAPL'"), feats, "2025-01-16")
+    io.write_features(bars.filter("ticker = 'MSFT'"), feats, "2025-01-16")   # replaces that date only
+    got = {(str(x.dt), x.ticker) for x in spark.read.parquet(feats).collect()}
+    assert got == {("2025-01-15", "AAPL"), ("2025-01-15", "MSFT"), ("2025-01-16", "MSFT")}
+    raw = os.path.join(base, "raw")
+    assert io.write_landed(bars, raw, "2025-01-15", dry_run=True) == 0 and not os.path.exists(raw)
+    assert io.write_landed(bars, raw, "2025-01-15") == 1
+    back = io.read_landed(spark, raw)
+    assert sorted((x.ticker, x.close, x.volume) for x in back.collect()) == [("AAPL", 1.5, 10), ("MSFT", 3.5, 20)]
+    ev = os.path.join(base, "events")
+    e = spark.createDataFrame([(dt.datetime(2025, 1, 15, 9), "fetch_start", "{}")],
+                              "timestamp timestamp_ntz, event_type string, data string")
+    io.append_events(e, ev)
+    io.append_events(e, ev)
+    assert spark.read.json(ev).count() == 2
