@@ -71,18 +71,44 @@ def lag(lay: Layout, src: str, n: int = 1) -> Column:
     return F.lag(F.col(src), n).over(lay.window())
 
 
+RSI_PREFIX = True   # running sums of gains / losses instead of two 14-row frames
+
+
 def rsi(lay: Layout, src: str = "close", n: int = 14, out: str = "rsi_14") -> Levels:
     """Simple-mean RSI: 100 - 100 / (1 + mean gain / mean loss) over n deltas.
 
     The missing first delta counts as 0 (so the first value is on row n-1);
-    no losses and some gain -> 100; flat -> NULL.
+    no losses and some gain -> 100; flat -> NULL.  With ``RSI_PREFIX`` the n-row sums are
+    differences of running sums inside the block (O(1) per row); a run of zero losses
+    leaves the running sum unchanged, so "no loss" stays exactly 0.
     """
     d = F.col(f"_t_d_{out}")
-    ag = rolling(F.avg, lay, F.when(d > 0, d).otherwise(F.lit(0.0)), n)
-    al = rolling(F.avg, lay, F.when(d < 0, -d).otherwise(F.lit(0.0)), n)
+    gain = F.when(d > 0, d).otherwise(F.lit(0.0))
+    loss = F.when(d < 0, -d).otherwise(F.lit(0.0))
+    if not RSI_PREFIX:
+        ag = rolling(F.avg, lay, gain, n)
+        al = rolling(F.avg, lay, loss, n)
+        lvl2 = {}
+    else:
+        if n - 1 > lay.halo_rows:
+            raise ValueError(f"look-back {n - 1} exceeds the halo of {lay.halo_rows} rows")
+        run = lay.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        sg, sl, k = f"_t_sg_{out}", f"_t_sl_{out}", f"_t_k_{out}"
+        lvl2 = {sg: F.sum(gain).over(run), sl: F.sum(loss).over(run), k: F.count(F.lit(1)).over(run)}
+        full = F.col(k) >= n
+
+        def frame(c):
+            return F.col(c) - F.coalesce(F.lag(F.col(c), n).over(lay.window()), F.lit(0.0))
+
+        ag = F.when(full, frame(sg) / F.lit(float(n)))
+        al = F.when(full, frame(sl) / F.lit(float(n)))
     val = (F.when((al == 0) & (ag > 0), F.lit(100.0))
             .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.try_divide(ag, al))))
-    return [{f"_t_d_{out}": F.col(src) - lag(lay, src, 1)}, {out: val}]
+    levels = [{f"_t_d_{out}": F.col(src) - lag(lay, src, 1)}]
+    if lvl2:
+        levels.append(lvl2)
+    levels.append({out: val})
+    return levels
 
 
 def bollinger(lay: Layout, src: str = "close", n: int = 20, k: float = 2.0, prefix: str = "bb") -> Levels:
