@@ -13,7 +13,15 @@ from pyspark.sql import functions as F
 from barwright.operators import quality as qy
 from barwright.operators import runs as r
 
-# Fixed values of the report rules.
+# Fixed values of the report rules: thresholds and recommendation texts.
+REC_FAILED_RUNS = "Investigate failed runs and consider retry mechanism"
+REC_RETRIED_RUNS = "Monitor retry patterns to identify recurring issues"
+REC_SLOW_RUNS = "Consider optimizing pipeline performance"
+REC_LOW_SUCCESS = "Low success rate detected - investigate recent failures"
+REC_FETCH_FAILURES = "Multiple fetch_data failures - check API connectivity"
+REC_FEATURE_FAILURES = "Feature processing issues detected - review data quality"
+REC_FAILED_TESTS = "Investigate failed tests"
+REC_PIPELINE_SLOW = "Pipeline runtime exceeded threshold"
 LOW_SUCCESS_PCT = 80
 FETCH_FAILURES_MAX = 2
 FEATURE_FAILURES_MAX = 1
@@ -75,10 +83,10 @@ def features_profile(df: DataFrame, expected: list[str], expected_tickers: int =
 def run_rules(runs: DataFrame) -> DataFrame:
     """Run-log recommendations (Q5): any failed run, any retried run, mean runtime > 1 h."""
     stats = r.run_stats(runs)
-    rules = [("failed_runs", F.col("failed_runs") > 0, "warning", "Investigate failed runs and consider retry mechanism"),
-             ("retried_runs", F.col("retried_runs") > 0, "warning", "Monitor retry patterns to identify recurring issues"),
+    rules = [("failed_runs", F.col("failed_runs") > 0, "warning", REC_FAILED_RUNS),
+             ("retried_runs", F.col("retried_runs") > 0, "warning", REC_RETRIED_RUNS),
              ("slow_runs", F.coalesce(F.col("avg_runtime_seconds"), F.lit(0.0)) > r.SLOW_RUN_SECONDS, "warning",
-              "Consider optimizing pipeline performance")]
+              REC_SLOW_RUNS)]
     return qy.evaluate_rules(stats, rules)
 
 
@@ -91,23 +99,24 @@ def dashboard_recommendations(runs: DataFrame, fetch_key: str, feature_key: str,
     e = errs.agg(F.coalesce(F.sum(F.when(F.col("error_key") == fetch_key, F.col("n"))), F.lit(0)).alias("fetch"),
                  F.coalesce(F.sum(F.when(F.col("error_key") == feature_key, F.col("n"))), F.lit(0)).alias("feat"))
     recs = (summary.select(F.when(F.col("success_rate") < LOW_SUCCESS_PCT,
-                                  F.lit("Low success rate detected - investigate recent failures")).alias("rec"))
+                                  F.lit(REC_LOW_SUCCESS)).alias("rec"))
             .unionByName(e.select(F.when(F.col("fetch") > FETCH_FAILURES_MAX,
-                                         F.lit("Multiple fetch_data failures - check API connectivity")).alias("rec")))
+                                         F.lit(REC_FETCH_FAILURES)).alias("rec")))
             .unionByName(e.select(F.when(F.col("feat") > FEATURE_FAILURES_MAX,
-                                         F.lit("Feature processing issues detected - review data quality")).alias("rec"))))
+                                         F.lit(REC_FEATURE_FAILURES)).alias("rec"))))
     if report_recs is not None:
         recs = recs.unionByName(report_recs.select(F.col("recommendation").alias("rec")))
     return recs.filter(F.col("rec").isNotNull()).distinct().withColumnRenamed("rec", "recommendation")
 
 
 def pipeline_report(test_failed: Column, total_seconds: Column) -> tuple[Column, Column]:
-    """Pipeline report rules (Q7): (status, recommendation) from failed tests and total time."""
+    """Pipeline report rules (Q7): (status, recommendations) from failed tests and total time.
+    Both rules may fire; recommendations are joined with '; ' (NULL when none fires)."""
     status = (F.when(test_failed > 0, F.lit("critical"))
                .when(total_seconds > PIPELINE_SLOW_SECONDS, F.lit("warning")).otherwise(F.lit("healthy")))
-    rec = (F.when(test_failed > 0, F.lit("Fix failing tests"))
-            .when(total_seconds > PIPELINE_SLOW_SECONDS, F.lit("Pipeline is slow")))
-    return status, rec
+    recs = F.concat_ws("; ", F.when(test_failed > 0, F.lit(REC_FAILED_TESTS)),
+                       F.when(total_seconds > PIPELINE_SLOW_SECONDS, F.lit(REC_PIPELINE_SLOW)))
+    return status, F.when(recs != "", recs)
 
 
 def dashboard_document(runs: DataFrame, recs: DataFrame) -> DataFrame:

@@ -50,7 +50,8 @@ def dashboard_recommendations(spark, sf):
 
 @register("pipeline_report", f"""SELECT run_id,
   CASE WHEN retry_count > 0 THEN 'critical' WHEN {DUR} > 300 THEN 'warning' ELSE 'healthy' END AS status,
-  CASE WHEN retry_count > 0 THEN 'Fix failing tests' WHEN {DUR} > 300 THEN 'Pipeline is slow' END AS recommendation
+  NULLIF(concat_ws('; ', CASE WHEN retry_count > 0 THEN 'Investigate failed tests' END,
+                   CASE WHEN {DUR} > 300 THEN 'Pipeline runtime exceeded threshold' END), '') AS recommendation
 FROM ({RUNS_SQL}) r WHERE end_time IS NOT NULL""")
 def pipeline_report(spark, sf):
     """Pipeline report rules (Q7) per ended run: retries stand for failed tests."""
