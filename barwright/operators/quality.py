@@ -116,17 +116,19 @@ SEVERITY = {"healthy": 0, "warning": 1, "critical": 2}
 
 def evaluate_rules(facts: DataFrame, rules: list[tuple[str, Column, str, str]],
                    last_rule_wins: bool = False) -> DataFrame:
-    """Evaluate (name, condition, severity, text) rules on each fact row.
+    """Evaluate (name, condition, severity, text) rules on each fact row; ``text`` is a string
+    or a Column (a message built from the facts).
 
     Output per fact row: status (max severity, or with ``last_rule_wins`` the severity of
     the last firing rule, as in the literal report code), fired rule names and texts.
     """
     fired = F.array(*[F.when(cond, F.struct(F.lit(j).alias("ord"), F.lit(name).alias("rule"),
-                                            F.lit(SEVERITY[sev]).alias("sev"), F.lit(text).alias("text")))
+                                            F.lit(SEVERITY[sev]).alias("sev"),
+                                            (text if isinstance(text, Column) else F.lit(text)).alias("text")))
                       for j, (name, cond, sev, text) in enumerate(rules)])
     fired = F.filter(fired, lambda x: x.isNotNull())
     names = {v: k for k, v in SEVERITY.items()}
-    sev_expr = (F.element_at(fired, -1)["sev"] if last_rule_wins
+    sev_expr = (F.try_element_at(fired, F.lit(-1))["sev"] if last_rule_wins
                 else F.array_max(F.transform(fired, lambda x: x["sev"])))
     sev_expr = F.coalesce(sev_expr, F.lit(0))
     status = F.when(sev_expr == 2, F.lit(names[2])).when(sev_expr == 1, F.lit(names[1])).otherwise(F.lit(names[0]))

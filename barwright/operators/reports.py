@@ -20,6 +20,10 @@ REC_SLOW_RUNS = "Consider optimizing pipeline performance"
 REC_LOW_SUCCESS = "Low success rate detected - investigate recent failures"
 REC_FETCH_FAILURES = "Multiple fetch_data failures - check API connectivity"
 REC_FEATURE_FAILURES = "Feature processing issues detected - review data quality"
+REC_NO_PROCESSED = "No processed data found - pipeline may have failed"
+REC_HIGH_MISSING = "High missing data percentage: {pct}%"
+REC_TESTS_FAILED = "{n} tests failed - investigate immediately"
+REC_HIGH_NULLS = "High null percentage in processed data"
 REC_FAILED_TESTS = "Investigate failed tests"
 REC_PIPELINE_SLOW = "Pipeline runtime exceeded threshold"
 LOW_SUCCESS_PCT = 80
@@ -109,6 +113,28 @@ def dashboard_recommendations(runs: DataFrame, fetch_key: str, feature_key: str,
     return recs.filter(F.col("rec").isNotNull()).distinct().withColumnRenamed("rec", "recommendation")
 
 
+def one_decimal(x: Column) -> Column:
+    """x with one decimal as text; rounded first (half away from zero) so no engine's
+    formatter decides a tie."""
+    return F.format_string("%.1f", F.round(x.cast("double") * 10.0, 0) / 10.0)
+
+
+def integrity_rules(facts: DataFrame, max_runtime_minutes: float = 5, last_rule_wins: bool = False) -> DataFrame:
+    """Integrity-report rules (Q4) on fact rows with columns ``processed_exists``,
+    ``missing_pct``, ``runtime_minutes``, ``failed_tests``, ``null_pct``: no processed data
+    -> critical, missing > 50 % -> warning, runtime above the limit -> warning, failed tests
+    -> critical, nulls > 10 % -> warning.  Status = max severity (``last_rule_wins`` for the
+    literal assignment order)."""
+    pct_text = F.replace(F.lit(REC_HIGH_MISSING), F.lit("{pct}"), one_decimal(F.col("missing_pct")))
+    tests_text = F.replace(F.lit(REC_TESTS_FAILED), F.lit("{n}"), F.col("failed_tests").cast("string"))
+    rules = [("no_processed", ~F.col("processed_exists"), "critical", REC_NO_PROCESSED),
+             ("missing", F.col("missing_pct") > 50, "warning", pct_text),
+             ("runtime", F.col("runtime_minutes") > max_runtime_minutes, "warning", REC_PIPELINE_SLOW),
+             ("tests", F.col("failed_tests") > 0, "critical", tests_text),
+             ("nulls", F.col("null_pct") > 10, "warning", REC_HIGH_NULLS)]
+    return qy.evaluate_rules(facts, rules, last_rule_wins)
+
+
 def pipeline_report(test_failed: Column, total_seconds: Column) -> tuple[Column, Column]:
     """Pipeline report rules (Q7): (status, recommendations) from failed tests and total time.
     Both rules may fire; recommendations are joined with '; ' (NULL when none fires)."""

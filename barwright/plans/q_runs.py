@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barwright.functions.nulls import safe_divide as _safe_divide
 from barwright.operators import runs as r
-from barwright.operators.quality import evaluate_rules
+from barwright.operators.reports import integrity_rules
 from barwright.plans import datasets as ds
 from barwright.plans.catalog import r6, register
 
@@ -124,37 +124,39 @@ def safe_divide(spark, sf):
                         _safe_divide(F.col("l_discount"), F.col("l_tax"), 0.0).alias("discount_per_tax")))
 
 
-RULES_FACTS_SQL = f"""SELECT run_id, count_rows, error_pct, runtime_seconds, retry_count FROM (
-  SELECT user_id AS run_id, CAST(count(*) AS BIGINT) AS count_rows,
-    count(*) FILTER (WHERE event_type = 'error') * 100.0 / count(*) AS error_pct,
-    date_diff('microsecond', min(ts), max(ts)) / 1e6 AS runtime_seconds,
-    CAST(count(*) FILTER (WHERE event_type = 'error') AS INTEGER) AS retry_count
-  FROM events GROUP BY user_id) f"""
+RULES_FACTS_SQL = """SELECT user_id AS run_id, count(*) > 0 AS processed_exists,
+    count(*) FILTER (WHERE event_type = 'error') * 100.0 / count(*) AS missing_pct,
+    date_diff('microsecond', min(ts), max(ts)) / 1e6 / 60.0 AS runtime_minutes,
+    CAST(count(*) FILTER (WHERE event_type = 'error' AND value > 400) AS INTEGER) AS failed_tests,
+    count(*) FILTER (WHERE event_type = 'view') * 100.0 / count(*) AS null_pct
+  FROM events GROUP BY user_id"""
+
+_SEV = """greatest(CASE WHEN NOT processed_exists THEN 2 ELSE 0 END, CASE WHEN missing_pct > 50 THEN 1 ELSE 0 END,
+                  CASE WHEN runtime_minutes > 5 THEN 1 ELSE 0 END, CASE WHEN failed_tests > 0 THEN 2 ELSE 0 END,
+                  CASE WHEN null_pct > 10 THEN 1 ELSE 0 END)"""
 
 
 @register("status_rules", f"""SELECT run_id,
-  CASE WHEN greatest(CASE WHEN count_rows = 0 THEN 2 ELSE 0 END, CASE WHEN error_pct > 50 THEN 1 ELSE 0 END,
-                     CASE WHEN runtime_seconds > 300 THEN 1 ELSE 0 END, CASE WHEN retry_count > 0 THEN 2 ELSE 0 END,
-                     CASE WHEN error_pct > 10 THEN 1 ELSE 0 END) = 2 THEN 'critical'
-       WHEN greatest(CASE WHEN error_pct > 50 THEN 1 ELSE 0 END, CASE WHEN runtime_seconds > 300 THEN 1 ELSE 0 END,
-                     CASE WHEN error_pct > 10 THEN 1 ELSE 0 END) = 1 THEN 'warning' ELSE 'healthy' END AS status,
-  CAST((CASE WHEN count_rows = 0 THEN 1 ELSE 0 END) + (CASE WHEN error_pct > 50 THEN 1 ELSE 0 END)
-       + (CASE WHEN runtime_seconds > 300 THEN 1 ELSE 0 END) + (CASE WHEN retry_count > 0 THEN 1 ELSE 0 END)
-       + (CASE WHEN error_pct > 10 THEN 1 ELSE 0 END) AS INTEGER) AS rules_fired
+  CASE {_SEV} WHEN 2 THEN 'critical' WHEN 1 THEN 'warning' ELSE 'healthy' END AS status,
+  NULLIF(concat_ws('; ',
+    CASE WHEN NOT processed_exists THEN 'No processed data found - pipeline may have failed' END,
+    CASE WHEN missing_pct > 50 THEN 'High missing data percentage: '
+         || printf('%.1f', round(missing_pct * 10.0) / 10.0) || '%' END,
+    CASE WHEN runtime_minutes > 5 THEN 'Pipeline runtime exceeded threshold' END,
+    CASE WHEN failed_tests > 0 THEN CAST(failed_tests AS VARCHAR) || ' tests failed - investigate immediately' END,
+    CASE WHEN null_pct > 10 THEN 'High null percentage in processed data' END), '') AS recommendations
 FROM ({RULES_FACTS_SQL}) x""")
 def status_rules(spark, sf):
-    """Report rules per run (Q4): no data -> critical, errors > 50 % -> warning, runtime > 5 min
-    -> warning, failures (retries) -> critical, errors > 10 % -> warning; status = max severity."""
+    """Integrity-report rules (Q4) per run of the derived run log: error share stands for
+    missing data, 'view' share for nulls, high-value errors for failed tests."""
     e = ds.table(spark, sf, "events")
+    n = F.count(F.lit(1))
     facts = e.groupBy(F.col("user_id").alias("run_id")).agg(
-        F.count(F.lit(1)).cast("long").alias("count_rows"),
-        (F.count_if(F.col("event_type") == "error") * 100.0 / F.count(F.lit(1))).alias("error_pct"),
-        r.seconds_between(F.max("ts"), F.min("ts")).alias("runtime_seconds"),
-        F.count_if(F.col("event_type") == "error").cast("int").alias("retry_count"))
-    rules = [("no_data", F.col("count_rows") == 0, "critical", "no processed data"),
-             ("missing", F.col("error_pct") > 50, "warning", "more than half of the data missing"),
-             ("slow", F.col("runtime_seconds") > 300, "warning", "runtime above 5 minutes"),
-             ("failed_tests", F.col("retry_count") > 0, "critical", "failures recorded"),
-             ("nulls", F.col("error_pct") > 10, "warning", "more than 10 % bad rows")]
-    out = evaluate_rules(facts, rules)
-    return out.select("run_id", "status", F.size("rules_fired").alias("rules_fired"))
+        (n > 0).alias("processed_exists"),
+        (F.count_if(F.col("event_type") == "error") * 100.0 / n).alias("missing_pct"),
+        (r.seconds_between(F.max("ts"), F.min("ts")) / 60.0).alias("runtime_minutes"),
+        F.count_if((F.col("event_type") == "error") & (F.col("value") > 400)).cast("int").alias("failed_tests"),
+        (F.count_if(F.col("event_type") == "view") * 100.0 / n).alias("null_pct"))
+    out = integrity_rules(facts)
+    joined = F.concat_ws("; ", F.col("recommendations"))
+    return out.select("run_id", "status", F.when(joined != "", joined).alias("recommendations"))

@@ -97,3 +97,16 @@ def test_durations_ignore_session_zone(spark):
         assert row.s == 7200.0 and row.w == d("2024-03-10 03:30:00")
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_integrity_rules_texts(spark):
+    facts = spark.createDataFrame([(1, False, 61.25, 7.0, 3, 12.0), (2, True, 10.0, 1.0, 0, 0.0)],
+                                  "id int, processed_exists boolean, missing_pct double, runtime_minutes double, "
+                                  "failed_tests int, null_pct double")
+    got = {x.id: (x.status, x.recommendations) for x in rp.integrity_rules(facts).collect()}
+    assert got[1] == ("critical", ["No processed data found - pipeline may have failed",
+                                   "High missing data percentage: 61.3%", "Pipeline runtime exceeded threshold",
+                                   "3 tests failed - investigate immediately", "High null percentage in processed data"])
+    assert got[2] == ("healthy", [])
+    literal = {x.id: x.status for x in rp.integrity_rules(facts, last_rule_wins=True).collect()}
+    assert literal[1] == "warning"
