@@ -125,10 +125,12 @@ def format_time(seconds: Column) -> Column:
 
 
 def format_progress(cur: Column, total: Column, elapsed: Column) -> Column:
-    """'c/t (p%) ETA: …'; total 0 -> '0/0 (0%)' (F9)."""
+    """'c/t (p%) ETA: …' (no ETA before the first item is done); total 0 -> '0/0 (0%)' (F9)."""
     pct, eta = progress(cur.cast("double"), total.cast("double"), elapsed.cast("double"))
+    pct1 = F.round(pct * 10.0, 0) / 10.0
+    eta_part = F.when(cur > 0, F.concat(F.lit(" ETA: "), format_time(eta))).otherwise(F.lit(""))
     return F.when(total == 0, F.lit("0/0 (0%)")).otherwise(
-        F.format_string("%d/%d (%.1f%%) ETA: %s", cur.cast("long"), total.cast("long"), pct, format_time(eta)))
+        F.concat(F.format_string("%d/%d (%.1f%%)", cur.cast("long"), total.cast("long"), pct1), eta_part))
 
 
 def dashboard_summary(runs: DataFrame, last: int = 10) -> DataFrame:

@@ -110,3 +110,10 @@ def test_integrity_rules_texts(spark):
     assert got[2] == ("healthy", [])
     literal = {x.id: x.status for x in rp.integrity_rules(facts, last_rule_wins=True).collect()}
     assert literal[1] == "warning"
+
+
+def test_format_progress(spark):
+    from barwright.operators import runs as r
+    df = spark.createDataFrame([(0, 10, 5.0), (5, 10, 30.0), (0, 0, 1.0), (1, 3, 4000.0)], "c int, t int, e double")
+    got = [x.p for x in df.select(r.format_progress(F.col("c"), F.col("t"), F.col("e")).alias("p")).collect()]
+    assert got == ["0/10 (0.0%)", "5/10 (50.0%) ETA: 30.0s", "0/0 (0%)", "1/3 (33.3%) ETA: 2.2h"]
