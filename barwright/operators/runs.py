@@ -76,12 +76,12 @@ def runs_by_mode(runs: DataFrame) -> DataFrame:
 
 def error_key(msg: Column) -> Column:
     """Text before the first ';', then before the first '.' (A14)."""
-    return F.trim(F.substring_index(F.substring_index(msg, ";", 1), ".", 1))
+    return F.substring_index(F.substring_index(msg, ";", 1), ".", 1)
 
 
 def error_distribution(runs: DataFrame) -> DataFrame:
-    """Failed runs per error key."""
-    return (runs.filter((F.col("status") == "failed") & F.col("error_message").isNotNull())
+    """Runs per error key, over every run that carries an error message."""
+    return (runs.filter(F.col("error_message").isNotNull() & (F.col("error_message") != ""))
                 .groupBy(error_key(F.col("error_message")).alias("error_key"))
                 .agg(F.count(F.lit(1)).cast("long").alias("n")))
 
@@ -138,10 +138,12 @@ def dashboard_summary(runs: DataFrame, last: int = 10) -> DataFrame:
     top = runs.orderBy(F.col("start_time").desc(), F.col("run_id").desc()).limit(last)
     n = F.count(F.lit(1))
     ok = F.count_if(F.col("status") == "completed")
+    dur = F.when(F.col("end_time").isNotNull(), seconds_between(F.col("end_time"), F.col("start_time")))
     return top.agg(n.cast("long").alias("total_runs"), ok.cast("long").alias("successful_runs"),
                    F.count_if(F.col("status") == "failed").cast("long").alias("failed_runs"),
                    F.count_if(F.col("status") == "running").cast("long").alias("running_runs"),
-                   F.when(n > 0, ok * 100.0 / n).otherwise(F.lit(0.0)).alias("success_rate"))
+                   F.when(n > 0, ok * 100.0 / n).otherwise(F.lit(0.0)).alias("success_rate"),
+                   F.coalesce(F.avg(dur), F.lit(0.0)).alias("average_runtime_seconds"))
 
 
 def runs_from_events(events: DataFrame) -> DataFrame:

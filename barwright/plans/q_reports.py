@@ -32,8 +32,8 @@ def run_rules(spark, sf):
 
 
 @register("dashboard_recommendations", f"""WITH l AS (SELECT * FROM ({RUNS_SQL}) r ORDER BY start_time DESC, run_id DESC LIMIT 10),
-e AS (SELECT trim(split_part(split_part(error_message, ';', 1), '.', 1)) AS k, count(*) AS n
-      FROM ({RUNS_SQL}) r WHERE status = 'failed' AND error_message IS NOT NULL GROUP BY 1)
+e AS (SELECT split_part(split_part(error_message, ';', 1), '.', 1) AS k, count(*) AS n
+      FROM ({RUNS_SQL}) r WHERE error_message IS NOT NULL AND error_message <> '' GROUP BY 1)
 SELECT DISTINCT recommendation FROM (
   SELECT CASE WHEN count(*) FILTER (WHERE status = 'completed') * 100.0 / count(*) < 80
          THEN 'Low success rate detected - investigate recent failures' END AS recommendation FROM l

@@ -58,9 +58,9 @@ def runs_by_mode(spark, sf):
     return r.runs_by_mode(runs(spark, sf))
 
 
-@register("error_distribution", f"""SELECT trim(split_part(split_part(error_message, ';', 1), '.', 1)) AS error_key,
+@register("error_distribution", f"""SELECT split_part(split_part(error_message, ';', 1), '.', 1) AS error_key,
   CAST(count(*) AS BIGINT) AS n FROM ({RUNS_SQL}) r
-WHERE status = 'failed' AND error_message IS NOT NULL GROUP BY 1""")
+WHERE error_message IS NOT NULL AND error_message <> '' GROUP BY 1""")
 def error_distribution(spark, sf):
     return r.error_distribution(runs(spark, sf))
 
@@ -94,7 +94,8 @@ def stage_rollup(spark, sf):
   CAST(count(*) FILTER (WHERE status = 'failed') AS BIGINT) AS failed_runs,
   CAST(count(*) FILTER (WHERE status = 'running') AS BIGINT) AS running_runs,
   round(CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE status = 'completed') * 100.0 / count(*) ELSE 0.0 END, 6)
-    AS success_rate
+    AS success_rate,
+  round(coalesce(avg(CASE WHEN end_time IS NOT NULL THEN {DUR} END), 0.0), 6) AS average_runtime_seconds
 FROM (SELECT * FROM ({RUNS_SQL}) r ORDER BY start_time DESC, run_id DESC LIMIT 10) t""")
 def dashboard_summary(spark, sf):
     """Summary of the last 10 runs (A13) - the limit is the feature."""
