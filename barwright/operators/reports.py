@@ -89,7 +89,7 @@ def run_rules(runs: DataFrame) -> DataFrame:
     stats = r.run_stats(runs)
     rules = [("failed_runs", F.col("failed_runs") > 0, "warning", REC_FAILED_RUNS),
              ("retried_runs", F.col("retried_runs") > 0, "warning", REC_RETRIED_RUNS),
-             ("slow_runs", F.coalesce(F.col("avg_runtime_seconds"), F.lit(0.0)) > r.SLOW_RUN_SECONDS, "warning",
+             ("slow_runs", F.coalesce(F.col("average_runtime_seconds"), F.lit(0.0)) > r.SLOW_RUN_SECONDS, "warning",
               REC_SLOW_RUNS)]
     return qy.evaluate_rules(stats, rules)
 

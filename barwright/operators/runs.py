@@ -59,18 +59,18 @@ def run_stats(runs: DataFrame) -> DataFrame:
     n = F.count(F.lit(1))
     done = F.count_if(F.col("status") == "completed")
     dur = F.when(F.col("end_time").isNotNull(), seconds_between(F.col("end_time"), F.col("start_time")))
-    return runs.agg(n.cast("long").alias("total_runs"), done.cast("long").alias("completed_runs"),
+    return runs.agg(n.cast("long").alias("total_runs"), done.cast("long").alias("successful_runs"),
                     F.count_if(F.col("status") == "failed").cast("long").alias("failed_runs"),
                     F.count_if(F.col("retry_count") > 0).cast("long").alias("retried_runs"),
                     F.when(n > 0, done * 100.0 / n).otherwise(F.lit(0.0)).alias("success_rate"),
-                    F.avg(dur).alias("avg_runtime_seconds"))
+                    F.coalesce(F.avg(dur), F.lit(0.0)).alias("average_runtime_seconds"))
 
 
 def runs_by_mode(runs: DataFrame) -> DataFrame:
     """Per mode: total, successful, failed = everything not completed."""
     done = F.count_if(F.col("status") == "completed")
     n = F.count(F.lit(1))
-    return runs.groupBy("mode").agg(n.cast("long").alias("total"), done.cast("long").alias("successful"),
+    return runs.groupBy(F.coalesce(F.col("mode"), F.lit("unknown")).alias("mode")).agg(n.cast("long").alias("total"), done.cast("long").alias("successful"),
                                     (n - done).cast("long").alias("failed"))
 
 

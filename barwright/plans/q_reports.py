@@ -20,10 +20,10 @@ BASE = ["open", "high", "low", "close"]
 
 @register("run_rules", f"""WITH s AS (SELECT count(*) FILTER (WHERE status = 'failed') AS failed_runs,
   count(*) FILTER (WHERE retry_count > 0) AS retried_runs,
-  avg(CASE WHEN end_time IS NOT NULL THEN {DUR} END) AS avg_runtime_seconds FROM ({RUNS_SQL}) r)
-SELECT CASE WHEN failed_runs > 0 OR retried_runs > 0 OR coalesce(avg_runtime_seconds, 0) > 3600
+  avg(CASE WHEN end_time IS NOT NULL THEN {DUR} END) AS average_runtime_seconds FROM ({RUNS_SQL}) r)
+SELECT CASE WHEN failed_runs > 0 OR retried_runs > 0 OR coalesce(average_runtime_seconds, 0) > 3600
             THEN 'warning' ELSE 'healthy' END AS status,
-  CAST((failed_runs > 0)::INT + (retried_runs > 0)::INT + (coalesce(avg_runtime_seconds, 0) > 3600)::INT AS INTEGER)
+  CAST((failed_runs > 0)::INT + (retried_runs > 0)::INT + (coalesce(average_runtime_seconds, 0) > 3600)::INT AS INTEGER)
     AS rules_fired FROM s""")
 def run_rules(spark, sf):
     """Run-log rules (Q5) over the run log derived from events."""

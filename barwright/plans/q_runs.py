@@ -39,21 +39,21 @@ def run_log(spark, sf):
 
 
 @register("run_stats", f"""SELECT CAST(count(*) AS BIGINT) AS total_runs,
-  CAST(count(*) FILTER (WHERE status = 'completed') AS BIGINT) AS completed_runs,
+  CAST(count(*) FILTER (WHERE status = 'completed') AS BIGINT) AS successful_runs,
   CAST(count(*) FILTER (WHERE status = 'failed') AS BIGINT) AS failed_runs,
   CAST(count(*) FILTER (WHERE retry_count > 0) AS BIGINT) AS retried_runs,
   round(CASE WHEN count(*) > 0 THEN count(*) FILTER (WHERE status = 'completed') * 100.0 / count(*) ELSE 0.0 END, 6)
     AS success_rate,
-  round(avg(CASE WHEN end_time IS NOT NULL THEN {DUR} END), 6) AS avg_runtime_seconds
+  round(coalesce(avg(CASE WHEN end_time IS NOT NULL THEN {DUR} END), 0.0), 6) AS average_runtime_seconds
 FROM ({RUNS_SQL}) r""")
 def run_stats(spark, sf):
     return r6(r.run_stats(runs(spark, sf)))
 
 
-@register("runs_by_mode", f"""SELECT mode, CAST(count(*) AS BIGINT) AS total,
+@register("runs_by_mode", f"""SELECT coalesce(mode, 'unknown') AS mode, CAST(count(*) AS BIGINT) AS total,
   CAST(count(*) FILTER (WHERE status = 'completed') AS BIGINT) AS successful,
   CAST(count(*) - count(*) FILTER (WHERE status = 'completed') AS BIGINT) AS failed
-FROM ({RUNS_SQL}) r GROUP BY mode""")
+FROM ({RUNS_SQL}) r GROUP BY 1""")
 def runs_by_mode(spark, sf):
     return r.runs_by_mode(runs(spark, sf))
 

@@ -161,8 +161,8 @@ def test_run_operators(spark):
         "run_id string, start_time timestamp_ntz, end_time timestamp_ntz, mode string, status string, "
         "retry_count int, error_message string")
     s = r.run_stats(runs).collect()[0]
-    assert (s.total_runs, s.completed_runs, s.failed_runs, s.retried_runs) == (4, 1, 2, 2)
-    assert abs(s.avg_runtime_seconds - (600 + 60 + 30) / 3) < 1e-9
+    assert (s.total_runs, s.successful_runs, s.failed_runs, s.retried_runs) == (4, 1, 2, 2)
+    assert abs(s.average_runtime_seconds - (600 + 60 + 30) / 3) < 1e-9
     modes = {x.mode: (x.total, x.successful, x.failed) for x in r.runs_by_mode(runs).collect()}
     assert modes["daily"] == (2, 1, 1) and modes["weekly"] == (1, 0, 1)
     assert {x.error_key: x.n for x in r.error_distribution(runs).collect()} == {"Fetch failed": 2}

@@ -50,8 +50,8 @@ def test_run_log_json_and_rollup(spark):
                                                                          ("daily_1", "features", 100.0)]
     typed = r.runs_from_log(log)
     s = r.run_stats(typed).collect()[0]
-    assert (s.total_runs, s.completed_runs, s.failed_runs, s.retried_runs) == (2, 1, 1, 1)
-    assert abs(s.avg_runtime_seconds - (600 + 3600) / 2) < 1e-9
+    assert (s.total_runs, s.successful_runs, s.failed_runs, s.retried_runs) == (2, 1, 1, 1)
+    assert abs(s.average_runtime_seconds - (600 + 3600) / 2) < 1e-9
     assert [x.error_key for x in r.error_distribution(typed).collect()] == ["fetch_data failed"]
 
 
