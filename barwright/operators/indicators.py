@@ -135,9 +135,18 @@ def momentum(lay: Layout, periods=(1, 5, 10), src: str = "close") -> Levels:
 
 def volume_ratio(lay: Layout, n: int = 20, src: str = "volume", sma_out: str = "volume_sma",
                  out: str = "volume_ratio") -> Levels:
-    v = F.col(src).cast("double")
-    m = rolling(F.avg, lay, v, n)
-    return [{sma_out: m, out: div(v, m)}]
+    """volume_sma = n-row mean of volume, volume_ratio = volume / volume_sma.  Volumes are
+    integers, so the n-row sum is an exact difference of long running sums (O(1) per row)."""
+    if n - 1 > lay.halo_rows:
+        raise ValueError(f"look-back {n - 1} exceeds the halo of {lay.halo_rows} rows")
+    c = F.col(src)
+    run = lay.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    s, k = f"_t_vs_{out}", f"_t_vk_{out}"
+    lvl1 = {s: F.sum(c.cast("long")).over(run), k: F.count(c).over(run)}
+    prev_s = F.coalesce(F.lag(F.col(s), n).over(lay.window()), F.lit(0).cast("long"))
+    prev_k = F.coalesce(F.lag(F.col(k), n).over(lay.window()), F.lit(0))
+    m = F.when(F.col(k) - prev_k == n, (F.col(s) - prev_s).cast("double") / F.lit(float(n)))
+    return [lvl1, {sma_out: m, out: div(c.cast("double"), m)}]
 
 
 def atr(lay: Layout, n: int = 14, out: str = "atr_14") -> Levels:
