@@ -10,10 +10,14 @@ splits every series into bounded pieces instead:
 * ``block_layout``: block ``_blk = _i div block_rows``; the last ``halo_rows`` rows
   of every block are copied into the next block (``_h = 1``), so any frame that
   looks back at most ``halo_rows`` rows is exact inside ``(ticker, _blk)``.
-* ``ema_columns``: the exponential mean as a two-level block scan.  Inside a
-  64-row sub-block the recurrence is a running sum in log space; the carry
+* ``block_table``: per-(ticker, block) side table (last observation before a block,
+  kept rows after it), scanned in two levels (blocks in super-blocks, super-blocks).
+* ``ema_family``: exponential means (and a MACD signal) as a two-level block scan.
+  Inside a 64-row sub-block the recurrence is a running sum in log space; the carry
   entering each sub-block is an affine prefix over a table 64x smaller than the
   data, folded with ``aggregate`` per group of 64 and recursed while needed.
+* ``index_series_ranged``: positions for rows of any density (raw events), from a
+  range partitioning that splits a hot key across partitions.
 
 Every table that is shuffled whole is keyed by ``(ticker, _blk)`` or
 ``(ticker, bucket)``, so no group grows with the length of a series.
