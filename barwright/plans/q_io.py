@@ -158,7 +158,8 @@ def freshness(spark, sf):
 
 @register("stream_bars", f"SELECT ticker, date, {sql_r6(BASE)}, volume FROM ({BARS_EVENTS}) b")
 def stream_bars(spark, sf):
-    """Hourly bars from the events table read as a stream (ST2 + ST3), drained with
+    """Hourly bars from the events table read as a stream, repeats of an event id dropped
+    within the watermark (ST2), bars per event-time hour (ST3), drained with
     availableNow in complete mode."""
     schema = ds.table(spark, sf, "events").schema
     # a stream source is a directory: the driver's folder, filtered to the events file.
@@ -166,7 +167,7 @@ def stream_bars(spark, sf):
     # wall-clock hours whatever the session time zone.
     ticks = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
              .withColumn("ts", wall_to_instant(F.col("ts"))))
-    bars = tick_bars_stream(ticks, "event_type", "ts", "value", "event_id", dedupe_key=None)
+    bars = tick_bars_stream(ticks, "event_type", "ts", "value", "event_id", dedupe_key="event_id")
     name = "stream_bars_" + os.urandom(4).hex()
     run_to_table(bars, name, scratch_dir(spark, "stream-ckpt"))
     out = spark.table(name).select("ticker", instant_to_wall(F.col("w.start")).alias("date"),
