@@ -256,6 +256,33 @@ def _weights(x: Column, prev: Column, span: float):
     return lf, w
 
 
+def _fused_carries(summary: DataFrame, key: str, m: int, jf: int, js: int) -> DataFrame:
+    """Carries entering every sub-block for ``m`` exponential means and the signal, when a
+    ticker has fewer than ``FANOUT`` sub-blocks (one bounded array per ticker).  The signal's
+    step needs the fast / slow carries at the same sub-block, so all run in one fold; the
+    multiply-adds are those of ``affine_exclusive_prefix``, in the same order."""
+    elem = F.struct(F.col("_s").alias("i"),
+                    *[F.exp(F.col(f"e.P{j}")).alias(f"a{j}") for j in range(m)],
+                    *[F.col(f"e.L{j}").alias(f"b{j}") for j in range(m)],
+                    F.exp(F.col("e._P_sig")).alias("a9"), F.col("e._sig_a").alias("sa"),
+                    F.col("e._sig_b").alias("sb"), F.col("e._sig_c").alias("sc"))
+    grouped = summary.groupBy(key).agg(F.array_sort(F.collect_list(elem)).alias("xs"))
+    out_type = "array<struct<_s:bigint," + ",".join([f"c{j}:double" for j in range(m)] + ["c9:double"]) + ">>"
+    init = F.struct(*[F.lit(0.0).alias(f"y{j}") for j in range(m)], F.lit(0.0).alias("y9"),
+                    F.array().cast(out_type).alias("out"))
+
+    def merge(acc, x):
+        cf, cs = acc[f"y{jf}"], acc[f"y{js}"]
+        b9 = x["a9"] * (x["sa"] + cf * x["sb"] - cs * x["sc"])
+        return F.struct(*[(x[f"a{j}"] * acc[f"y{j}"] + x[f"b{j}"]).alias(f"y{j}") for j in range(m)],
+                        (x["a9"] * acc["y9"] + b9).alias("y9"),
+                        F.array_append(acc["out"], F.struct(
+                            x["i"].cast("long").alias("_s"), *[acc[f"y{j}"].alias(f"c{j}") for j in range(m)],
+                            acc["y9"].alias("c9"))).alias("out"))
+
+    return grouped.select(key, F.inline(F.aggregate("xs", init, merge)["out"]))
+
+
 def ema_family(df: DataFrame, layout: Layout, value: str, prev: Column, spans: dict[str, float],
                max_rows: int, signal: tuple[str, float, str, str] | None = None) -> DataFrame:
     """Exponential means of ``value`` (``ewm(span, adjust=False).mean()``), one column per
@@ -314,10 +341,15 @@ def ema_family(df: DataFrame, layout: Layout, value: str, prev: Column, spans: d
     flat = summary.select(key, "_s",
                           *[F.exp(F.col(f"e.P{j}")).alias(f"A{j}") for j in range(len(names))],
                           *[F.col(f"e.L{j}").alias(f"B{j}") for j in range(len(names))])
-    carries = affine_exclusive_prefix(flat, key, "_s", [(f"A{j}", f"B{j}") for j in range(len(names))],
-                                      max_idx=max_s)
-    carry_cols = [F.col(f"C_{j}").alias(f"c{j}") for j in range(len(names))]
-    if signal is not None:
+    if signal is not None and max_s < FANOUT:
+        # every ticker fits one fold: fast, slow and signal carries in one sequential pass
+        carries = _fused_carries(summary, key, len(names), names.index(signal[2]), names.index(signal[3]))
+        carry_cols = [F.col(f"c{j}") for j in range(len(names))] + [F.col("c9")]
+    else:
+        carries = affine_exclusive_prefix(flat, key, "_s", [(f"A{j}", f"B{j}") for j in range(len(names))],
+                                          max_idx=max_s)
+        carry_cols = [F.col(f"C_{j}").alias(f"c{j}") for j in range(len(names))]
+    if signal is not None and not max_s < FANOUT:
         jf, js = names.index(fast), names.index(slow)
         sig = (summary.join(carries, [key, "_s"])
                       .select(key, "_s", F.col(f"C_{jf}").alias("cf"), F.col(f"C_{js}").alias("cs"),
