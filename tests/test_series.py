@@ -155,3 +155,16 @@ def test_block_table_two_level(spark, monkeypatch):
         prev = obs[obs < start]
         assert (None if pd.isna(r["_pobs_blk"]) else int(r["_pobs_blk"])) == (int(prev.max()) if len(prev) else None)
         assert int(r["_kafter"]) == int((obs >= end).sum())
+
+
+def test_hot_ticker_is_split_into_bounded_blocks(spark):
+    from barwright.operators.series import block_layout
+    lay = Layout(block_rows=128, halo_rows=32)
+    pdf = pd.concat([_walk(5000, 11).assign(ticker="HOT"), _walk(40, 12).assign(ticker="COLD")])
+    layout = block_layout(index_series(_frame(spark, pdf)), lay)
+    sizes = layout.groupBy("ticker", "_blk").count().toPandas()
+    hot = sizes[sizes.ticker == "HOT"]
+    assert len(hot) == -(-5000 // 128)                       # one window partition per block
+    assert hot["count"].max() <= 128 + 32                      # own rows + halo, never the ticker
+    own = layout.filter("_h = 0").count()
+    assert own == 5040                                         # halo copies are extra, rows kept whole
