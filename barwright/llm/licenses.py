@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.llm.text import alnum_words
+from barwright.session import ensure_checkpoint_dir
 
 K = 2
 #: phrases whose every exact place counts (fixed values): phrase, label
@@ -56,15 +57,18 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passag
     label, exact, first word, last word, score (share of the template's grams)."""
     spark = docs.sparkSession
     table = templates(spark, passages)
-    words = docs.select(F.monotonically_increasing_id().alias("_row"), F.col(id_col),
-                        alnum_words(F.col(text_col)).alias("_w"))
-    base = words.select("_row", id_col, F.size("_w").cast("long").alias("n_words"))
+    ensure_checkpoint_dir(spark)
     # hashes of all rolling grams; only places whose hash is a template's are moved
     known = [r[0] for r in table.select(F.xxhash64("w1", "w2")).distinct().collect()]
-    grams = F.zip_with("_w", F.slice("_w", 2, F.size("_w")), lambda a, b: F.xxhash64(a, b))
+    words = docs.select(F.col(id_col), alnum_words(F.col(text_col)).alias("_w"))
+    grams = F.zip_with("_w", F.slice("_w", 2, F.greatest(F.size("_w"), F.lit(1))), lambda a, b: F.xxhash64(a, b))
     places = F.array_remove(F.transform(grams, lambda g, i: F.when(g.isin(known), i).otherwise(-1)), -1)
-    hits = (words.where(F.size("_w") >= K).select("_row", "_w", F.explode(places).alias("p"))
-            .select("_row", "p", F.get("_w", F.col("p")).alias("w1"), F.get("_w", F.col("p") + 1).alias("w2"))
+    held = words.select(
+        F.monotonically_increasing_id().alias("_row"), F.col(id_col), F.size("_w").cast("long").alias("n_words"),
+        F.transform(places, lambda p: F.struct(p.alias("p"), F.get("_w", p).alias("w1"), F.get("_w", p + 1).alias("w2")))
+        .alias("at")).checkpoint()
+    base = held.drop("at")
+    hits = (held.select("_row", F.explode("at").alias("at")).select("_row", "at.*")
             .join(F.broadcast(table), ["w1", "w2"])
             .select("_row", "t", "label", "exact", "grams", "q", "p", (F.col("p") - F.col("q")).alias("d")))
     votes = hits.groupBy("_row", "t", "label", "exact", "grams", "d").agg(

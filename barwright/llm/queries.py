@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from barwright.llm import decontam, htmltext, jaccard, licenses, mixing, quality, secrets, sharding, simhash, tokens
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -66,11 +67,6 @@ def op10_quality(spark, sf_dir):
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_licenses, op3_jaccard, op4_htmltext, op5_tokens, op6_simhash,
                                    op7_mixing, op8_secrets, op9_decontam, op10_quality)}
 
-
-def pipeline(spark, sf_dir):
-    import corpus_pipeline
-
-    return corpus_pipeline.run(spark, sf_dir)
-
-
-QUERIES["pipeline"] = pipeline
+QUERIES["pipeline"] = corpus_pipeline.run
+#: SQL of the queries that SQL can express over whole tables
+ORACLES: dict[str, str] = {}
