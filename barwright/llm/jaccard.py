@@ -11,7 +11,7 @@ are dropped first, paid by the set's slack (its own H is below the band's) and t
 indexed.  If that does not pay for all, the remaining ones are probed as they are: exact always.
 
 Equal sets form one class; only classes are linked.  Members of an equal signature are not
-paired with each other: each round compares them with a few leads of the signature (1, 2, 4, ...)
+paired with each other: each round compares them with a few leads of the signature (1, 4, 16, ...)
 and goes on only where members of different components are left, so a group of n near copies
 costs about n comparisons, yet no link between components is lost.  Candidates are verified on
 the whole shingle sets (64-bit hashes of the words).
@@ -31,43 +31,17 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from barwright.llm.hashing import U64, mixed, shingle_hashes, word_hashes
 from barwright.llm.text import partitions, written
 from barwright.session import ensure_checkpoint_dir
 
-U64 = np.uint64
 #: bits of the candidate filter (2 MB); a fuller filter only lets more sets through
 FILTER_BITS = 24
-#: words remembered by a task before the memory of word hashes starts anew
-WORD_MEMORY = 500_000
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """Bit mixer (xor-shift-multiply) of 64-bit values."""
-    x = (x ^ (x >> U64(31))) * U64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> U64(29))) * U64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> U64(32))
-
-
-class WordHash(dict):
-    def __missing__(self, w: bytes) -> int:
-        if len(self) > WORD_MEMORY:
-            self.clear()
-        h = self[w] = xxhash.xxh64_intdigest(w)
-        return h
-
-
-def shingles(text: str | None, k: int, memory: WordHash) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the k-word shingles; bytes.split() splits at white ASCII
-    characters and bytes.lower() lowers A-Z, which is the word rule of the join."""
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    if not words:
-        return np.empty(0, U64)
-    h = np.fromiter(map(memory.__getitem__, words), U64, len(words))
-    n = max(1, len(h) - k + 1)
-    out = np.full(n, min(k, len(h)), U64)
-    for j in range(min(k, len(h))):
-        out = mixed(out * U64(0x100000001B3) + h[j:j + n])
-    return np.unique(out)
+def shingles(text: str | None, k: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the k-word shingles."""
+    return np.unique(shingle_hashes(word_hashes(text), k))
 
 
 def set_key(s: np.ndarray) -> int:
@@ -120,7 +94,7 @@ def signatures(s: np.ndarray, bands: Bands, cache: dict) -> tuple[np.ndarray, np
                 continue  # only equal sets link: they are one class
             salt = U64(first)
             e = mixed(s ^ mixed(np.array([salt * U64(0x51ED27)], U64)))
-            seg = (e % U64(m)).astype(np.int64)
+            seg = (e % U64(m)).astype(np.uint16 if m < 1 << 16 else np.int64)
             order = np.argsort(seg, kind="stable")
             e, sorted_seg = mixed(e[order] + U64(7)), seg[order]
             counts = np.bincount(seg, minlength=m)
@@ -165,34 +139,39 @@ def signatures(s: np.ndarray, bands: Bands, cache: dict) -> tuple[np.ndarray, np
     return np.concatenate(sigs), np.concatenate(probes)
 
 
+def text_hash(t: str | None) -> int:
+    return xxhash.xxh64_intdigest((t or "").encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def keyed(docs: DataFrame, k: int, id_col: str, text_col: str, carry: list[str]) -> DataFrame:
-    """_id, the carried columns, _key (class; null without shingles), n_shingles."""
+    """_id, the carried columns, _key (class; null without shingles), n_shingles, _text (hash of
+    the text)."""
     src = docs.select(F.col(text_col).cast("string").alias("_t"), F.col(id_col).alias("_id"), *carry)
-    schema = src.drop("_t").schema.add("_key", "long").add("n_shingles", "long")
+    schema = src.drop("_t").schema.add("_key", "long").add("n_shingles", "long").add("_text", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory = WordHash()
         for b in batches:
-            key, size = [], []
+            key, size, text = [], [], []
             for at in range(0, b.num_rows, 500):
                 for t in b.column(0).slice(at, 500).to_pylist():
-                    s = shingles(t, k, memory)
+                    s = shingles(t, k)
                     key.append(set_key(s) if len(s) else None)
                     size.append(len(s))
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(key, pa.int64()), pa.array(size, pa.int64())],
-                                             ["_id", *carry, "_key", "n_shingles"])
+                    text.append(text_hash(t))
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], *(pa.array(x, pa.int64()) for x in (key, size, text))],
+                                             ["_id", *carry, "_key", "n_shingles", "_text"])
     return src.mapInArrow(run, schema)
 
 
 def signed(docs: DataFrame, k: int, bands: Bands, text_col: str) -> DataFrame:
     """(sig, key, probe) of every class, once per task."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, cache, seen = WordHash(), {}, set()
+        cache, seen = {}, set()
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 sig, key, probe = [], [], []
                 for t in b.column(0).slice(at, 500).to_pylist():
-                    s = shingles(t, k, memory)
+                    s = shingles(t, k)
                     if len(s) and (name := set_key(s)) not in seen:
                         seen.add(name)
                         x, p = signatures(s, bands, cache)
@@ -236,10 +215,10 @@ def shared(sigs: DataFrame) -> DataFrame:
     return placed.mapInArrow(run, "sig long, key long, probe boolean")
 
 
-def candidate_filter(keys: DataFrame) -> bytes:
-    """Bitmap of fixed size over the classes in ``keys``."""
-    spot = F.pmod(F.col("key"), F.lit(1 << FILTER_BITS)) + 1
-    rows = keys.groupBy(F.bitmap_bucket_number(spot).alias("n")).agg(
+def hash_filter(hashes: DataFrame) -> bytes:
+    """Bitmap of fixed size over the values of the one long column ``h``."""
+    spot = F.pmod(F.col("h"), F.lit(1 << FILTER_BITS)) + 1
+    rows = hashes.groupBy(F.bitmap_bucket_number(spot).alias("n")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits"))
     out = bytearray((1 << FILTER_BITS) // 8)
     for r in rows.toLocalIterator():  # at most 2**FILTER_BITS / 32768 rows of 4 KB
@@ -249,26 +228,24 @@ def candidate_filter(keys: DataFrame) -> bytes:
 
 
 def sets_of(docs: DataFrame, k: int, text_col: str, bits: bytes) -> DataFrame:
-    """(key, n, set) of the classes that the filter lets through, once per task."""
-    spark = docs.sparkSession
-    shared_bits = spark.sparkContext.broadcast(bits)
+    """(key, items) of the texts that the filter lets through, once per task and class."""
+    held = docs.sparkSession.sparkContext.broadcast(bits)
+    names = ["key", "items"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, seen, have = WordHash(), set(), shared_bits.value
+        seen, have = set(), held.value
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 keys, sets = [], []
                 for t in b.column(0).slice(at, 500).to_pylist():
-                    s = shingles(t, k, memory)
-                    if len(s) and (name := set_key(s)) not in seen:
-                        spot = name % (1 << FILTER_BITS)
-                        if have[spot >> 3] >> (spot & 7) & 1:
-                            seen.add(name)
-                            keys.append(name)
-                            sets.append(s.astype(np.int64))
+                    h = text_hash(t)
+                    spot = h % (1 << FILTER_BITS)
+                    if h not in seen and have[spot >> 3] >> (spot & 7) & 1 and len(s := shingles(t, k)):
+                        seen.add(h)
+                        keys.append(set_key(s))
+                        sets.append(s.astype(np.int64))
                 if keys:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["key", "items"])
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names)
     return (docs.select(F.col(text_col).cast("string").alias("_t")).mapInArrow(run, "key long, items array<long>")
             .groupBy("key").agg(F.max("items").alias("items")))
 
@@ -286,34 +263,52 @@ def components(links: DataFrame) -> DataFrame:
     """(key, comp) of linked classes, comp the smallest class reachable: labels hook onto the
     smallest adjacent label, chains of hooks are jumped, until no link joins two labels.  Joins
     and aggregations over linked classes only."""
-    edges = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct().checkpoint()
-    comp = edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "key").checkpoint()
+    # tables between iterations are written: a checkpoint would hand on the plan's constraints,
+    # which multiply from iteration to iteration
+    edges = written(links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    comp = written(edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("comp")).withColumnRenamed("a", "key"), "labels")
     while True:
-        hook = (edges.join(comp.withColumnsRenamed({"key": "a", "comp": "label"}), "a")
-                .join(comp.withColumnsRenamed({"key": "b", "comp": "other"}), "b")
-                .where(F.col("other") < F.col("label")).groupBy("label").agg(F.min("other").alias("to")).checkpoint())
+        hook = written(edges.join(comp.withColumnsRenamed({"key": "a", "comp": "label"}), "a")
+                       .join(comp.withColumnsRenamed({"key": "b", "comp": "other"}), "b")
+                       .where(F.col("other") < F.col("label")).groupBy("label").agg(F.min("other").alias("to")), "hooks")
         if hook.isEmpty():
             return comp
         while True:
             far = hook.select(F.col("label").alias("to"), F.col("to").alias("far"))
-            jumped = hook.join(far, "to", "left").checkpoint()
+            jumped = written(hook.join(far, "to", "left"), "jumps")
             hook = jumped.select("label", F.coalesce("far", "to").alias("to"))
             if jumped.where("far is not null").isEmpty():
                 break
-        comp = (comp.join(hook, comp["comp"] == hook["label"], "left")
-                .select("key", F.coalesce("to", "comp").alias("comp")).checkpoint())
-
-
-def class_components(docs: DataFrame, k: int, percent: int, text_col: str = "text") -> DataFrame:
-    """(key, comp) of the classes that have links."""
-    ensure_checkpoint_dir(docs.sparkSession)
+        comp = written(comp.join(hook, comp["comp"] == hook["label"], "left")
+                       .select("key", F.coalesce("to", "comp").alias("comp")), "labels")
+
+
+def merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
+    """``comp`` (key, comp) after further links: the links are carried over to components, and
+    only components that they join get new labels."""
+    if comp is None:
+        return components(links)
+    label = lambda c: comp.withColumnsRenamed({"key": c, "comp": f"c{c}"})
+    over = written(links.join(label("a"), "a", "left").join(label("b"), "b", "left").select(
+        F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")), "joined")
+    new = components(over).withColumnsRenamed({"key": "old", "comp": "new"})
+    moved = comp.join(new, F.col("comp") == F.col("old"), "left").select("key", F.coalesce("new", "comp").alias("comp"))
+    fresh = new.join(comp, F.col("old") == F.col("key"), "left_anti").select(F.col("old").alias("key"), F.col("new").alias("comp"))
+    return written(moved.union(fresh), "labels")
+
+
+def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text_col: str = "text") -> DataFrame:
+    """(key, comp) of the classes that have links; ``ids``: the keyed documents."""
     p, q = percent, 100
     rows = written(shared(signed(docs, k, Bands(p, q), text_col)), "signatures")
+    # sets of the classes that share a signature, from one text of each class
+    texts = (ids.groupBy("_key").agg(F.min("_text").alias("h"))
+             .join(rows.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi").select("h"))
+    sets = written(sets_of(docs, k, text_col, hash_filter(texts)), "sets")
     by = Window.partitionBy("sig")
     # ranks with probes first: pairs of two that only index need no comparison
     rows = rows.withColumn("rank", F.row_number().over(by.orderBy(F.col("probe").desc(), "key")))
-    sets = written(sets_of(docs, k, text_col, candidate_filter(rows.select("key").distinct())), "sets")
-    links, comp, done, lead = None, None, 0, 1
+    comp, done, lead = None, 0, 1
     while True:
         held = rows.withColumn("comp", F.col("key")) if comp is None else (
             rows.join(comp, "key", "left").withColumn("comp", F.coalesce("comp", "key")))
@@ -321,34 +316,33 @@ def class_components(docs: DataFrame, k: int, percent: int, text_col: str = "tex
         held = (held.where(F.col("rank") > done).withColumn("lo", F.min("comp").over(by))
                 .withColumn("hi", F.max("comp").over(by)).withColumn("any", F.max("probe").over(by))
                 .where((F.col("lo") != F.col("hi")) & F.col("any")).drop("lo", "hi", "any"))
+        held = written(held, "members")
         heads = held.where((F.col("rank") <= done + lead) & F.col("probe")).select(
             "sig", F.col("key").alias("lead"), F.col("rank").alias("first"), F.col("comp").alias("lead_comp"))
         pairs = (held.join(heads, "sig").where((F.col("rank") > F.col("first")) & (F.col("comp") != F.col("lead_comp")))
                  .select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct())
-        pairs = pairs.checkpoint()
+        pairs = written(pairs, "pairs")
         if pairs.isEmpty():
             break
-        found = verified(pairs, sets, p, q).checkpoint()
-        links = found if links is None else links.union(found)
-        comp = components(links)
-        done, lead = done + lead, 2 * lead
-        rows = held.drop("comp").checkpoint()
-    if links is None:
-        spark = docs.sparkSession
-        return spark.createDataFrame([], "key long, comp long")
-    return comp
+        found = written(verified(pairs, sets, p, q), "links")
+        if not found.isEmpty():
+            comp = merged(comp, found)
+        done, lead = done + lead, 4 * lead
+        rows = held.drop("comp")
+    return comp if comp is not None else docs.sparkSession.createDataFrame([], "key long, comp long")
 
 
 def components_of(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
                   text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per document: id, carried columns, n_shingles, component_id (smallest id reachable, itself
     included), class_key and component_key (equal sets; linked classes; null without shingles)."""
-    ids = keyed(docs, k, id_col, text_col, list(carry))
-    comp = class_components(docs, k, percent, text_col)
-    ids = written(ids, "classes")
+    ensure_checkpoint_dir(docs.sparkSession)
+    ids = written(keyed(docs, k, id_col, text_col, list(carry)), "classes")
+    comp = class_components(docs, ids, k, percent, text_col)
     lows = (ids.where(F.col("_key").isNotNull()).groupBy("_key").agg(F.min("_id").alias("low"))
             .join(comp.withColumnRenamed("key", "_key"), "_key", "left")
-            .withColumn("comp", F.coalesce("comp", "_key")).checkpoint())
+            .withColumn("comp", F.coalesce("comp", "_key")))
+    lows = written(lows, "lows")
     best = lows.groupBy("comp").agg(F.min("low").alias("component_id"))
     per_class = lows.select("_key", "comp").join(best, "comp")
     linked = ids.where(F.col("_key").isNotNull()).join(per_class, "_key")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from barwright.llm.jaccard import U64, WordHash, mixed
+from barwright.llm.hashing import U64, mixed, shingle_hashes, word_hashes
 from barwright.llm.text import partitions
 
 WORD_WEIGHT, SHINGLE = 0.25, 3
@@ -44,18 +44,12 @@ def votes(h: np.ndarray, weight: float) -> np.ndarray:
     return out
 
 
-def fingerprint(text: str, memory: WordHash) -> np.ndarray:
+def fingerprint(text: str) -> np.ndarray:
     """Boolean bits of a text's fingerprint."""
-    words = text.encode("utf-8", "surrogatepass").lower().split()
-    if not words:
+    w = word_hashes(text)
+    if not len(w):
         return np.zeros(BITS, bool)
-    w = np.fromiter(map(memory.__getitem__, words), U64, len(words))
-    k = min(SHINGLE, len(w))
-    n = len(w) - k + 1
-    s = np.zeros(n, U64)
-    for j in range(k):
-        s = mixed(s * U64(0x100000001B3) + w[j:j + n])
-    return votes(s, 1.0) + votes(w, WORD_WEIGHT) > 0
+    return votes(shingle_hashes(w, SHINGLE), 1.0) + votes(w, WORD_WEIGHT) > 0
 
 
 def as_hex(bits: np.ndarray) -> str:
@@ -114,7 +108,7 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     names = ["_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, held = WordHash(), None  # held: bucket, id, text, bits of the row that awaits its next
+        held = None  # held: bucket, id, text, bits of the row that awaits its next
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 b = batch.slice(at, 1000)
@@ -123,11 +117,11 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                                                              b.column(3).to_pylist())):
                     if halo and (held is None or held[0] != bucket):
                         continue  # only the first of equal halo ids follows
-                    bits = fingerprint(text, memory)
+                    bits = fingerprint(text)
                     if held is not None and held[0] == bucket:
                         _, id_, mine, my_bits = held
                         ed = edited(mine, text)
-                        ed_bits = fingerprint(ed, memory)
+                        ed_bits = fingerprint(ed)
                         ids.append(id_)
                         for col, v in zip(out, (len(mine), hashlib.sha256(ed.encode("utf-8", "surrogatepass")).hexdigest(),
                                                 as_hex(my_bits), as_hex(ed_bits), float((my_bits == ed_bits).mean()),
