@@ -80,8 +80,8 @@ def index(words: DataFrame, lead: DataFrame, n_leads: int, id_col: str, size: in
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-            item_col: str = "item_id", item_text: str = "text", size: int = WINDOW, slop: int = 3) -> DataFrame:
-    """_k, id, wid, start (word), len, kind ('phrase' or 'proximity')."""
+            item_col: str = "item_id", item_text: str = "text", size: int = WINDOW, slop: int | None = 3) -> DataFrame:
+    """_k, id, wid, start (word), len, kind ('phrase' or 'proximity'); ``slop`` None: phrases only."""
     ensure_checkpoint_dir(docs.sparkSession)
     words = _words(docs, id_col, text_col)
     wins = windows(benchmark, item_col, item_text, size)
@@ -100,6 +100,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     # ... of the second terms, in blocks of the slop, so that near starts share a block or neighbours do
     two = (posts.join(hint(lead.where(F.col("w2").isNotNull()).select("wid", F.col("w2").alias("word"), "o2")), "word")
            .select(*ids, "wid", (F.col("pos") - F.col("o2")).alias("start2")))
+    if slop is None:  # equal starts only
+        key = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_k", "wid", "start")
+        lone = one.where(F.col("same") & F.col("w2").isNull())
+        pair = one.where(F.col("same") & F.col("w2").isNotNull()).withColumn("_at", key).join(
+            two.withColumnRenamed("start2", "start").select(key.alias("_at")), "_at", "left_semi").drop("_at")
+        return lone.unionByName(pair).select(*ids, "wid", "start", "len", F.lit("phrase").alias("kind")).distinct()
     block = slop + 1
     near = (two.withColumn("blk", F.explode(F.transform(
         F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda x: F.floor(F.col("start2") / block) + x)))

@@ -12,8 +12,9 @@ indexed.  If that does not pay for all, the remaining ones are probed as they ar
 
 Equal sets form one class; only classes are linked.  Members of an equal signature are not
 paired with each other: each round compares them with a few leads of the signature (1, 4, 16, ...)
-and goes on only where members of different components are left, so a group of n near copies
-costs about n comparisons, yet no link between components is lost.  Candidates are verified on
+and goes on only where members of different components are left; what a long list holds beyond
+its first lead is compared by the members' differences to that lead (``by_difference``).  So a
+group of n near copies costs about n comparisons, yet no link between components is lost.  Candidates are verified on
 the whole shingle sets (64-bit hashes of the words).
 
 Defined cases: null, empty or blank text has no shingles and is linked with nothing; a text of
@@ -37,6 +38,8 @@ from barwright.session import ensure_checkpoint_dir
 
 #: bits of the candidate filter (2 MB); a fuller filter only lets more sets through
 FILTER_BITS = 24
+#: signatures with more further members than this are compared by differences to their lead
+LONG = 32
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
@@ -297,6 +300,38 @@ def merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
     return written(moved.union(fresh), "labels")
 
 
+def by_difference(dense: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """Candidate pairs (a, b) among the members of long signature lists, by their differences to
+    the list's lead; ``dense``: (lead, key, comp).
+
+    With D(x) the symmetric difference of x to the lead, two members differ in |D(x)| + |D(y)| -
+    2 |D(x) & D(y)| elements.  If x is not linked to the lead (members that are share its
+    component), a link of x and y needs a common element of D(x) and D(y), and at least
+    (G(x) + G(y)) / 2 of them, G(x) = |D(x)| - |x| (q - p) / (q + p).  So differences are joined by
+    their rarest elements only (prefix filter), and near copies that are no links are not paired."""
+    d = (dense.join(sets.withColumnsRenamed({"key": "lead", "items": "x"}), "lead")
+         .join(sets.withColumnRenamed("items", "y"), "key")
+         .select("lead", "key", "comp", F.size("x").alias("lead_size"), F.size("y").alias("size"),
+                 F.array_union(F.array_except("x", "y"), F.array_except("y", "x")).alias("diff"))
+         .withColumn("n", F.size("diff")))
+    d = written(d.withColumn("g", (q + p) * F.col("n") - (q - p) * F.col("size"))
+                .withColumn("linked", (q + p) * F.col("n") <= (q - p) * (F.col("size") + F.col("lead_size"))), "differences")
+    low = d.where(~F.col("linked")).groupBy("lead").agg(F.min("g").alias("low"))
+    least = F.greatest(F.lit(1), F.ceil((F.col("g") + F.col("low")) / (2.0 * (p + q))))
+    e = d.join(low, "lead").select("lead", "key", "comp", "linked", (F.col("n") - least + 1).alias("prefix"),
+                                   F.explode("diff").alias("e"))
+    e = e.join(e.groupBy("lead", "e").agg(F.count("*").alias("f")), ["lead", "e"])
+    rank = F.row_number().over(Window.partitionBy("lead", "key").orderBy("f", "e"))
+    e = written(e.withColumn("first", rank <= F.col("prefix")).where("f > 1").select("lead", "e", "key", "comp", "linked", "first"),
+                "elements")
+    mine = e.where(~F.col("linked")).withColumnsRenamed({"key": "a", "comp": "ca"}).drop("linked")
+    other = e.where("first").withColumnsRenamed({"key": "b", "comp": "cb", "linked": "known"}).drop("first")
+    # two unlinked members meet in both prefixes, an unlinked and a linked one in the latter's
+    pairs = mine.join(other, ["lead", "e"]).where(
+        (F.col("ca") != F.col("cb")) & (F.col("known") | (F.col("first") & (F.col("a") < F.col("b")))))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text_col: str = "text") -> DataFrame:
     """(key, comp) of the classes that have links; ``ids``: the keyed documents."""
     p, q = percent, 100
@@ -307,7 +342,11 @@ def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text
     sets = written(sets_of(docs, k, text_col, hash_filter(texts)), "sets")
     by = Window.partitionBy("sig")
     # ranks with probes first: pairs of two that only index need no comparison
-    rows = rows.withColumn("rank", F.row_number().over(by.orderBy(F.col("probe").desc(), "key")))
+    # ... and then members of many and long lists: the least edited copies lead all lists they are in
+    rows = rows.withColumn("_n", F.count("*").over(by))
+    weight = rows.groupBy("key").agg(F.sum("_n").alias("weight"))
+    rows = rows.drop("_n").join(weight, "key").withColumn(
+        "rank", F.row_number().over(by.orderBy(F.col("probe").desc(), F.col("weight").desc(), "key"))).drop("weight")
     comp, done, lead = None, 0, 1
     while True:
         held = rows.withColumn("comp", F.col("key")) if comp is None else (
@@ -329,6 +368,19 @@ def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text
             comp = merged(comp, found)
         done, lead = done + lead, 4 * lead
         rows = held.drop("comp")
+        if done == 1:
+            # what is left of long lists is compared by differences to their leads
+            lists = rows.where("rank > 1").join(comp, "key", "left").withColumn("comp", F.coalesce("comp", "key")) if comp is not None else (
+                rows.where("rank > 1").withColumn("comp", F.col("key")))
+            lists = (lists.withColumn("n", F.count("*").over(by)).withColumn("lo", F.min("comp").over(by))
+                     .withColumn("hi", F.max("comp").over(by)).where((F.col("n") > LONG) & (F.col("lo") != F.col("hi"))))
+            dense = written(lists.join(heads.select("sig", "lead"), "sig").select("lead", "key", "comp").distinct(), "dense")
+            if not dense.isEmpty():
+                pairs = written(by_difference(dense, sets, p, q), "pairs")
+                found = written(verified(pairs, sets, p, q), "links")
+                if not found.isEmpty():
+                    comp = merged(comp, found)
+                rows = written(rows.withColumn("_n", F.count("*").over(by)).where(F.col("_n") <= LONG + 1).drop("_n"), "members")
     return comp if comp is not None else docs.sparkSession.createDataFrame([], "key long, comp long")
 
 
