@@ -61,8 +61,8 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
-    found = decontam.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    hit = found.where(F.col("kind") == "phrase").select("doc_id", "_k").distinct()
+    found = decontam.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), slop=None)
+    hit = found.select("doc_id", "_k").distinct()
     held = docs.withColumn("_key", text_hash())
     return held.join(hit.withColumnRenamed("doc_id", "_hit"), held["doc_id"].eqNullSafe(F.col("_hit"))
                      & (F.col("_key") == F.col("_k")), "left_anti").select(*columns)
