@@ -39,7 +39,7 @@ from barwright.session import ensure_checkpoint_dir
 #: bits of the candidate filter (2 MB); a fuller filter only lets more sets through
 FILTER_BITS = 24
 #: signatures with more further members than this are compared by differences to their lead
-LONG = 32
+LONG = 64
 
 
 def shingles(text: str | None, k: int) -> np.ndarray:
