@@ -20,7 +20,8 @@ def _lit_ts(as_of) -> Column:
 def upsert_keep_last(sources: list[DataFrame], key: list[str] = ("ticker", "date"),
                      seq: str | None = None) -> DataFrame:
     """Union ``sources`` (oldest first) and keep, per key, the row of the newest source;
-    inside one source the row with the highest ``seq`` (e.g. file row number) wins (U2).
+    inside one source the row with the highest ``seq`` (e.g. file row number) wins (U2), and
+    of equal ones the largest row by its columns, so the result never depends on partitioning.
 
     One aggregate keyed by (ticker, date): ``max_by(row, (src_rank, seq))`` combines
     map-side, so repeated keys are merged before the shuffle.
@@ -32,7 +33,7 @@ def upsert_keep_last(sources: list[DataFrame], key: list[str] = ("ticker", "date
         s = s.withColumn("_seq", F.col(seq).cast("long") if seq else F.lit(0).cast("long"))
         ranked = s if ranked is None else ranked.unionByName(s, allowMissingColumns=True)
     payload = [c for c in ranked.columns if c not in key + ["_src", "_seq"] and c != seq]
-    win = F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct("_src", "_seq")).alias("_w")
+    win = F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct("_src", "_seq", *payload)).alias("_w")
     return ranked.groupBy(*key).agg(win).select(*key, *[F.col(f"_w.{c}").alias(c) for c in payload])
 
 

@@ -43,26 +43,9 @@ def rolling(agg, lay: Layout, src: str | Column, n: int) -> Column:
     return full_window(agg(c).over(w), F.count(c).over(w), n)
 
 
-PREFIX_MIN_ROWS = 30   # frames at least this long use prefix sums
-PREFIX_DECIMAL = "decimal(38,12)"
-
-
 def sma(lay: Layout, src: str, n: int, out: str) -> Levels:
-    """n-row mean.  Long frames: difference of exact decimal running sums (O(1) per row
-    instead of re-aggregating the frame for every row); short frames: the frame itself."""
-    if n < PREFIX_MIN_ROWS:
-        return [{out: rolling(F.avg, lay, src, n)}]
-    if n - 1 > lay.halo_rows:
-        raise ValueError(f"look-back {n - 1} exceeds the halo of {lay.halo_rows} rows")
-    c = F.col(src)
-    run = lay.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    s, k = f"_t_s_{out}", f"_t_k_{out}"
-    lvl1 = {s: F.sum(F.coalesce(c.cast(PREFIX_DECIMAL), F.lit(0).cast(PREFIX_DECIMAL))).over(run),
-            k: F.count(c).over(run)}
-    prev_s = F.coalesce(F.lag(F.col(s), n).over(lay.window()), F.lit(0).cast(PREFIX_DECIMAL))
-    prev_k = F.coalesce(F.lag(F.col(k), n).over(lay.window()), F.lit(0))
-    mean = (F.col(s) - prev_s).cast("double") / F.lit(float(n))
-    return [lvl1, {out: F.when(F.col(k) - prev_k == n, mean)}]
+    """n-row mean, in double for every n."""
+    return [{out: rolling(F.avg, lay, src, n)}]
 
 
 def lag(lay: Layout, src: str, n: int = 1) -> Column:
@@ -71,44 +54,33 @@ def lag(lay: Layout, src: str, n: int = 1) -> Column:
     return F.lag(F.col(src), n).over(lay.window())
 
 
-RSI_PREFIX = True   # running sums of gains / losses instead of two 14-row frames
-
-
 def rsi(lay: Layout, src: str = "close", n: int = 14, out: str = "rsi_14") -> Levels:
     """Simple-mean RSI: 100 - 100 / (1 + mean gain / mean loss) over n deltas.
 
     The missing first delta counts as 0 (so the first value is on row n-1);
-    no losses and some gain -> 100; flat -> NULL.  With ``RSI_PREFIX`` the n-row sums are
-    differences of running sums inside the block (O(1) per row); a run of zero losses
-    leaves the running sum unchanged, so "no loss" stays exactly 0.
+    no losses and some gain -> 100; flat -> NULL.  The n-row sums are differences of
+    running sums inside the block (O(1) per row); a run of zero losses leaves the
+    running sum unchanged, so "no loss" stays exactly 0.
     """
+    if n - 1 > lay.halo_rows:
+        raise ValueError(f"look-back {n - 1} exceeds the halo of {lay.halo_rows} rows")
     d = F.col(f"_t_d_{out}")
     gain = F.when(d > 0, d).otherwise(F.lit(0.0))
     loss = F.when(d < 0, -d).otherwise(F.lit(0.0))
-    if not RSI_PREFIX:
-        ag = rolling(F.avg, lay, gain, n)
-        al = rolling(F.avg, lay, loss, n)
-        lvl2 = {}
-    else:
-        if n - 1 > lay.halo_rows:
-            raise ValueError(f"look-back {n - 1} exceeds the halo of {lay.halo_rows} rows")
-        run = lay.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        sg, sl, k = f"_t_sg_{out}", f"_t_sl_{out}", f"_t_k_{out}"
-        lvl2 = {sg: F.sum(gain).over(run), sl: F.sum(loss).over(run), k: F.count(F.lit(1)).over(run)}
-        full = F.col(k) >= n
-
-        def frame(c):
-            return F.col(c) - F.coalesce(F.lag(F.col(c), n).over(lay.window()), F.lit(0.0))
-
-        ag = F.when(full, frame(sg) / F.lit(float(n)))
-        al = F.when(full, frame(sl) / F.lit(float(n)))
+    run = lay.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sg, sl, k = f"_t_sg_{out}", f"_t_sl_{out}", f"_t_k_{out}"
+    full = F.col(k) >= n
+
+    def frame(c):
+        return F.col(c) - F.coalesce(F.lag(F.col(c), n).over(lay.window()), F.lit(0.0))
+
+    ag = F.when(full, frame(sg) / F.lit(float(n)))
+    al = F.when(full, frame(sl) / F.lit(float(n)))
     val = (F.when((al == 0) & (ag > 0), F.lit(100.0))
             .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.try_divide(ag, al))))
-    levels = [{f"_t_d_{out}": F.col(src) - lag(lay, src, 1)}]
-    if lvl2:
-        levels.append(lvl2)
-    levels.append({out: val})
-    return levels
+    return [{f"_t_d_{out}": F.col(src) - lag(lay, src, 1)},
+            {sg: F.sum(gain).over(run), sl: F.sum(loss).over(run), k: F.count(F.lit(1)).over(run)},
+            {out: val}]
 
 
 def bollinger(lay: Layout, src: str = "close", n: int = 20, k: float = 2.0, prefix: str = "bb") -> Levels:
@@ -135,18 +107,10 @@ def momentum(lay: Layout, periods=(1, 5, 10), src: str = "close") -> Levels:
 
 def volume_ratio(lay: Layout, n: int = 20, src: str = "volume", sma_out: str = "volume_sma",
                  out: str = "volume_ratio") -> Levels:
-    """volume_sma = n-row mean of volume, volume_ratio = volume / volume_sma.  Volumes are
-    integers, so the n-row sum is an exact difference of long running sums (O(1) per row)."""
-    if n - 1 > lay.halo_rows:
-        raise ValueError(f"look-back {n - 1} exceeds the halo of {lay.halo_rows} rows")
-    c = F.col(src)
-    run = lay.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    s, k = f"_t_vs_{out}", f"_t_vk_{out}"
-    lvl1 = {s: F.sum(c.cast("long")).over(run), k: F.count(c).over(run)}
-    prev_s = F.coalesce(F.lag(F.col(s), n).over(lay.window()), F.lit(0).cast("long"))
-    prev_k = F.coalesce(F.lag(F.col(k), n).over(lay.window()), F.lit(0))
-    m = F.when(F.col(k) - prev_k == n, (F.col(s) - prev_s).cast("double") / F.lit(float(n)))
-    return [lvl1, {sma_out: m, out: div(c.cast("double"), m)}]
+    """volume_sma = n-row mean of volume (fractional volumes too), volume_ratio = volume / volume_sma."""
+    c = F.col(src).cast("double")
+    m = rolling(F.avg, lay, c, n)
+    return [{sma_out: m, out: div(c, m)}]
 
 
 def atr(lay: Layout, n: int = 14, out: str = "atr_14") -> Levels:

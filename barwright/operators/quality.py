@@ -78,12 +78,12 @@ def expected_columns(df: DataFrame, expected: list[str]) -> DataFrame:
                                  "column string, present boolean")
 
 
-def validate_frame(df: DataFrame, required: list[str], min_rows: int = 1) -> DataFrame:
-    """Required columns present, enough rows, no NULLs in required columns (Q1).
+def validate_frame(df: DataFrame, required: list[str], min_rows: int = 0) -> DataFrame:
+    """Required columns present, enough rows, no NULL or NaN in required columns (Q1).
     One aggregate; returns (check, ok, detail) rows; all ok -> the frame passes."""
     missing = [c for c in required if c not in df.columns]
     present = [c for c in required if c in df.columns]
-    aggs = [F.count(F.lit(1)).alias("_rows")] + [F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{j}")
+    aggs = [F.count(F.lit(1)).alias("_rows")] + [F.count_if(_missing(df.schema[c])).alias(f"n{j}")
                                                  for j, c in enumerate(present)]
     one = df.agg(*aggs)
     checks = [F.struct(F.lit("required_columns").alias("check"), F.lit(not missing).alias("ok"),

@@ -99,7 +99,8 @@ def dashboard_recommendations(runs: DataFrame, fetch_key: str, feature_key: str,
     """Dashboard recommendations (Q6): success below 80 % over the last 10 runs, more than 2
     fetch failures, more than 1 feature failure, plus report recommendations; de-duplicated."""
     summary = r.dashboard_summary(runs, 10)
-    errs = r.error_distribution(runs)
+    # failures of the same ten runs as the summary
+    errs = r.error_distribution(runs.orderBy(F.col("start_time").desc(), F.col("run_id").desc()).limit(10))
     e = errs.agg(F.coalesce(F.sum(F.when(F.col("error_key") == fetch_key, F.col("n"))), F.lit(0)).alias("fetch"),
                  F.coalesce(F.sum(F.when(F.col("error_key") == feature_key, F.col("n"))), F.lit(0)).alias("feat"))
     recs = (summary.select(F.when(F.col("success_rate") < LOW_SUCCESS_PCT,
@@ -168,9 +169,11 @@ def run_state(events: DataFrame, run: str = "run_id", ts: str = "timestamp", tie
 
 
 def run_flags(runs: DataFrame, environment: str = "production") -> DataFrame:
-    """Run metadata flags (M10): environment, triggered_by (daily / weekly -> cron)."""
+    """Run metadata flags (M10): environment ('test' for test runs), triggered_by (daily / weekly
+    -> cron)."""
     trig = F.when(F.col("mode").isin("daily", "weekly"), F.lit("cron")).otherwise(F.lit("manual"))
-    return runs.withColumn("environment", F.lit(environment)).withColumn("triggered_by", trig) \
+    return runs.withColumn(
+        "environment", F.when(F.col("mode") == "test", F.lit("test")).otherwise(F.lit(environment))).withColumn("triggered_by", trig) \
                .withColumn("is_test", F.col("mode") == "test")
 
 
@@ -180,9 +183,10 @@ def runlog_retention(runs: DataFrame, as_of, days: int) -> DataFrame:
 
 
 def report_retention(files: DataFrame, as_of, days: int, path: str = "path") -> DataFrame:
-    """Report files whose name carries a date older than ``days`` (M7); names without a
-    date are kept."""
-    d = F.try_to_date(F.regexp_extract(F.col(path), r"(\d{4}-\d{2}-\d{2})", 1), "yyyy-MM-dd")
+    """Report files older than ``days`` (M7): the date is the whole stem of a
+    ``daily|weekly|summary/<date>.json`` file; every other file is kept."""
+    d = F.try_to_date(F.regexp_extract(F.col(path), r"(?:^|/)(?:daily|weekly|summary)/(\d{4}-\d{2}-\d{2})\.json$", 1),
+                      "yyyy-MM-dd")
     cut = F.date_sub(F.lit(str(as_of)).cast("date"), days)
     return files.withColumn("file_date", d).withColumn("expired", F.coalesce(d < cut, F.lit(False)))
 

@@ -43,11 +43,16 @@ LF_FLOOR = -40.0      # ln(1 - w) floor; exp(-40) ~ 4e-18 is below double resolu
 
 @dataclass(frozen=True)
 class Layout:
+    """``reaching(n)`` sizes the halo (and the block with it) for a look-back of n rows."""
     key: str = "ticker"
     order: str = "date"
     block_rows: int = BLOCK_ROWS
     halo_rows: int = HALO_ROWS
 
+    @classmethod
+    def reaching(cls, n: int, **kw) -> Layout:
+        return cls(halo_rows=max(HALO_ROWS, n), block_rows=max(BLOCK_ROWS, 4 * n), **kw)
+
     def window(self):
         """Window over one block (own rows and halo), ordered by position."""
         return Window.partitionBy(self.key, "_blk").orderBy("_i")

@@ -59,11 +59,14 @@ def symbol_count_check(symbols: DataFrame, lo: int = EXPECTED_MIN, hi: int = EXP
 
 
 def company_lookup(symbols: DataFrame, names: DataFrame, symbol: str = "symbol",
-                   name_symbol: str = "symbol", company: str = "company_name") -> DataFrame:
-    """Symbol -> company name, joined on the cleaned symbol (J1).  The planner picks a
+                   name_symbol: str = "symbol", company: str = "company_name",
+                   position: str | None = None) -> DataFrame:
+    """Symbol -> company name, joined on the cleaned symbol (J1); of a repeated symbol the last
+    name in the order of ``position`` counts (without it, in the order of the names table's rows).  The planner picks a
     broadcast at run time only when the names table is measured small (AQE)."""
-    n = names.select(cleaned_symbol(F.col(name_symbol)).alias("_k"), F.col(company).alias("company_name"))
-    n = n.groupBy("_k").agg(F.min("company_name").alias("company_name"))
+    pos = F.col(position) if position else F.monotonically_increasing_id()
+    n = names.select(cleaned_symbol(F.col(name_symbol)).alias("_k"), F.col(company).alias("company_name"), pos.alias("_p"))
+    n = n.groupBy("_k").agg(F.max_by("company_name", F.struct("_p", "company_name")).alias("company_name"))
     return (symbols.withColumn("_k", cleaned_symbol(F.col(symbol)))
                    .join(n, "_k", "left").drop("_k"))
 

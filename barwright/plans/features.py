@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from barwright.functions.nulls import nan_to_null_all
 from barwright.operators import indicators as ind
 from barwright.operators.bars import BASE_COLUMNS
 from barwright.session import keep as keep_df
@@ -36,7 +37,7 @@ def layout_bars(bars: DataFrame, lay: Layout = Layout(), bucket_days: int = 64,
     repartitioned on (ticker, block).  Returns (layout, longest series)."""
     # the index reads its input twice (bucket counts and rows); the count side prunes
     # columns, so the two scans would not share an exchange: keep the input once
-    bars = keep_df(bars)
+    bars = keep_df(nan_to_null_all(bars))
     idx = materialize(index_series(bars, lay.key, lay.order, bucket_days))
     max_rows = int(idx.agg(F.max("_n")).collect()[0][0] or 0)
     df = block_layout(idx, lay)

@@ -33,7 +33,7 @@ def run_rules(spark, sf):
 
 @register("dashboard_recommendations", f"""WITH l AS (SELECT * FROM ({RUNS_SQL}) r ORDER BY start_time DESC, run_id DESC LIMIT 10),
 e AS (SELECT split_part(split_part(error_message, ';', 1), '.', 1) AS k, count(*) AS n
-      FROM ({RUNS_SQL}) r WHERE error_message IS NOT NULL AND error_message <> '' GROUP BY 1)
+      FROM l WHERE error_message IS NOT NULL AND error_message <> '' GROUP BY 1)
 SELECT DISTINCT recommendation FROM (
   SELECT CASE WHEN count(*) FILTER (WHERE status = 'completed') * 100.0 / count(*) < 80
          THEN 'Low success rate detected - investigate recent failures' END AS recommendation FROM l
@@ -69,7 +69,7 @@ def run_state(spark, sf):
     return rp.run_state(e, "run_id", "updated", "event_id").drop("event_id")
 
 
-@register("run_flags", f"""SELECT run_id, mode, 'production' AS environment,
+@register("run_flags", f"""SELECT run_id, mode, CASE WHEN mode = 'test' THEN 'test' ELSE 'production' END AS environment,
   CASE WHEN mode IN ('daily', 'weekly') THEN 'cron' ELSE 'manual' END AS triggered_by, mode = 'test' AS is_test
 FROM ({RUNS_SQL}) r""")
 def run_flags(spark, sf):
@@ -136,11 +136,16 @@ def table_quality(spark, sf):
     return r6(rp.table_quality(ds.daily_orders(spark, sf)))
 
 
-@register("report_retention", f"""SELECT CAST(dt AS TIMESTAMP) AS file_date, dt < DATE '2001-08-01' - INTERVAL 90 DAY AS expired
-FROM (SELECT DISTINCT CAST(date_trunc('month', date) AS DATE) AS dt FROM ({BARS_ORDERS}) b) m""")
+@register("report_retention", f"""SELECT path,
+  CASE WHEN kind <> 'log' THEN CAST(dt AS TIMESTAMP) END AS file_date,
+  kind <> 'log' AND dt < DATE '2001-08-01' - INTERVAL 90 DAY AS expired
+FROM (SELECT DISTINCT date AS dt, ['daily', 'weekly', 'summary', 'log'][1 + CAST(day(date) % 4 AS INTEGER)] AS kind,
+        'reports/2020-01-01/' || kind || '/' || strftime(date, '%Y-%m-%d') || '.json' AS path FROM ({BARS_ORDERS}) b) m""")
 def report_retention(spark, sf):
-    """Files whose path carries a date older than 90 days (M7), over a written monthly table."""
-    from barwright.plans.q_io import _monthly_table
-    files = io.partitions(spark, _monthly_table(spark, sf), "dt").select("path")
+    """Report files older than 90 days (M7): one listed file per bar date, in four folders of
+    which one holds no reports."""
+    kind = F.element_at(F.array(*map(F.lit, ("daily", "weekly", "summary", "log"))), F.dayofmonth("date") % 4 + 1)
+    files = ds.daily_orders(spark, sf).select(F.concat(F.lit("reports/2020-01-01/"), kind, F.lit("/"),
+                                                       F.date_format("date", "yyyy-MM-dd"), F.lit(".json")).alias("path")).distinct()
     out = rp.report_retention(files, "2001-08-01", 90)
-    return out.select(F.col("file_date").cast("timestamp_ntz").alias("file_date"), "expired")
+    return out.select("path", F.col("file_date").cast("timestamp_ntz").alias("file_date"), "expired")

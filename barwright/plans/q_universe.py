@@ -90,14 +90,14 @@ def symbol_count_check(spark, sf):
 
 @register("company_lookup", """SELECT t.symbol, n.company_name FROM
   (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS symbol FROM lineitem) t
-  LEFT JOIN (SELECT upper(trim(CAST(s_suppkey AS VARCHAR))) AS k, min(s_name) AS company_name
+  LEFT JOIN (SELECT upper(trim(CAST(s_suppkey AS VARCHAR))) AS k, max_by(s_name, s_suppkey) AS company_name
              FROM supplier GROUP BY 1) n ON upper(trim(t.symbol)) = n.k""")
 def company_lookup(spark, sf):
     """Supplier-key tickers of lineitem -> supplier name."""
     tick = ds.table(spark, sf, "lineitem").select(F.col("l_suppkey").cast("string").alias("symbol")).distinct()
     names = ds.table(spark, sf, "supplier").select(F.col("s_suppkey").cast("string").alias("symbol"),
-                                                   F.col("s_name").alias("company_name"))
-    return u.company_lookup(tick, names)
+                                                   F.col("s_name").alias("company_name"), "s_suppkey")
+    return u.company_lookup(tick, names, position="s_suppkey")
 
 
 @register("symbols_from_string", """SELECT pos, symbol FROM (

@@ -29,16 +29,16 @@ def test_run_state_and_flags(spark):
     st = {x.run_id: (x.status, x.events) for x in rp.run_state(ev).collect()}
     assert st == {"r1": ("completed", 2), "r2": ("running", 1)}
     runs = spark.createDataFrame([("a", "daily"), ("b", "test")], "run_id string, mode string")
-    fl = {x.run_id: (x.triggered_by, x.is_test) for x in rp.run_flags(runs).collect()}
-    assert fl == {"a": ("cron", False), "b": ("manual", True)}
+    fl = {x.run_id: (x.triggered_by, x.is_test, x.environment) for x in rp.run_flags(runs).collect()}
+    assert fl == {"a": ("cron", False, "production"), "b": ("manual", True, "test")}
 
 
 def test_report_retention_by_name(spark):
-    files = spark.createDataFrame([("reports/daily_2024-01-01.json",), ("reports/daily_2024-03-01.json",),
-                                   ("reports/readme.md",)], "path string")
+    files = spark.createDataFrame([("reports/daily/2024-01-01.json",), ("reports/weekly/2024-03-01.json",),
+                                   ("2020-01-01/daily/notes.txt",)], "path string")
     got = {x.path: x.expired for x in rp.report_retention(files, "2024-03-02", 30).collect()}
-    assert got == {"reports/daily_2024-01-01.json": True, "reports/daily_2024-03-01.json": False,
-                   "reports/readme.md": False}
+    assert got == {"reports/daily/2024-01-01.json": True, "reports/weekly/2024-03-01.json": False,
+                   "2020-01-01/daily/notes.txt": False}
 
 
 def test_failed_tickers_and_throttle(spark):

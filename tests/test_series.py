@@ -1,6 +1,8 @@
 """Series engine vs pandas: exponential means with NULL gaps across many blocks, rolling
 windows across halo boundaries, positions of a skewed series."""
 
+import datetime as _dt
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -168,3 +170,28 @@ def test_hot_ticker_is_split_into_bounded_blocks(spark):
     assert hot["count"].max() <= 128 + 32                      # own rows + halo, never the ticker
     own = layout.filter("_h = 0").count()
     assert own == 5040                                         # halo copies are extra, rows kept whole
+
+
+def _flat(spark, closes, volumes):
+    return spark.createDataFrame([("A", _dt.datetime(2024, 1, 1) + _dt.timedelta(days=i), c, v)
+                                  for i, (c, v) in enumerate(zip(closes, volumes))],
+                                 "ticker string, date timestamp_ntz, close double, volume double")
+
+
+def test_sma_is_one_arithmetic_for_every_length_and_scale(spark):
+    from barwright.operators import indicators as ind
+    from barwright.operators.series import Layout, block_layout, index_series
+    for scale in (3e-13, 1.23456789e-08, 1e27):
+        lay = Layout.reaching(250)
+        df = block_layout(index_series(_flat(spark, [scale] * 260, [0.5] * 260)), lay)
+        out = ind.apply_levels(df, *(ind.sma(lay, "close", n, f"s{n}") for n in (20, 50, 250)), ind.volume_ratio(lay, 20))
+        last = out.orderBy("_i").collect()[-1]
+        assert all(abs(last[f"s{n}"] / scale - 1) < 1e-12 for n in (20, 50, 250))
+        assert last.volume_sma == 0.5 and last.volume_ratio == 1.0
+
+
+def test_keep_last_is_one_row_however_partitioned(spark):
+    from barwright.operators import history as h
+    src = spark.range(500).selectExpr("'A' AS ticker", "DATE'2024-01-01' AS date", "CAST(id AS DOUBLE) AS close")
+    got = {h.upsert_keep_last([src.repartition(n)]).collect()[0].close for n in (1, 3, 8)}
+    assert got == {499.0}
