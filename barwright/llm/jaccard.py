@@ -38,7 +38,7 @@ from barwright.session import ensure_checkpoint_dir
 
 #: bits of the candidate filter (2 MB); a fuller filter only lets more sets through
 FILTER_BITS = 24
-#: signatures with more further members than this are compared by differences to their lead
+#: signatures whose further probes lie in more components than this are compared by differences to their lead
 LONG = 64
 
 
@@ -370,17 +370,21 @@ def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text
         rows = held.drop("comp")
         if done == 1:
             # what is left of long lists is compared by differences to their leads
-            lists = rows.where("rank > 1").join(comp, "key", "left").withColumn("comp", F.coalesce("comp", "key")) if comp is not None else (
-                rows.where("rank > 1").withColumn("comp", F.col("key")))
-            lists = (lists.withColumn("n", F.count("*").over(by)).withColumn("lo", F.min("comp").over(by))
-                     .withColumn("hi", F.max("comp").over(by)).where((F.col("n") > LONG) & (F.col("lo") != F.col("hi"))))
-            dense = written(lists.join(heads.select("sig", "lead"), "sig").select("lead", "key", "comp").distinct(), "dense")
-            if not dense.isEmpty():
+            lists = rows.where("rank > 1")
+            lists = lists.withColumn("comp", F.col("key")) if comp is None else lists.join(comp, "key", "left").withColumn(
+                "comp", F.coalesce("comp", "key"))
+            # leads are probes: lists with few of them end within a few rounds
+            wide = (lists.where("probe").select("sig", "comp").distinct().groupBy("sig").agg(F.count("*").alias("n"))
+                    .where(F.col("n") > LONG).select("sig"))
+            wide = written(wide, "wide")
+            if not wide.isEmpty():
+                dense = (lists.join(wide, "sig").join(heads.select("sig", "lead"), "sig")
+                         .select("lead", "key", "comp").distinct())
                 pairs = written(by_difference(dense, sets, p, q), "pairs")
                 found = written(verified(pairs, sets, p, q), "links")
                 if not found.isEmpty():
                     comp = merged(comp, found)
-                rows = written(rows.withColumn("_n", F.count("*").over(by)).where(F.col("_n") <= LONG + 1).drop("_n"), "members")
+                rows = written(rows.join(wide, "sig", "left_anti"), "members")
     return comp if comp is not None else docs.sparkSession.createDataFrame([], "key long, comp long")
 
 
