@@ -67,7 +67,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
     stack: list[tuple[str, bool, bool]] = []  # open elements: tag, dropped, declared
     dropped = declared = 0
 
-    def flush(blank: int = 0) -> None:
+    def flush(blank: int = 0) -> bool:
         text = SPACE.sub(" ", entities.unescape("".join(buffer))).strip()
         buffer.clear()
         if text:
@@ -75,8 +75,9 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
             inside.append(declared > 0)
         lines.extend([""] * blank)
         inside.extend([False] * blank)
+        return bool(text)
 
-    at = 0
+    at, opened = 0, False
     for m in TOKEN.finditer(page):
         if not dropped and m.start() > at:
             buffer.append(page[at:m.start()])
@@ -89,8 +90,10 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
             if tag in INLINE and not any(t == tag and d for t, d, _ in stack[-1:]):
                 continue
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if not dropped:
-                flush()
+            if not dropped and not flush() and opened:
+                lines.append("")  # an element without text is a blank line
+                inside.append(declared > 0)
+            opened = False
             if depth is not None:
                 was = dropped
                 for _, d, a in stack[depth:]:
@@ -109,6 +112,7 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
             continue
         if not dropped:
             flush(WINDOW if never else 0)
+        opened = True
         if tag in VOID or attrs.rstrip().endswith("/"):
             continue
         if tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "tr", "dt", "dd", "option") and not never:
