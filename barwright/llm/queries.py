@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from barwright.llm import decontam, htmltext, jaccard, licenses, mixing, quality, secrets, sharding, simhash, tokens
+from barwright.llm import decontam, htmltext, jaccard, licenses, mixing, quality, secrets, sharding, simhash, sql, tokens
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -69,4 +69,4 @@ QUERIES = {f.__name__: f for f in (op1_sharding, op2_licenses, op3_jaccard, op4_
 
 QUERIES["pipeline"] = corpus_pipeline.run
 #: SQL of the queries that SQL can express over whole tables
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(sql.ORACLES)
