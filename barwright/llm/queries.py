@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from barwright.llm import decontam, htmltext, jaccard, licenses, mixing, quality, secrets, sharding, simhash, sql, tokens
+from barwright.llm.text import written
+from barwright.session import ensure_checkpoint_dir
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 
@@ -42,7 +44,9 @@ def op5_tokens(spark, sf_dir):
 
 
 def op6_simhash(spark, sf_dir):
-    return simhash.compared(table(spark, sf_dir, "documents"))
+    # the fingerprints are read twice by the search: written once
+    ensure_checkpoint_dir(spark)
+    return simhash.searched(written(simhash.compared(table(spark, sf_dir, "documents")), "prints"))
 
 
 def op7_mixing(spark, sf_dir):

@@ -144,6 +144,18 @@ def test_simhash_search_finds_all(spark):
     assert got == sorted((x, y, (x ^ y).bit_count()) for x in all_ for y in all_ if 0 < (x ^ y).bit_count() <= 6)
 
 
+def test_simhash_searched_counts(docs):
+    prints = simhash.compared(docs).checkpoint()
+    rows = prints.collect()
+    all_ = {int(r.fingerprint, 16) for r in rows}
+    want = lambda x: sum(0 < (x ^ y).bit_count() <= 6 for y in all_)
+    got = simhash.searched(prints, every=3).collect()
+    assert len(got) == len(rows)
+    for r in got:
+        asked = r.doc_id is not None and r.doc_id % 3 == 0
+        assert r.n_near == (want(int(r.fingerprint, 16)) if asked else None)
+
+
 def test_mixing(docs, pairs):
     rows = mixing.mix(docs).collect()
     assert _key((r.doc_id, r["size"]) for r in rows) == _key((d, len(b.white(t))) for d, t in pairs)
