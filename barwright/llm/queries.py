@@ -46,7 +46,7 @@ def op5_tokens(spark, sf_dir):
 def op6_simhash(spark, sf_dir):
     # the fingerprints are read twice by the search: written once
     ensure_checkpoint_dir(spark)
-    return simhash.searched(written(simhash.compared(table(spark, sf_dir, "documents")), "prints"))
+    return simhash.searched(written(simhash.compared(table(spark, sf_dir, "documents")), "prints"), radius=simhash.NEAR)
 
 
 def op7_mixing(spark, sf_dir):

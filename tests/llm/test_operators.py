@@ -156,6 +156,39 @@ def test_simhash_searched_counts(docs):
         assert r.n_near == (want(int(r.fingerprint, 16)) if asked else None)
 
 
+def test_simhash_search_at_the_radius_of_near_copies(spark):
+    rnd = random.Random(2)
+    base = [rnd.getrandbits(128) for _ in range(12)]
+    all_ = {x ^ sum(1 << i for i in rnd.sample(range(128), rnd.randint(0, 24))) for x in base for _ in range(15)}
+    fps = spark.createDataFrame([(f"{x:032x}",) for x in all_], "fingerprint string")
+    for radius in (0, 3, simhash.NEAR, 23):
+        got = sorted((int(r.fingerprint, 16), int(r.other, 16), r.distance) for r in simhash.near(fps, fps, radius, same=True).collect())
+        assert got == sorted((x, y, (x ^ y).bit_count()) for x in all_ for y in all_ if (x ^ y).bit_count() <= radius)
+
+
+def test_simhash_recall_of_near_copies(spark):
+    """Pairs by brute-force Jaccard (5 words, 0.8) against pairs within the radius."""
+    rnd = random.Random(4)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(2, 7))) for _ in range(3000)]
+    texts = []
+    for _ in range(25):
+        base = [rnd.choice(words) for _ in range(rnd.randint(150, 600))]
+        for _ in range(4):
+            w = list(base)
+            for _ in range(rnd.randint(0, max(1, len(w) // 60))):
+                w[rnd.randrange(len(w))] = rnd.choice(words)
+            texts.append(" ".join(w))
+    sets = [b.shingle_set(t, 5) for t in texts]
+    want = {(i, j) for i in range(len(texts)) for j in range(i) if sets[i] != sets[j]
+            and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    prints = {r.doc_id: r.fingerprint for r in simhash.compared(docs).collect()}
+    fps = spark.createDataFrame([(x,) for x in prints.values()], "fingerprint string")
+    found = {(r.fingerprint, r.other) for r in simhash.near(fps, fps, simhash.NEAR, same=True).collect()}
+    hit = sum((prints[i], prints[j]) in found for i, j in want)
+    assert len(want) > 50 and hit >= 0.95 * len(want), (hit, len(want))
+
+
 def test_mixing(docs, pairs):
     rows = mixing.mix(docs).collect()
     assert _key((r.doc_id, r["size"]) for r in rows) == _key((d, len(b.white(t))) for d, t in pairs)
