@@ -16,6 +16,9 @@ Near copies (other words, Jaccard of 5-word shingles 0.8 or more) differ in far
 few: of the 48 such pairs at sf0.1 none lies within 6 bits and 47 within ``NEAR`` = 20 (medians
 14, 13.5 and 11.5 bits at 0.80-0.85, 0.85-0.90 and 0.90-0.95; the one left out has 25).
 
+A match is a fingerprint, with the number and the smallest id of its documents, so copies are
+found (at distance 0) and counted without being paired with each other.
+
 Defined cases: null or empty text has no terms and the fingerprint of all zero bits; equal texts
 have equal fingerprints; a text of fewer than three words is one shingle; an empty table gives
 an empty result."""
@@ -196,11 +199,33 @@ def near(queries: DataFrame, fps: DataFrame, radius: int = RADIUS, same: bool =
             .select(back("q").alias("fingerprint"), back("x").alias("other"), distance.alias("distance")))
 
 
+def matches(prints: DataFrame, queries: DataFrame, id_col: str = "doc_id", radius: int = RADIUS) -> DataFrame:
+    """(fingerprint of ``queries``, other, distance, n_docs, first_id): every fingerprint of
+    ``prints`` within ``radius``, the equal one too, with the number of its documents and their
+    smallest id.  Copies stay one row; all their ids are the rows of ``prints`` with ``other``."""
+    held = prints.groupBy(F.col("fingerprint").alias("other")).agg(F.count("*").alias("n_docs"), F.min(id_col).alias("first_id"))
+    return near(queries, prints, radius, same=True).join(held, "other").select(
+        "fingerprint", "other", "distance", "n_docs", "first_id")
+
+
 def searched(prints: DataFrame, id_col: str = "doc_id", every: int = 50, radius: int = RADIUS) -> DataFrame:
-    """``prints`` with n_near: for documents whose id is divisible by ``every`` (the stated query
-    set), the number of other fingerprints within ``radius`` among all; null elsewhere."""
-    asked = F.col(id_col) % every == 0
-    hits = near(prints.where(asked).select("fingerprint").distinct(), prints.select("fingerprint").distinct(), radius)
-    n = hits.groupBy("fingerprint").agg(F.count("*").alias("_n"))
-    return prints.join(n, "fingerprint", "left").withColumn(
-        "n_near", F.when(asked, F.coalesce("_n", F.lit(0))).cast("long")).drop("_n")
+    """``prints`` with the search among all for documents whose id is divisible by ``every`` (the
+    stated query set; null elsewhere):
+
+    * n_near: other fingerprints within ``radius``;
+    * n_copies: other documents with the same fingerprint;
+    * n_near_docs: other documents within ``radius``, copies included;
+    * matches: (distance, fingerprint, n_docs, first_id) of every fingerprint within ``radius``,
+      the own one too, by distance.
+
+    The table itself is the membership: the documents of a match are the rows of its fingerprint."""
+    hit = F.coalesce(F.col(id_col) % every == 0, F.lit(False))
+    asked_rows = prints.where(hit)
+    found = matches(prints, asked_rows, id_col, radius).groupBy(F.col("fingerprint").alias("_fp")).agg(
+        F.count_if(F.col("distance") > 0).alias("n_near"),
+        F.sum(F.when(F.col("distance") == 0, F.col("n_docs") - 1)).alias("n_copies"),
+        (F.sum("n_docs") - 1).alias("n_near_docs"),
+        F.sort_array(F.collect_list(F.struct("distance", F.col("other").alias("fingerprint"), "n_docs", "first_id"))).alias("matches"))
+    out = asked_rows.join(found, F.col("fingerprint") == F.col("_fp"), "left").drop("_fp")
+    # only the asked rows are joined: a large group of copies elsewhere is not moved
+    return out.unionByName(prints.where(~hit), allowMissingColumns=True)

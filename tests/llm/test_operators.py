@@ -189,6 +189,31 @@ def test_simhash_recall_of_near_copies(spark):
     assert len(want) > 50 and hit >= 0.95 * len(want), (hit, len(want))
 
 
+def test_simhash_searched_finds_copies_with_ids(docs):
+    """Every document within the radius comes out, exact copies included."""
+    prints = simhash.compared(docs).checkpoint()
+    rows = prints.collect()
+    print_of = [(r.doc_id, int(r.fingerprint, 16)) for r in rows]
+    got = simhash.searched(prints, every=3, radius=simhash.NEAR).collect()
+    assert len(got) == len(rows)
+    ids = {}
+    for r in got:  # the membership
+        ids.setdefault(r.fingerprint, []).append(r.doc_id)
+    copies = 0
+    for r in got:
+        if r.doc_id is None or r.doc_id % 3:
+            assert r.matches is None and r.n_copies is None and r.n_near_docs is None
+            continue
+        mine = int(r.fingerprint, 16)
+        want = _key((d, (x ^ mine).bit_count()) for d, x in print_of if (x ^ mine).bit_count() <= simhash.NEAR)
+        assert _key((d, m.distance) for m in r.matches for d in ids[m.fingerprint]) == want
+        for m in r.matches:
+            assert m.n_docs == len(ids[m.fingerprint]) and m.first_id == min((d for d in ids[m.fingerprint] if d is not None), default=None)
+        assert r.n_near_docs == len(want) - 1 and r.n_copies == sum(n == 0 for _, n in want) - 1
+        copies += r.n_copies
+    assert copies > 0
+
+
 def test_mixing(docs, pairs):
     rows = mixing.mix(docs).collect()
     assert _key((r.doc_id, r["size"]) for r in rows) == _key((d, len(b.white(t))) for d, t in pairs)
