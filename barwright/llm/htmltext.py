@@ -1,12 +1,15 @@
 """Main text of HTML pages by line-block distribution.
 
-Markup is stripped to lines: one per block of text, with blank lines where an element that is
-never main text stood (scripts, styles, menus, headers, footers, sidebars, forms, notices,
-adverts, comments).  Text lengths are summed over windows of three lines.  A surge is a line
-where the sum exceeds a threshold and text goes on; the dive is the next line where the sum falls
-to nothing; the text between surge and dive is kept, for every such pair.  A page that declares
-its article (article or main element, or the matching role) is read inside it, where any text is a
-surge; elsewhere the threshold is a share of the page's highest sum.
+Markup is stripped to lines: one per block of text, without elements that are never main text
+(scripts, styles, menus, headers, footers, sidebars, forms, notices, adverts, comments).  An
+element without text is a blank line, and so are the places of a dropped menu, header or footer
+of the page's frame and the borders of a declared article; other dropped elements leave none, so
+they never split a text.  Text lengths are summed over windows of three lines.  A surge is a line
+where the sum exceeds a threshold, a share of the page's highest sum, and text goes on; the dive
+is the next line where the sum falls to nothing; the text between surge and dive is kept, for
+every such pair.  On a page that declares its article (article or main element, or the matching
+role) the lines inside it count four times and the others a quarter, surges decide as elsewhere, and
+a surge inside the article reaches back to the dive before it.
 
 Defined cases: null or empty html gives empty text; unclosed and stray tags are tolerated
 (raw-text elements and comments end at the page's end at the latest); repeated rows are read as
@@ -23,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WINDOW, ABSOLUTE, SHARE = 3, 86, 0.25
+#: weights of lines inside and outside of a declared article
+INSIDE, OUTSIDE = 4, 0.25
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|noscript|template|textarea|iframe|svg|select|title)\b[^>]*>.*?(?:</(?P=raw)\s*>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?][^>]*>""", re.S | re.I)
@@ -31,6 +36,9 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 NEVER = frozenset("head nav header footer aside form button menu dialog fieldset object audio video canvas map".split())
 MAIN = frozenset(("article", "main"))
+#: dropped elements that part a page's frame from its text
+FRAME = frozenset("head nav header footer menu".split())
+FRAME_HINTS = frozenset("nav navbar navigation menu menubar breadcrumb breadcrumbs header masthead footer contentinfo banner".split())
 #: words of class, id and role names that mark an element as not main text
 HINTS = frozenset("ad ads advert adverts advertisement advertising banner sponsor sponsored promo promoted popup modal cookie "
                   "cookies consent notice notices alert gdpr newsletter subscribe subscription signup login nav navbar "
@@ -42,9 +50,9 @@ NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+
 SPACE = re.compile(r"\s+")
 
 
-def _marks(attrs: str) -> tuple[bool, bool]:
-    """(not main text, declared main text) by class, id and role."""
-    never = main = False
+def _marks(attrs: str) -> tuple[bool, bool, bool]:
+    """(not main text, declared main text, part of the page's frame) by class, id and role."""
+    never = main = frame = False
     for name, *values in NAMES.findall(attrs):
         value = "".join(values).lower()
         words = WORDS.findall(value)
@@ -54,27 +62,41 @@ def _marks(attrs: str) -> tuple[bool, bool]:
         for part in value.split():
             w = WORDS.findall(part)
             never |= bool(w) and (w[0] in HINTS or w[-1] in HINTS)
+            frame |= bool(w) and (w[0] in FRAME_HINTS or w[-1] in FRAME_HINTS)
         never |= len(words) == 1 and words[0] in HINTS
-    return never, main
+    return never, main, never and frame
 
 
 def lines_of(page: str) -> tuple[list[str], list[bool]]:
-    """Lines of a page (blank ones where an element was dropped) and whether each lies in a
-    declared article."""
+    """Lines of a page (blank ones where an element had no text, where a part of the page's frame
+    was dropped and at the borders of a declared article) and whether each lies in a declared
+    article."""
     lines: list[str] = []
     inside: list[bool] = []
     buffer: list[str] = []
-    stack: list[tuple[str, bool, bool]] = []  # open elements: tag, dropped, declared
-    dropped = declared = 0
+    stack: list[tuple[str, bool, bool, int]] = []  # open elements: tag, dropped, declared, number
+    dropped = declared = number = 0
+    last, cut = (0, False), False  # container and article of the last text; whether a part of the frame was dropped since
 
-    def flush(blank: int = 0) -> bool:
+    def container() -> int:
+        """The innermost open element; 0 for the page itself."""
+        return stack[-1][3] if stack and stack[-1][0] not in ("html", "body") else 0
+
+    def blank(n: int) -> None:
+        lines.extend([""] * n)
+        inside.extend([False] * n)
+
+    def flush() -> bool:
+        nonlocal last, cut
         text = SPACE.sub(" ", entities.unescape("".join(buffer))).strip()
         buffer.clear()
         if text:
+            # between two texts of one element (a list of contents, say) the frame splits nothing
+            if (cut and not 0 < last[0] == container()) or last[1] != (declared > 0):
+                blank(WINDOW)
             lines.append(text)
             inside.append(declared > 0)
-        lines.extend([""] * blank)
-        inside.extend([False] * blank)
+            last, cut = (container(), declared > 0), False
         return bool(text)
 
     at, opened = 0, False
@@ -87,37 +109,35 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
             continue  # comments, declarations, raw text: nothing of them is text
         tag = tag.lower()
         if m["end"]:
-            if tag in INLINE and not any(t == tag and d for t, d, _ in stack[-1:]):
+            if tag in INLINE and not any(t == tag and d for t, d, _, _ in stack[-1:]):
                 continue
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if not dropped and not flush() and opened:
-                lines.append("")  # an element without text is a blank line
-                inside.append(declared > 0)
+                blank(1)  # an element without text is a blank line
             opened = False
             if depth is not None:
-                was = dropped
-                for _, d, a in stack[depth:]:
+                for _, d, a, _ in stack[depth:]:
                     dropped -= d
                     declared -= a
                 del stack[depth:]
-                if was and not dropped:
-                    buffer.clear()
-                    flush(WINDOW)
             continue
         attrs = m["attrs"] or ""
-        never, main = _marks(attrs) if attrs else (False, False)
+        never, main, frame = _marks(attrs) if attrs else (False, False, False)
         main = (main or tag in MAIN) and not never
+        frame = frame or tag in FRAME
         never = (never or tag in NEVER) and tag not in ("body", "html")
         if tag in INLINE and not never:
             continue
         if not dropped:
-            flush(WINDOW if never else 0)
+            flush()
+            cut |= never and frame
         opened = True
         if tag in VOID or attrs.rstrip().endswith("/"):
             continue
         if tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "tr", "dt", "dd", "option") and not never:
             continue  # their ends are often left out: they only break lines
-        stack.append((tag, never, main))
+        number += 1
+        stack.append((tag, never, main, number))
         dropped += never
         declared += main
     if not dropped:
@@ -126,27 +146,28 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
     return lines, inside
 
 
+def window_sums(sizes: list[float]) -> list[float]:
+    return [sum(sizes[i:i + WINDOW]) for i in range(len(sizes))]
+
+
 def main_text(page: str | None) -> str:
     """Text between surges and dives of the page's line-block distribution."""
     if not page:
         return ""
     lines, inside = lines_of(page)
-    threshold = 0.0
-    if any(inside):
-        lines = [s if i else "" for s, i in zip(lines, inside)]
-    sizes = [len(s) for s in lines]
-    sums = [sum(sizes[i:i + WINDOW]) for i in range(len(sizes))]
-    if not any(inside) and sums:
-        threshold = min(ABSOLUTE, SHARE * max(sums))
+    weights = [INSIDE if i else OUTSIDE for i in inside] if any(inside) else [1] * len(lines)
+    sums = window_sums([w * len(s) for w, s in zip(weights, lines)])
+    threshold = min(ABSOLUTE, SHARE * max(sums, default=0))
     kept, at = [], 0
     while at < len(lines):
-        if sizes[at] and sums[at] > threshold:  # surge
-            while at < len(lines) and sums[at]:  # up to the dive
-                if sizes[at]:
-                    kept.append(lines[at])
-                at += 1
-        else:
-            at += 1
+        end = at
+        while end < len(lines) and sums[end]:  # up to the dive
+            end += 1
+        surge = next((i for i in range(at, end) if lines[i] and sums[i] > threshold), end)
+        if surge < end and inside[surge]:
+            surge = at  # a declared article says where its text begins
+        kept += [s for s in lines[surge:end] if s]
+        at = end + 1
     return " ".join(kept)
 
 

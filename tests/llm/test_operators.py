@@ -99,6 +99,71 @@ def test_html():
     assert htmltext.main_text(None) == htmltext.main_text("") == htmltext.main_text("<!-- open") == ""
 
 
+def _page(rnd, declared):
+    """A random page with its blocks: (kind, text, inside a declared article)."""
+    blocks, html, inside = [], ["<html><body>"], False
+    for _ in range(rnd.randint(1, 25)):
+        kind = rnd.choice(["text"] * 6 + ["empty"] * 4 + ["ad", "frame"] + ["border"] * declared)
+        text = "".join(rnd.choice("abcdefg ") for _ in range(rnd.choice((3, 10, 30, 60, 100, 400)))).strip() or "x"
+        if kind == "border":
+            html.append("</article>" if inside else "<article>")
+            inside = not inside
+        else:
+            html.append({"text": f"<div>{text}</div>", "empty": "<div></div>", "ad": f"<div class='ad'><p>{text}</p></div>",
+                         "frame": f"<nav><ul><li>{text}</ul></nav>"}[kind])
+        blocks.append((kind, " ".join(text.split()), inside))
+    return "".join(html) + "</article>" * inside + "</body></html>", blocks
+
+
+def _surged(blocks):
+    """The kept lines by their definition: text with a surge before it and no dive in between."""
+    lines, cut, seen, before = [], False, False, None
+    for kind, text, inside in blocks:
+        cut |= kind == "frame"
+        if kind == "text" and (cut or seen != inside):
+            lines += [("", False)] * 3
+            cut = False
+        if kind == "text":
+            lines.append((text, inside))
+            seen = inside
+        elif kind == "empty" or (kind == before == "border" and not inside):
+            lines.append(("", False))
+        before = kind
+    marked = any(i for t, i in lines)
+    size = [len(t) * ((4 if i else 0.25) if marked else 1) for t, i in lines]
+    total = [sum(size[i:i + 3]) for i in range(len(size))]
+    least = min(86, max(total, default=0) / 4)
+    return " ".join(t for i, (t, article) in enumerate(lines) if t and any(
+        lines[s][0] and total[s] > least and all(total[min(s, i):max(s, i) + 1])
+        for s in range(len(lines) if article else i + 1)))
+
+
+@pytest.mark.parametrize("declared", [False, True])
+def test_html_surges_by_definition(declared):
+    rnd, short = random.Random(6), 0
+    for _ in range(1500):
+        page, blocks = _page(rnd, declared)
+        want = _surged(blocks)
+        assert htmltext.main_text(page) == want, page
+        short += 0 < len(want) < len(" ".join(t for k, t, _ in blocks if k == "text"))
+    assert short > 300  # surges and dives leave something out
+
+
+def test_html_dropped_elements_do_not_split():
+    body = "word " * 80 + "end."
+    assert htmltext.main_text(f"<p>{body}</p><div class=ad>Buy now</div><p>Short end.</p>") == f"{body} Short end."
+    assert htmltext.main_text(f"<div><p>Lead.</p><nav><li>One<li>Two</nav><p>{body}</p></div>") == f"Lead. {body}"
+    assert htmltext.main_text(f"<div>Menu</div><nav><li>One</nav><div>{body}</div><footer>x</footer><div>Imprint</div>") == body
+
+
+def test_html_surges_decide_on_declared_pages():
+    body, teaser = "word " * 80 + "end.", "A teaser."
+    far = "<div></div>" * 4
+    # a declared article is a weight: long text beside it stays, short text goes
+    assert htmltext.main_text(f"<article>{teaser}</article><div>{body}</div><div>{body}</div>{far}<div>Imprint</div>") == f"{body} {body}"
+    assert htmltext.main_text(f"<article><p>{body}</p>{far}<p>x</p></article><div>Imprint of the site</div>") == body
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, "u", None, "z"), (None, None, "<article><p>a</p></article>", "z")],
                                   "page_id long, url string, html string, text string")
