@@ -11,6 +11,12 @@ every such pair.  On a page that declares its article (article or main element,
 role) the lines inside it count four times and the others a quarter, surges decide as elsewhere, and
 a surge inside the article reaches back to the dive before it.
 
+Names mark an element as not main text: roles, classes and the ids of plain containers (other ids
+are often slugs of headings).  Inside a declared article a class or id is only a hint: its block
+goes if its lines agree, that is, if links are half of its text or no window of its other text
+exceeds the threshold of a surge (text of adverts counts a quarter).  Only a block that is named
+just "ad" or the like goes in any case.  An inline element goes there only if it is a whole line.
+
 Defined cases: null or empty html gives empty text; unclosed and stray tags are tolerated
 (raw-text elements and comments end at the page's end at the latest); repeated rows are read as
 rows of their own; an empty table gives an empty result."""
@@ -46,25 +52,77 @@ HINTS = frozenset("ad ads advert adverts advertisement advertising banner sponso
                   "contentinfo widget related recommended share sharing social comment comments disqus replies reply "
                   "pagination pager toolbar search skip copyright".split())
 WORDS = re.compile(r"[a-z]+")
-NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: hints that are never words of an article's own names
+ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsor sponsored promo promoted cookie cookies gdpr "
+                    "newsletter disqus".split())
+#: whole names that need no evidence
+PLAIN_ADVERTS = frozenset("ad ads advert adverts advertisement advertising sponsored".split())
+#: elements whose id may be a hint, and whole ids that are one on sections too
+ID_TAGS, SECTIONS = frozenset("div ul ol table".split()), frozenset("section article main details".split())
+SECTION_IDS = ADVERTS | frozenset("comments replies sidebar footer breadcrumbs pagination".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+LOOSE = frozenset("p li td th tr dt dd option".split()) | HEADINGS  # their ends are often left out
+NAMES = re.compile(r"""([^\s"'<>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 SPACE = re.compile(r"\s+")
 
 
-def _marks(attrs: str) -> tuple[bool, bool, bool]:
-    """(not main text, declared main text, part of the page's frame) by class, id and role."""
+def _hints(tag: str, name: str, part: str, declared: bool) -> set[str]:
+    """Words of a name that mark its element as not main text."""
+    w = WORDS.findall(part)
+    if name == "id" and tag in SECTIONS:
+        return {part} & SECTION_IDS
+    if not w or (name == "id" and (tag not in ID_TAGS or (declared and w != [part]))):
+        return set()
+    if name == "class" and declared and tag in HEADINGS:
+        return set()
+    # a hint counts as a whole name or as the first or last word of a compound one
+    return {w[0], w[-1]} & HINTS
+
+
+def _marks(tag: str, attrs: str, declared: bool) -> tuple[bool, bool, bool, set[str]]:
+    """(not main text, declared main text, part of the page's frame, hints to be agreed with) by
+    class, id and role."""
     never = main = frame = False
+    open_to = set()
     for name, *values in NAMES.findall(attrs):
+        name = name.lower()
+        if name not in ("class", "id", "role"):
+            continue
         value = "".join(values).lower()
-        words = WORDS.findall(value)
-        if name.lower() == "role" and value.strip() in ("main", "article"):
+        if name == "role" and value.strip() in ("main", "article"):
             main = True
-        # a hint counts as a whole name or as the first or last word of a compound one
         for part in value.split():
-            w = WORDS.findall(part)
-            never |= bool(w) and (w[0] in HINTS or w[-1] in HINTS)
-            frame |= bool(w) and (w[0] in FRAME_HINTS or w[-1] in FRAME_HINTS)
-        never |= len(words) == 1 and words[0] in HINTS
-    return never, main, never and frame
+            found = _hints(tag, name, part, declared)
+            if declared and name != "role" and part not in PLAIN_ADVERTS:
+                open_to |= found
+            else:
+                never |= bool(found)
+                frame |= bool(found & FRAME_HINTS)
+    return never, main, frame, open_to
+
+
+def window_sums(sizes: list[float]) -> list[float]:
+    return [sum(sizes[i:i + WINDOW]) for i in range(len(sizes))]
+
+
+def _agreed(lines: list[str], links: list[int], of: list[tuple[int, ...]], blocks: list[list[bool]]) -> set[int]:
+    """Numbers of the hinted blocks that go; inner blocks are settled before outer ones."""
+    gone: set[int] = set()
+    other = any(s and not o for s, o in zip(lines, of))
+    members: list[list[int]] = [[] for _ in blocks]
+    for i, o in enumerate(of):
+        for n in o:
+            members[n].append(i)
+    for n in range(len(blocks) - 1, -1, -1):
+        advert, section, headed = blocks[n]
+        at = [i for i in members[n] if not gone.intersection(of[i])]
+        plain = [len(lines[i]) - links[i] for i in at]
+        most = max(window_sums(plain), default=0) * (OUTSIDE if advert else 1)
+        linked = 2 * sum(links[i] for i in at) >= sum(len(lines[i]) for i in at)
+        # a section with a heading may have its id from it; a wrapper of the whole article is none
+        if (linked or most <= (ABSOLUTE if other else 0)) and not (section and headed and not linked):
+            gone.add(n)
+    return gone
 
 
 def lines_of(page: str) -> tuple[list[str], list[bool]]:
@@ -73,8 +131,12 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
     article."""
     lines: list[str] = []
     inside: list[bool] = []
-    buffer: list[str] = []
-    stack: list[tuple[str, bool, bool, int]] = []  # open elements: tag, dropped, declared, number
+    links: list[int] = []  # characters of links in each line
+    of: list[tuple[int, ...]] = []  # hinted blocks of each line
+    blocks: list[list[bool]] = []  # hinted blocks in declared articles: advert, section's id, with a heading
+    buffer: list[tuple[str, bool, bool]] = []  # text, in a link, in a hinted inline element
+    stack: list[tuple[str, bool, bool, int, int]] = []  # open elements: tag, dropped, declared, number, hinted block
+    inline: list[tuple[str, bool, int]] = []  # open links and hinted inline elements: tag, hinted, depth
     dropped = declared = number = 0
     last, cut = (0, False), False  # container and article of the last text; whether a part of the frame was dropped since
 
@@ -85,71 +147,102 @@ def lines_of(page: str) -> tuple[list[str], list[bool]]:
     def blank(n: int) -> None:
         lines.extend([""] * n)
         inside.extend([False] * n)
+        links.extend([0] * n)
+        of.extend([()] * n)
+
+    def add(text: str) -> None:
+        buffer.append((text, any(t == "a" for t, _, _ in inline), any(h for _, h, _ in inline)) if inline else (text, False, False))
 
     def flush() -> bool:
         nonlocal last, cut
-        text = SPACE.sub(" ", entities.unescape("".join(buffer))).strip()
-        buffer.clear()
+        text = SPACE.sub(" ", entities.unescape("".join(t for t, _, _ in buffer))).strip()
         if text:
+            member = tuple(b for *_, b in stack if b >= 0)
+            if all(h or not t.strip() for t, _, h in buffer):
+                blocks.append([False, False, False])
+                member += (len(blocks) - 1,)
             # between two texts of one element (a list of contents, say) the frame splits nothing
             if (cut and not 0 < last[0] == container()) or last[1] != (declared > 0):
                 blank(WINDOW)
             lines.append(text)
             inside.append(declared > 0)
+            links.append(min(len(text), sum(len(t.strip()) for t, a, _ in buffer if a)))
+            of.append(member)
             last, cut = (container(), declared > 0), False
+        buffer.clear()
         return bool(text)
 
+    def close(depth: int) -> None:
+        nonlocal dropped, declared
+        for _, d, a, _, _ in stack[depth:]:
+            dropped -= d
+            declared -= a
+        del stack[depth:]
+        inline[:] = [x for x in inline if x[2] <= depth]
+
     at, opened = 0, False
     for m in TOKEN.finditer(page):
         if not dropped and m.start() > at:
-            buffer.append(page[at:m.start()])
+            add(page[at:m.start()])
         at = m.end()
         tag = m["tag"]
         if tag is None:
             continue  # comments, declarations, raw text: nothing of them is text
         tag = tag.lower()
         if m["end"]:
-            if tag in INLINE and not any(t == tag and d for t, d, _, _ in stack[-1:]):
+            if tag in INLINE and not any(t == tag and d for t, d, *_ in stack[-1:]):
+                if depth := next((i for i in range(len(inline) - 1, -1, -1) if inline[i][0] == tag), -1) + 1:
+                    del inline[depth - 1:]
                 continue
             depth = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
             if not dropped and not flush() and opened:
                 blank(1)  # an element without text is a blank line
             opened = False
             if depth is not None:
-                for _, d, a, _ in stack[depth:]:
-                    dropped -= d
-                    declared -= a
-                del stack[depth:]
+                close(depth)
             continue
         attrs = m["attrs"] or ""
-        never, main, frame = _marks(attrs) if attrs else (False, False, False)
-        main = (main or tag in MAIN) and not never
+        never, main, frame, hints = _marks(tag, attrs, declared > 0) if attrs else (False, False, False, ())
+        main = (main or tag in MAIN) and not never and not hints
         frame = frame or tag in FRAME
         never = (never or tag in NEVER) and tag not in ("body", "html")
         if tag in INLINE and not never:
+            if tag == "a" and inline:
+                inline[:] = [x for x in inline if x[0] != "a"]  # links do not nest: the open one ends
+            # inside hinted elements all are noted, to tell their ends apart
+            if (tag == "a" or hints or inline) and not dropped and tag not in VOID and not attrs.rstrip().endswith("/"):
+                inline.append((tag, bool(hints), len(stack)))
             continue
         if not dropped:
             flush()
             cut |= never and frame
+            if stack and stack[-1][4] >= 0 and (stack[-1][0] == "p" or stack[-1][0] == tag) and stack[-1][0] in LOOSE:
+                close(len(stack) - 1)  # a hinted paragraph or item whose end was left out
+            if tag in HEADINGS:
+                if stack and stack[-1][4] >= 0:
+                    blocks[stack[-1][4]][2] = True
         opened = True
         if tag in VOID or attrs.rstrip().endswith("/"):
             continue
-        if tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6", "td", "th", "tr", "dt", "dd", "option") and not never:
-            continue  # their ends are often left out: they only break lines
+        if tag in LOOSE and not never and not hints:
+            continue  # they only break lines
         number += 1
-        stack.append((tag, never, main, number))
+        doubtful = bool(hints) and not never and not dropped
+        if doubtful:
+            blocks.append([bool(hints & ADVERTS), tag in SECTIONS, False])
+        stack.append((tag, never, main, number, len(blocks) - 1 if doubtful else -1))
         dropped += never
         declared += main
     if not dropped:
-        buffer.append(page[at:])
+        add(page[at:])
         flush()
+    if blocks:
+        gone = _agreed(lines, links, of, blocks)
+        left = [i for i, o in enumerate(of) if not gone.intersection(o)]
+        lines, inside = [lines[i] for i in left], [inside[i] for i in left]
     return lines, inside
 
 
-def window_sums(sizes: list[float]) -> list[float]:
-    return [sum(sizes[i:i + WINDOW]) for i in range(len(sizes))]
-
-
 def main_text(page: str | None) -> str:
     """Text between surges and dives of the page's line-block distribution."""
     if not page:

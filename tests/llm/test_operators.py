@@ -164,6 +164,36 @@ def test_html_surges_decide_on_declared_pages():
     assert htmltext.main_text(f"<article><p>{body}</p>{far}<p>x</p></article><div>Imprint of the site</div>") == body
 
 
+def test_html_hints_in_declared_articles():
+    long = "word " * 80 + "end."
+    page = lambda x: htmltext.main_text(f"<article><p>{long}</p>{x}<p>Last.</p></article>")
+    kept = lambda x, text: page(x) == f"{long} {text} Last."
+    # ids of headings, sections, items and anchors are slugs; data-* attributes and quoted values are no names
+    assert kept('<h2 id="related-work">Related work</h2>', "Related work")
+    assert kept('<h2 id="search">Search</h2><p>How.</p>', "Search How.")
+    assert kept('<section id="login-flow"><h2>Login</h2><p>Short.</p></section>', "Login Short.")
+    assert kept('<section id="comments"><h2>Comments</h2><p>They start with #.</p></section>', "Comments They start with #.")
+    assert kept('<div id="notice-period"><p>Three months.</p></div>', "Three months.")
+    assert kept('<div data-id="search" data-class="menu"><p>Data.</p></div>', "Data.")
+    assert kept('<div title="a class=ad b"><p>Title.</p></div>', "Title.")
+    assert kept('<dl><dt id="login">Login</dt><dd>A name.</dd></dl>', "Login A name.")
+    assert kept('<h2 class="section-header">Head</h2>', "Head")
+    # evidence: length, links
+    assert kept(f'<div id="search"><p>{long}</p></div>', long) and kept(f'<div class="notice"><p>{long}</p></div>', long)
+    assert kept(f'<div class="notice"><p>{long}</p><div class="share">Tell all</div></div>', long)
+    for gone in ('<div id="search"><p>Find</p></div>', '<div class="notice">Please note.</div>', '<section id=comments><p>First!</p></section>',
+                 f'<div class="related"><ul><li><a href="/1">{long}</a><li><a href="/2">{long}</a></ul></div>',
+                 f'<div class="ad">{long}</div>', '<div role="search">Find</div>', '<div class="promo-box">' + "buy " * 50 + "</div>"):
+        assert page(gone) == f"{long} Last.", gone
+    # inline elements, and hinted paragraphs without an end
+    assert page('<p>Take <span class="alert">great care</span> here.</p>') == f"{long} Take great care here. Last."
+    assert page('<p><a class="share" href="/s">Share</a></p>') == f"{long} Last."
+    assert page('<p class="notice">Note.<p>Kept.') == f"{long} Kept. Last."
+    # a hinted wrapper of the whole article is none; undeclared pages are as before
+    assert htmltext.main_text('<article><div class="post-header"><p>All of it.</p></div></article>') == "All of it."
+    assert htmltext.main_text(f'<div id="cookie-bar">{long}</div><p>{long}</p><h2 id="search">Search</h2>') == f"{long} Search"
+
+
 def test_html_rows(spark):
     pages = spark.createDataFrame([(1, "u", None, "z"), (None, None, "<article><p>a</p></article>", "z")],
                                   "page_id long, url string, html string, text string")
