@@ -15,7 +15,9 @@ paired with each other: each round compares them with a few leads of the signatu
 and goes on only where members of different components are left; what a long list holds beyond
 its first lead is compared by the members' differences to that lead (``by_difference``).  So a
 group of n near copies costs about n comparisons, yet no link between components is lost.  Candidates are verified on
-the whole shingle sets (64-bit hashes of the words).
+the whole shingle sets (64-bit hashes of the words).  That gives components; ``links_of`` leaves
+nothing out and gives every link and the number of links per class, at the price of all pairs
+of a group.
 
 Defined cases: null, empty or blank text has no shingles and is linked with nothing; a text of
 fewer words than a shingle is one shingle; equal texts and repeated rows share a class; null
@@ -332,14 +334,46 @@ def by_difference(dense: DataFrame, sets: DataFrame, p: int, q: int) -> DataFram
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text_col: str = "text") -> DataFrame:
-    """(key, comp) of the classes that have links; ``ids``: the keyed documents."""
-    p, q = percent, 100
-    rows = written(shared(signed(docs, k, Bands(p, q), text_col)), "signatures")
+def indexed(docs: DataFrame, ids: DataFrame, k: int, percent: int, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(sig, key, probe) of the signatures that several classes hold, and (key, items) of those
+    classes; ``ids``: the keyed documents."""
+    rows = written(shared(signed(docs, k, Bands(percent, 100), text_col)), "signatures")
     # sets of the classes that share a signature, from one text of each class
     texts = (ids.groupBy("_key").agg(F.min("_text").alias("h"))
              .join(rows.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi").select("h"))
-    sets = written(sets_of(docs, k, text_col, hash_filter(texts)), "sets")
+    return rows, written(sets_of(docs, k, text_col, hash_filter(texts)), "sets")
+
+
+def links_of(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
+             text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """The join itself: every pair of classes that meets in a signature is verified, whether or
+    not its members already share a component.
+
+    Links, one row per pair of linked classes: a < b (class keys), id_a, id_b (smallest ids).
+    Counts, one row per class: class_key, id, n_docs (its documents), n_links (linked classes),
+    n_linked_docs (their documents).  Documents of one class have equal sets and are not paired:
+    a document's links are n_linked_docs and the n_docs - 1 others of its class."""
+    ensure_checkpoint_dir(docs.sparkSession)
+    ids = written(keyed(docs, k, id_col, text_col, []), "classes")
+    rows, sets = indexed(docs, ids, k, percent, text_col)
+    one, two = rows.withColumnsRenamed({"key": "a", "probe": "pa"}), rows.withColumnsRenamed({"key": "b", "probe": "pb"})
+    pairs = written(one.join(two, "sig").where((F.col("a") < F.col("b")) & (F.col("pa") | F.col("pb")))
+                    .select("a", "b").distinct(), "pairs")
+    links = written(verified(pairs, sets, percent, 100), "links")
+    held = written(ids.where(F.col("_key").isNotNull()).groupBy(F.col("_key").alias("class_key")).agg(
+        F.min("_id").alias("id"), F.count("*").alias("n_docs")), "held")
+    ends = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    per_class = (ends.join(held.select(F.col("class_key").alias("b"), "n_docs"), "b").groupBy(F.col("a").alias("class_key"))
+                 .agg(F.count("*").alias("n_links"), F.sum("n_docs").alias("n_linked_docs")))
+    counts = held.join(per_class, "class_key", "left").na.fill(0, ["n_links", "n_linked_docs"])
+    name = lambda c: held.select(F.col("class_key").alias(c), F.col("id").alias(f"id_{c}"))
+    return links.join(name("a"), "a").join(name("b"), "b").select("a", "b", "id_a", "id_b"), counts
+
+
+def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text_col: str = "text") -> DataFrame:
+    """(key, comp) of the classes that have links; ``ids``: the keyed documents."""
+    p, q = percent, 100
+    rows, sets = indexed(docs, ids, k, percent, text_col)
     by = Window.partitionBy("sig")
     # ranks with probes first: pairs of two that only index need no comparison
     # ... and then members of many and long lists: the least edited copies lead all lists they are in

@@ -35,6 +35,14 @@ def op3_jaccard(spark, sf_dir):
         "doc_id", "n_shingles", "component_id")
 
 
+def op3_jaccard_links(spark, sf_dir):
+    # the whole join: one row per link of two classes, with the counts of both
+    links, counts = jaccard.links_of(table(spark, sf_dir, "documents"), k=3, percent=90)
+    names = ("n_docs", "n_links", "n_linked_docs")
+    of = lambda c: counts.select(F.col("class_key").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in names))
+    return links.join(of("a"), "a").join(of("b"), "b")
+
+
 def op4_htmltext(spark, sf_dir):
     return htmltext.extracted(table(spark, sf_dir, "pages"))
 
@@ -68,7 +76,7 @@ def op10_quality(spark, sf_dir):
     return quality.scored(docs, model, keep_all=False).withColumn("keep", F.col("p_good") >= 0.5)
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_licenses, op3_jaccard, op4_htmltext, op5_tokens, op6_simhash,
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_licenses, op3_jaccard, op3_jaccard_links, op4_htmltext, op5_tokens, op6_simhash,
                                    op7_mixing, op8_secrets, op9_decontam, op10_quality)}
 
 QUERIES["pipeline"] = corpus_pipeline.run

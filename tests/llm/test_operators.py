@@ -87,6 +87,28 @@ def test_jaccard(docs, pairs, k, percent, monkeypatch):
         assert _key(got) == _key(want)
 
 
+@pytest.mark.parametrize("k,percent", [(3, 90), (5, 80), (2, 60)])
+def test_jaccard_links(docs, pairs, k, percent):
+    """Every link between different sets, also inside a component, and the links per document."""
+    links, counts = (x.collect() for x in jaccard.links_of(docs, k, percent))
+    sets, ids = {}, {}
+    for d, t in pairs:
+        s = b.shingle_set(t, k)
+        if s:
+            sets[s] = sets.get(s, 0) + 1
+            ids[s] = min((x for x in (ids.get(s), d) if x is not None), default=None)
+    linked = {s: [t for t in sets if t != s and 100 * len(s & t) >= percent * len(s | t)] for s in sets}
+    want = {frozenset((ids[s], ids[t])) for s, many in linked.items() for t in many}
+    assert len(links) == len(want) > len(sets) // 10 and {frozenset((r.id_a, r.id_b)) for r in links} == want
+    assert _key((r.id, r.n_docs, r.n_links, r.n_linked_docs) for r in counts) == _key(
+        (ids[s], sets[s], len(many), sum(sets[t] for t in many)) for s, many in linked.items())
+
+
+def test_jaccard_links_of_nothing(docs):
+    links, counts = jaccard.links_of(docs.limit(0))
+    assert links.count() == counts.count() == 0
+
+
 def test_html():
     page = ("<html><head><title>x</title><script>var a='</p>';</script></head><body><nav><ul><li>Home</li><li>About</li></ul></nav>"
             "<div class='cookie-notice'>We use cookies on this site a lot.</div><article><h1>T &amp; U</h1><p>One <b>two\n three.<br><p>Four.</p>"
