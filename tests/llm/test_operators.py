@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 
 from barwright.llm import decontam, htmltext, jaccard, licenses, mixing, quality, secrets, sharding, simhash, tokens
+from tests.conftest import SF
 from tests.llm import brute as b
 
 SCHEMA = "doc_id long, text string, lang string, source string, size long, shard int, h string, words string"
@@ -350,6 +351,28 @@ def test_secrets_and_ledger(spark, docs, pairs):
     assert _key(map(tuple, secrets.report(docs, ledger).collect())) == _key(map(tuple, rows))
 
 
+def test_secrets_query_goes_by_its_ledger(spark, monkeypatch):
+    """The registered query scans unseen pairs only and joins old findings back."""
+    from barwright.llm import queries
+    runs, update, sf_dir = [], secrets.update, SF.replace("sf0.001", "sf0.01")  # sf0.001 has no findings
+
+    def noted(docs, ledger, *args):
+        runs.append((ledger, update(docs, ledger, *args)))
+        return runs[-1][1]
+    monkeypatch.setattr(secrets, "update", noted)
+    rows = queries.op8_secrets(spark, sf_dir).collect()
+    docs = queries.table(spark, sf_dir, "documents")
+    pair = lambda x: {(r.blob, r.rule) for r in x.select("blob", "rule").distinct().collect()}
+    every = {(r.blob, rule.key) for r in docs.select(secrets.blob_of(docs["text"]).alias("blob")).collect() for rule in secrets.RULES}
+    (none, first), (seen, last) = runs
+    assert none.count() == 0 and 0 < len(pair(seen)) < len(every) and pair(seen) == pair(first) and pair(last) == every
+    assert last.where("kind is null").count() == len(every)  # no pair was scanned twice
+    old = secrets.report(docs, seen).where("spans <> ''").count()
+    assert 0 < old < sum(r.spans != "" for r in rows)  # old findings are joined back, new ones are added
+    plain = secrets.report(docs, secrets.scan_new(docs)).drop("blob")
+    assert _key(map(tuple, rows)) == _key(map(tuple, plain.collect()))
+
+
 def test_decontamination(spark, docs, pairs):
     base = TEXTS[7].split()
     items = [(1, " ".join(base[:25])), (2, "one TWO"), (3, None), (4, "!!"), (None, " ".join(base[30:45])), (1, "one")]
