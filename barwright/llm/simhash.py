@@ -26,6 +26,7 @@ an empty result."""
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -36,13 +37,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barwright.llm.hashing import U64, mixed, shingle_hashes, word_hashes
-from barwright.llm.text import partitions
+from barwright.llm.text import partitions, written
 
 WORD_WEIGHT, SHINGLE = 0.25, 3
 BITS, BLOCKS, RADIUS = 128, 8, 6
 #: radius of near copies, from the measured distances above
 NEAR = 20
 CHUNK = 1 << 14
+#: characters of a text that order rows of one id; sampled keys per bucket
+PREFIX, SAMPLE = 256, 20
 
 
 def votes(h: np.ndarray, weight: float) -> np.ndarray:
@@ -75,41 +78,64 @@ def edited(text: str, nxt: str) -> str:
 
 
 def in_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Documents in buckets of ascending id, each bucket with the row that follows its last one
-    (the first row of the next bucket; after the last bucket, of the first).  Bounds come from
-    the ids' quantiles; each text is moved once."""
+    """(_b, _halo, _id, _t, _n): documents in buckets of ascending id, then text (its first
+    ``PREFIX`` characters and its hash), each bucket with the row that follows its last one (the
+    first row of the next bucket; after the last bucket, of the first).  Bounds are keys from an
+    even sample of the distinct keys, so rows of one id spread over buckets; equal rows of a batch
+    go as one with their number.  Each text is moved once, and the halo's."""
     spark = docs.sparkSession
     n = 4 * partitions(spark)
     src = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_t"))
-    rank = F.col("_id").cast("double")
-    bounds = src.select(F.percentile_approx(rank, [i / n for i in range(1, n)], 20 * n)).first()[0] or []
-    edges = np.array(sorted(set(bounds)))
+    nan = F.isnan("_id") if src.schema["_id"].dataType.simpleString() in ("float", "double") else F.lit(False)
+    src = src.select("_id", F.when(F.col("_id").isNull(), 0).when(nan, 2).otherwise(1).alias("_l"),
+                     F.substring("_t", 1, PREFIX).alias("_p"), F.xxhash64("_t").alias("_h"), "_t")
+    names = ["_l", "_id", "_p", "_h"]
+    # a row's place: ids compare as themselves, null and NaN by their level alone
+    place = lambda l, i, p, h: (l, i if l == 1 else 0, p, h)
+    keys = written(src.select(*names).distinct(), "keys")
+    share = (SAMPLE * n << 30) // max(1, keys.count())
+    # about SAMPLE keys a bucket, however many tasks there are
+    sample = sorted(place(*r) for r in keys.where(F.pmod(F.xxhash64("_id", "_h"), F.lit(1 << 30)) < share).collect())
+    bounds = [sample[len(sample) * i // n] for i in range(1, n)] if sample else []
 
     @F.pandas_udf("int")
-    def bucket(x: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(edges, x.fillna(-np.inf).to_numpy(), side="right").astype(np.int32))
+    def bucket(l: pd.Series, i: pd.Series, p: pd.Series, h: pd.Series) -> pd.Series:  # noqa: E741
+        return pd.Series([bisect_right(bounds, place(*r)) for r in zip(l, i, p, h)], dtype="int32")
+
+    # ids keep their type on the way: a nullable integer column would come as doubles
+    exact = F.coalesce("_id", F.lit(0).cast(src.schema["_id"].dataType))
+    at = bucket("_l", exact, "_p", "_h")
+    first = F.min(F.struct("_l", exact.alias("_id"), "_p", "_h"))
+    lows = keys.groupBy(at.alias("b")).agg(first.alias("low")).orderBy("b").collect()  # one row a bucket
+    before = {place(*r["low"]): lows[i - 1]["b"] for i, r in enumerate(lows)}
+    kind = src.schema["_id"].dataType.simpleString()
+    out = ["_b", "_halo", "_id", "_l", "_p", "_h", "_t", "_n"]
 
-    lows = (src.select(F.coalesce(rank, F.lit(float("-inf"))).alias("x"), bucket(rank).alias("b"))
-            .groupBy("b").agg(F.min("x").alias("low")).orderBy("b").collect())  # one row a bucket
-    low = np.full(len(edges) + 1, np.nan)
-    prev = np.full(len(edges) + 1, -1, np.int32)
-    for i, r in enumerate(lows):
-        low[r["b"]], prev[r["b"]] = r["low"], lows[i - 1]["b"]
-
-    @F.pandas_udf("int")
-    def follows(x: pd.Series, b: pd.Series) -> pd.Series:
-        """The bucket before, for the first row of a bucket (ties too: the sort settles them)."""
-        at = b.to_numpy()
-        return pd.Series(np.where(x.fillna(-np.inf).to_numpy() == low[at], prev[at], -1).astype(np.int32))
-
-    own = F.struct(F.col("_b").alias("b"), F.lit(False).alias("halo"))
-    halo = F.struct(F.col("_f").alias("b"), F.lit(True).alias("halo"))
-    to = F.when(F.col("_f") >= 0, F.array(own, halo)).otherwise(F.array(own))
-    return (src.withColumn("_b", bucket(rank)).withColumn("_f", follows(rank, F.col("_b")))
-            .select("_id", "_t", F.explode(to).alias("_to"))
-            .select(F.col("_to.b").alias("_b"), F.col("_to.halo").alias("_halo"), "_id", "_t")
-            .repartition(partitions(spark), "_b")
-            .sortWithinPartitions("_b", "_halo", F.col("_id").asc_nulls_first(), "_t"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = {}
+            for i, r in enumerate(zip(*(b.column(x).to_pylist() for x in (1, 0, 2, 3)))):
+                key = place(*r)
+                if key in rows and b.column(4)[rows[key][0]] == b.column(4)[i]:
+                    rows[key][1] += 1
+                else:  # texts of one hash that differ stay rows of their own
+                    rows[key if key not in rows else (*key, i)] = [i, 1]
+            take, to, halo, count = [], [], [], []
+            for key, (i, many) in rows.items():
+                key = key[:4]
+                for where, is_halo in ((bisect_right(bounds, key), False), (before.get(key), True)):
+                    if where is not None:
+                        take.append(i)
+                        to.append(where)
+                        halo.append(is_halo)
+                        count.append(many)
+            got = b.take(pa.array(take, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(halo, pa.bool_()), *got.columns,
+                                              pa.array(count, pa.int64())], out)
+    placed = src.mapInArrow(run, f"_b int, _halo boolean, _id {kind}, _l int, _p string, _h long, _t string, _n long")
+    return (placed.repartition(partitions(spark), "_b")
+            .sortWithinPartitions("_b", "_halo", "_l", F.col("_id").asc_nulls_first(), "_p", "_h", "_t")
+            .select("_b", "_halo", "_id", "_t", "_n"))
 
 
 def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -120,26 +146,32 @@ def compared(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     names = ["_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # held: bucket, id, text, bits of the row that awaits its next
+        held = None  # held: bucket, id, text, bits and number of the row that awaits its next
+
+        def against(text: str, bits: np.ndarray) -> tuple:
+            """Columns of the held row with ``text`` as its next."""
+            _, _, mine, my_bits, _ = held
+            ed = edited(mine, text)
+            ed_bits = fingerprint(ed)
+            return (len(mine), hashlib.sha256(ed.encode("utf-8", "surrogatepass")).hexdigest(), as_hex(my_bits),
+                    as_hex(ed_bits), float((my_bits == ed_bits).mean()), float((my_bits == bits).mean()))
+
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 b = batch.slice(at, 1000)
                 ids, out = [], [[] for _ in range(6)]
-                for i, (bucket, halo, text) in enumerate(zip(b.column(0).to_pylist(), b.column(1).to_pylist(),
-                                                             b.column(3).to_pylist())):
+                for i, (bucket, halo, text, n) in enumerate(zip(*(b.column(x).to_pylist() for x in (0, 1, 3, 4)))):
                     if halo and (held is None or held[0] != bucket):
-                        continue  # only the first of equal halo ids follows
+                        continue  # only the first of equal halo rows follows
                     bits = fingerprint(text)
                     if held is not None and held[0] == bucket:
-                        _, id_, mine, my_bits = held
-                        ed = edited(mine, text)
-                        ed_bits = fingerprint(ed)
-                        ids.append(id_)
-                        for col, v in zip(out, (len(mine), hashlib.sha256(ed.encode("utf-8", "surrogatepass")).hexdigest(),
-                                                as_hex(my_bits), as_hex(ed_bits), float((my_bits == ed_bits).mean()),
-                                                float((my_bits == bits).mean()))):
-                            col.append(v)
-                    held = None if halo else (bucket, b.column(2)[i].as_py(), text, bits)
+                        # equal rows follow each other, the last one is followed by this row
+                        for many, nxt in ((held[4] - 1, held[2:4]), (1, (text, bits))):
+                            if many:
+                                ids += [held[1]] * many
+                                for col, v in zip(out, against(*nxt)):
+                                    col += [v] * many
+                    held = None if halo else (bucket, b.column(2)[i].as_py(), text, bits, n)
                 if ids:
                     types = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
                     yield pa.RecordBatch.from_arrays([pa.array(ids, b.column(2).type),

@@ -253,6 +253,23 @@ def test_simhash(docs, pairs):
         assert 0 <= r.near_next <= 1 and 0 <= r.near_edited <= 1
 
 
+def test_simhash_rows_of_one_id_spread(spark):
+    """Null and equal ids, equal rows and ids above 2**53: as by definition, and no bucket holds one id's rows."""
+    rnd = random.Random(8)
+    text = lambda: " ".join(rnd.choice(("a", "b", "c", "dé")) * rnd.randint(1, 3) for _ in range(rnd.randint(1, 12)))
+    rows = [(None, text()) for _ in range(300)] + [(7, text()) for _ in range(200)] + [(5, "same text")] * 150
+    rows += [(2 ** 53 + i, text()) for i in range(150)] + [(i, text()) for i in range(100, 200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = [(r.doc_id, r.n_chars, r.edited_sha256) for r in simhash.compared(docs).collect()]
+    assert _key(got) == _key((d, n, hashlib.sha256(e.encode()).hexdigest()) for d, n, e, _ in b.edited(rows))
+    placed = simhash.in_order(docs, "doc_id", "text").collect()
+    halo = [r for r in placed if r._halo]
+    buckets = lambda d: {r._b for r in placed if r._id == d and not r._halo}
+    assert len(buckets(None)) > 4 and len(buckets(7)) > 3
+    assert len(halo) <= 3 * len({r._b for r in placed}) and sum(r._n for r in placed if not r._halo) == len(rows)
+    assert sum(r._id == 5 and not r._halo for r in placed) <= 3  # equal rows of a task go as one
+
+
 def test_simhash_search_finds_all(spark):
     rnd = random.Random(1)
     base = [rnd.getrandbits(128) for _ in range(20)]
