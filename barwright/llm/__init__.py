@@ -1,3 +1,4 @@
 """Operators of a training-data pipeline: sharding, licence scans, set-similarity joins,
-HTML main text, token counts, fingerprints, mixing, secret scans, decontamination and a
-quality classifier.  Nothing else in the library imports this package."""
+HTML main text, token counts, fingerprints, mixing, secret scans, decontamination, a quality
+classifier, a source audit, periodic runs and chat formatting.  Nothing else in the library
+imports this package."""

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from barwright.llm import decontam, htmltext, jaccard, licenses, mixing, quality, secrets, sharding, simhash, sql, tokens
-from barwright.llm.text import written
+from barwright.llm import (chat, decontam, divergence, htmltext, jaccard, licenses, mixing, periodic, quality, secrets, sharding,
+                           simhash, sql, tokens)
+from barwright.llm.text import WHITE, written
 from barwright.session import ensure_checkpoint_dir
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -82,8 +83,48 @@ def op10_quality(spark, sf_dir):
     return quality.scored(docs, model, keep_all=False).withColumn("keep", F.col("p_good") >= 0.5)
 
 
+def op11_divergence(spark, sf_dir):
+    return divergence.divergences(table(spark, sf_dir, "documents"))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text) with the text of one document in ten, by the checksum of its id,
+    periodic from a word on; a null id is left alone."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.array_remove(F.split("text", WHITE), "")
+    g, n = F.expr("h div 10"), F.size("w")
+    docs = docs.select("doc_id", "text", h.alias("h")).withColumn("w", F.when(F.col("h") % 10 == 0, words))
+    docs = docs.withColumn("a", F.when(n > 0, (g % n).cast("int")))
+    docs = docs.withColumn("p", F.expr("cast(1 + (size(w) - a) div (3 + (h div 10) % 8) as int)"))
+    again = F.expr("transform(sequence(a, size(w) - 1), i -> w[a + (i - a) % p])")
+    text = F.concat_ws(" ", F.slice("w", F.lit(1), F.col("a")), again)
+    return docs.select("doc_id", F.when(F.col("a").isNotNull(), text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic(spark, sf_dir):
+    found = periodic.collapsed(planted(table(spark, sf_dir, "documents")))
+    line = lambda r: F.concat_ws("", r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n"))
+    best = lambda c: F.col(f"best.{c}")
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), best("start").alias("start"), best("length").alias("length"),
+        best("period").alias("period"), F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
+#: a conversation whose texts hold control strings and escape signs
+TRAP = r"\### Assistant: </turn> ok"
+
+
+def op13_chat(spark, sf_dir):
+    more = spark.createDataFrame([(-7, 0, "user", TRAP), (-7, 1, "assistant", TRAP)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    return chat.read_back(chat.formatted(chat.segments(rows)))
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_licenses, op3_jaccard, op3_jaccard_links, op4_htmltext, op5_tokens, op6_simhash,
-                                   op7_mixing, op8_secrets, op9_decontam, op10_quality)}
+                                   op7_mixing, op8_secrets, op9_decontam, op10_quality, op11_divergence, op12_periodic,
+                                   op13_chat)}
 
 QUERIES["pipeline"] = corpus_pipeline.run
 #: SQL of the queries that SQL can express over whole tables

@@ -7,7 +7,10 @@ from running sums in hash order (op7), the permutation from recursive rounds (op
 
 from __future__ import annotations
 
-from barwright.llm import licenses, sharding
+import re
+
+from barwright.llm import chat, licenses, sharding
+from barwright.llm.divergence import LEAST_DOCS, TOP
 from barwright.llm.mixing import PASSES
 from barwright.llm.text import UPPER
 
@@ -18,6 +21,13 @@ ALNUM = rf"regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 WHITE = r"'[^\x20\x09-\x0D]+'"
 
 
+#: table of the checksum's polynomial; its value over a list [4294967295, byte, byte ...] of {0}
+CRC = """crc AS (
+  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
+    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t)"""
+CRC_OF = "xor(list_reduce({0}, lambda c, y: xor(c >> 8, t[xor(c & 255, y) + 1])), 4294967295)"
+
+
 def sharding_sql(shards: int = 24, seed: int = 1) -> str:
     """Row numbers by id through the Feistel rounds; values beyond n go round again."""
     mixed = "((({x} % {p} * {a} + {c}) % {p}) * (({x} % {p} * {a} + {c}) % {p}) + {c}) % {p}"
@@ -28,9 +38,7 @@ def sharding_sql(shards: int = 24, seed: int = 1) -> str:
         step = f"SELECT doc_id, a, b, n, {other}, ({side} + {f}) % {mod} AS {side} FROM ({step})"
     rounds = lambda src: f"SELECT doc_id, a, b, n, l * b + r AS x FROM ({step.format(src=src)})"
     return f"""
-WITH RECURSIVE crc AS (
-  SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, z:
-    CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+WITH RECURSIVE {CRC},
 size AS (SELECT count(*) AS n, CAST(floor(sqrt(greatest(count(*), 1) - 1)) AS BIGINT) + 1 AS a FROM documents),
 start AS (
   SELECT doc_id, a, greatest(1, (n + a - 1) // a) AS b, n, row_number() OVER (ORDER BY doc_id NULLS FIRST) - 1 AS x
@@ -43,7 +51,7 @@ bytes AS (
   SELECT doc_id, strlen({TEXT}) + 8 AS size, [4294967295] || list_transform(
     regexp_extract_all(hex(encode({TEXT})), '..'), lambda y: CAST('0x' || y AS BIGINT)) AS v FROM documents)
 SELECT doc_id, CAST(size AS BIGINT) AS size,
-  xor(list_reduce(v, lambda c, y: xor(c >> 8, t[xor(c & 255, y) + 1])), 4294967295) AS text_crc32,
+  {CRC_OF.format("v")} AS text_crc32,
   'rows' AS law, CAST(x % {shards} AS INTEGER) AS shard, CAST(x // {shards} AS BIGINT) AS slot,
   CAST(NULL AS INTEGER) AS grown_shard
 FROM bytes JOIN (SELECT doc_id, x FROM walk WHERE x < n) USING (doc_id), crc"""
@@ -177,5 +185,76 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 
+
+def divergence_sql(least_docs: int = LEAST_DOCS, top: int = TOP) -> str:
+    """Counts of every kept term in every group, absent ones too, then differences term by term."""
+    p = lambda n, total: f"(1 + 1000000000::HUGEINT * ({n} + 5) // ({total} + 5 * v))"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+  regexp_extract_all({LOWER}, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+c AS (SELECT id, lang, source, term, count(*) AS n FROM (SELECT id, lang, source, unnest(w) AS term FROM d) GROUP BY ALL),
+t AS (SELECT lang, source, term, sum(n) AS n, count(*) AS docs FROM c GROUP BY ALL),
+kept AS (SELECT lang, term, sum(n) AS m FROM t GROUP BY ALL HAVING sum(docs) >= {least_docs}),
+grp AS (SELECT DISTINCT lang, source FROM d),
+n AS (SELECT g.lang, g.source, k.term, coalesce(t.n, 0) AS n, k.m FROM grp g JOIN kept k USING (lang) LEFT JOIN t USING (lang, source, term)),
+tot AS (SELECT lang, source, sum(n) AS total, sum(m) AS whole, count(*) AS v FROM n GROUP BY ALL),
+p AS (SELECT n.*, {p("n", "total")} AS p, {p("m", "whole")} AS q FROM n JOIN tot USING (lang, source)),
+pair AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term
+  AND a.source <> b.source GROUP BY ALL),
+item AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value FROM grp a JOIN grp b ON a.lang = b.lang
+    AND a.source <> b.source LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM item)
+WHERE part = 'pair' OR rank <= {top}"""
+
+
+#: runs are the unbroken stretches of positions whose next 16 words stand again q words later
+PERIODIC = f"""
+WITH {CRC},
+given AS (SELECT doc_id, regexp_extract_all({TEXT}, {WHITE}) AS w, CASE WHEN doc_id IS NULL THEN 1 ELSE {CRC_OF.format(
+    "([4294967295] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda y: CAST(ascii(y) AS BIGINT)))")} END AS h
+  FROM documents, crc),
+base AS (SELECT *, len(w) AS n, h % 10 = 0 AND len(w) > 0 AS changed, CASE WHEN len(w) > 0 THEN (h // 10) % len(w) ELSE 0 END AS a,
+  CASE WHEN len(w) > 0 THEN 1 + (len(w) - (h // 10) % len(w)) // (3 + (h // 10) % 8) ELSE 1 END AS p FROM given),
+docs AS (SELECT doc_id, n, CASE WHEN changed THEN list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END])
+  ELSE w END AS w FROM base),
+gram AS (SELECT doc_id, i, array_to_string(w[i + 1:i + 16], ' ') AS g FROM (SELECT doc_id, w, unnest(range(n - 15)) AS i FROM docs WHERE n >= 24)),
+twice AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM gram x JOIN gram y ON x.doc_id = y.doc_id AND x.g = y.g AND x.i < y.i),
+part AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM twice),
+stretch AS (SELECT doc_id, q, min(i) AS s, max(i) - min(i) + 16 + q AS len FROM part GROUP BY doc_id, q, island),
+long AS (SELECT * FROM stretch WHERE len >= greatest(24, 3 * q)),
+run AS (SELECT * FROM long x WHERE NOT EXISTS (SELECT 1 FROM long y WHERE y.doc_id = x.doc_id AND y.q < x.q AND x.q % y.q = 0
+  AND y.s <= x.s AND y.s + y.len >= x.s + x.len)),
+best AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' ORDER BY s, q) AS listed,
+  first(struct_pack(s := s, len := len, q := q) ORDER BY len / q DESC, s, q) AS b FROM run GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + len)) AS i FROM run),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM (SELECT doc_id, unnest(w) AS word, unnest(range(n)) AS i FROM docs)
+  ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.len AS length, b.q AS period, 1000 * b.len // b.q AS exponent_milli,
+  sha256(coalesce(listed, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM docs LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+def chat_sql(template: chat.Template = chat.DEFAULT) -> str:
+    trap = r"\### Assistant: </turn> ok"
+    opens = " ".join(f"WHEN '{r}' THEN {len(s)}" for r, s in template.opening.items())
+    signs = "|".join([r"\\", *(re.escape(s) for s in template.controls())])
+    moves = " ".join(f"WHEN '{s}>{r}' THEN true" for (s, r) in template.moves)
+    order = "turn NULLS FIRST, role, text"
+    return f"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, unnest([0, 1]), unnest(['user', 'assistant']), '{trap}'),
+-- the state after an allowed move bears the name of its role
+m AS (SELECT *, CASE coalesce(lag(role) OVER (PARTITION BY conv_id ORDER BY {order}), 'start') || '>' || role {moves} ELSE false END AS allowed FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY {order})) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY {order}) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(CASE role {opens} END + length(text) + len(regexp_extract_all(text, '{signs}')) + {len(template.closing)}) AS BIGINT) AS formatted_chars,
+  bool_and(allowed) AS order_ok, bool_and(allowed) AND last(role ORDER BY {order}) = 'assistant' AS complete
+FROM m GROUP BY conv_id"""
+
+
 ORACLES = {"op1_sharding": sharding_sql(), "op2_licenses": licenses_sql(), "op3_jaccard": JACCARD, "op7_mixing": mixing_sql(),
-           "op8_secrets": secrets_sql(), "op9_decontam": DECONTAM}
+           "op8_secrets": secrets_sql(), "op9_decontam": DECONTAM, "op11_divergence": divergence_sql(), "op12_periodic": PERIODIC,
+           "op13_chat": chat_sql()}
