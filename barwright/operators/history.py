@@ -19,21 +19,28 @@ def _lit_ts(as_of) -> Column:
 
 def upsert_keep_last(sources: list[DataFrame], key: list[str] = ("ticker", "date"),
                      seq: str | None = None) -> DataFrame:
-    """Union ``sources`` (oldest first) and keep, per key, the row of the newest source;
-    inside one source the row with the highest ``seq`` (e.g. file row number) wins (U2), and
-    of equal ones the largest row by its columns, so the result never depends on partitioning.
+    """Union ``sources`` (oldest first) and keep, per key, the row of the newest source; inside one
+    source the last row by ``seq`` wins (U2): any ordered column, such as the place of a line in
+    its file (``_seq`` of ``landed``).  A source without that column is one that holds a key once
+    (a history, aggregated bars); should it not, the largest row by its columns is kept, so the
+    result never depends on partitioning.
 
     One aggregate keyed by (ticker, date): ``max_by(row, (src_rank, seq))`` combines
     map-side, so repeated keys are merged before the shuffle.
     """
     key = list(key)
+    kinds = [src.schema[seq].dataType for src in sources if seq in src.columns] if seq else []
+    if seq and not kinds:
+        raise ValueError(f"no source has the sequence column {seq}")
     ranked = None
     for rank, src in enumerate(sources):
-        s = src.withColumn("_src", F.lit(rank))
-        s = s.withColumn("_seq", F.col(seq).cast("long") if seq else F.lit(0).cast("long"))
+        place = F.col(seq) if seq in src.columns else F.lit(None).cast(kinds[0] if kinds else "long")
+        s = src.withColumn("_src", F.lit(rank)).withColumn("_place", place)
+        if seq in src.columns:
+            s = s.drop(seq)
         ranked = s if ranked is None else ranked.unionByName(s, allowMissingColumns=True)
-    payload = [c for c in ranked.columns if c not in key + ["_src", "_seq"] and c != seq]
-    win = F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct("_src", "_seq", *payload)).alias("_w")
+    payload = [c for c in ranked.columns if c not in key + ["_src", "_place"]]
+    win = F.max_by(F.struct(*[F.col(c) for c in payload]), F.struct("_src", "_place", *payload)).alias("_w")
     return ranked.groupBy(*key).agg(win).select(*key, *[F.col(f"_w.{c}").alias(c) for c in payload])
 
 
@@ -143,10 +150,12 @@ def series_gaps(history: DataFrame, min_gap_days: int = 2, key: str = "ticker",
                      (gap - 1).cast("long").alias("missing_days")))
 
 
-def backfill(landed: DataFrame, universe: DataFrame, key: str = "ticker") -> tuple[DataFrame, DataFrame]:
-    """Build history from landed bars for many tickers (M13): keep-last per (ticker, date);
-    per-ticker outcome, failures do not stop the others."""
-    hist = upsert_keep_last([landed], [key, "date"])
+def backfill(landed: DataFrame, universe: DataFrame, key: str = "ticker",
+             seq: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """Build history from landed bars for many tickers (M13): keep-last per (ticker, date), by
+    ``seq`` among repeated rows (``_seq`` of landed files); per-ticker outcome, failures do not
+    stop the others."""
+    hist = upsert_keep_last([landed], [key, "date"], seq or ("_seq" if "_seq" in landed.columns else None))
     counts = hist.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
     n = F.coalesce(F.col("rows"), F.lit(0)).cast("long")
     outcome = (universe.select(key).distinct().join(counts, key, "left")

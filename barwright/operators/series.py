@@ -289,7 +289,8 @@ def _fused_carries(summary: DataFrame, key: str, m: int, jf: int, js: int) -> Da
 
 
 def ema_family(df: DataFrame, layout: Layout, value: str, prev: Column, spans: dict[str, float],
-               max_rows: int, signal: tuple[str, float, str, str] | None = None) -> DataFrame:
+               max_rows: int, signal: tuple[str, float, str, str] | None = None,
+               seeds: dict[str, str] | None = None) -> DataFrame:
     """Exponential means of ``value`` (``ewm(span, adjust=False).mean()``), one column per
     ``spans`` entry, and optionally ``signal = (name, span, fast, slow)``: the exponential
     mean of ``fast - slow``.
@@ -298,6 +299,9 @@ def ema_family(df: DataFrame, layout: Layout, value: str, prev: Column, spans: d
     values follow pandas ``ignore_na=False``: the mean repeats over a NULL, and an
     observation after a gap of g rows gets weight alpha / (alpha + (1-alpha)^g).  NULL
     until the first observation.  ``df`` must carry ``_sb`` (``with_sub_blocks``).
+    ``seeds`` continue a series: per mean a column that holds, on the first observation of a
+    ticker, the value that the mean has there (NULL: the observation itself); for the signal its
+    value on any one row, from which it goes on.
 
     One window pass computes, per 64-row sub-block, running sums with zero carry; the
     carry entering each sub-block is resolved on the per-sub-block summary table (64x
@@ -310,22 +314,26 @@ def ema_family(df: DataFrame, layout: Layout, value: str, prev: Column, spans: d
     x = F.col(value)
     names = list(spans)
     started = x.isNotNull() | prev.isNotNull()
+    seeded = lambda n: [F.col(seeds[n])] if seeds and n in seeds else []
     lvl_p, lvl_l, lvl_s = {}, {}, {}
     for n in names:
         lf, w = _weights(x, prev, spans[n])
         lvl_p[f"_P_{n}"] = F.sum(lf).over(ws)
         lvl_l[f"_L_{n}"] = F.exp(F.col(f"_P_{n}")) * F.sum(
-            w * F.coalesce(x, F.lit(0.0)) * F.exp(-F.col(f"_P_{n}"))).over(ws)
+            w * F.coalesce(*seeded(n), x, F.lit(0.0)) * F.exp(-F.col(f"_P_{n}"))).over(ws)
     if signal is not None:
         sname, sspan, fast, slow = signal
         # the signal's input is present from the first observation on, one row apart
         sprev = F.when(prev.isNotNull(), F.col("_i") - 1)
         lf9, w9 = _weights(F.when(started, F.lit(0.0)), sprev, sspan)
+        at_seed = F.coalesce(*[c.isNotNull() for c in seeded(sname)], F.lit(False))
+        lf9, w9 = F.when(at_seed, F.lit(LF_FLOOR)).otherwise(lf9), F.when(at_seed, F.lit(1.0)).otherwise(w9)
         lvl_p["_P_sig"] = F.sum(lf9).over(ws)
         e9 = F.exp(-F.col("_P_sig"))
-        lvl_s = {"_sig_a": F.sum(w9 * (F.col(f"_L_{fast}") - F.col(f"_L_{slow}")) * e9).over(ws),
-                 "_sig_b": F.sum(w9 * F.exp(F.col(f"_P_{fast}")) * e9).over(ws),
-                 "_sig_c": F.sum(w9 * F.exp(F.col(f"_P_{slow}")) * e9).over(ws)}
+        linear = F.when(at_seed, F.lit(0.0)).otherwise(w9)  # a seed does not depend on the carries
+        lvl_s = {"_sig_a": F.sum(w9 * F.coalesce(*seeded(sname), F.col(f"_L_{fast}") - F.col(f"_L_{slow}")) * e9).over(ws),
+                 "_sig_b": F.sum(linear * F.exp(F.col(f"_P_{fast}")) * e9).over(ws),
+                 "_sig_c": F.sum(linear * F.exp(F.col(f"_P_{slow}")) * e9).over(ws)}
     df = df.withColumns(lvl_p).withColumns(lvl_l)
     if lvl_s:
         df = df.withColumns(lvl_s)

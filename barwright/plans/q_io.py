@@ -6,20 +6,23 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barwright.functions.time import instant_to_wall, wall_to_instant
+from barwright.operators.history import backfill
 from barwright.plans import datasets as ds
 from barwright.plans.catalog import r6, register
 from barwright.plans.q_history import HIST_SQL, LANDED_SQL, history_bars, landed_bars
 from barwright.plans.sqlparts import BARS_EVENTS, BARS_ORDERS
 from barwright.plans.sqlparts import r6 as sql_r6
 from barwright.session import scratch_dir
-from barwright.sources import io
+from barwright.sources import fs, io
 from barwright.sources.parse import error_mentions, html_constituents, vendor_series
-from barwright.streaming.bars import (drain_to_files, run_to_table, running_indicators, tick_bars_stream,
-                                     upsert_stream)
+from barwright.sources.landed import read_landed, write_ticker_files
+from barwright.sources.store import HistoryStore
+from barwright.streaming.bars import drain_bars, running_indicators, upsert_stream
 
 BASE = ["open", "high", "low", "close"]
 AS_OF = "2001-08-01"
@@ -158,21 +161,27 @@ def freshness(spark, sf):
 
 @register("stream_bars", f"SELECT ticker, date, {sql_r6(BASE)}, volume FROM ({BARS_EVENTS}) b")
 def stream_bars(spark, sf):
-    """Hourly bars from the events table read as a stream, repeats of an event id dropped
-    within the watermark (ST2), bars per event-time hour (ST3), drained with
-    availableNow in complete mode."""
-    schema = ds.table(spark, sf, "events").schema
-    # a stream source is a directory: the driver's folder, filtered to the events file.
-    # Event time as TIMESTAMP (watermarks need it), read as UTC so that windows align to
-    # wall-clock hours whatever the session time zone.
-    ticks = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-             .withColumn("ts", wall_to_instant(F.col("ts"))))
-    bars = tick_bars_stream(ticks, "event_type", "ts", "value", "event_id", dedupe_key="event_id")
-    name = "stream_bars_" + os.urandom(4).hex()
-    run_to_table(bars, name, scratch_dir(spark, "stream-ckpt"))
-    out = spark.table(name).select("ticker", instant_to_wall(F.col("w.start")).alias("date"),
-                                   *BASE, "volume")
-    return r6(out)
+    """Hourly bars from event files read as a stream (ST3), in two drops, each drained: the events
+    up to the middle, every fifth of them sent twice (ST2); then the others with the last hour's
+    again, and ticks for the first days under new ids, too late for their closed bars."""
+    events = ds.table(spark, sf, "events").select("event_id", "event_type", "ts", "value")
+    half = events.agg(F.min("ts").alias("a"), F.max("ts").alias("b")).select(
+        F.timestamp_add("SECOND", F.floor(F.timestamp_diff("SECOND", F.col("a"), F.col("b")) / 2), F.col("a")).alias("cut"), "a").first()
+    cut, start = F.lit(half["cut"]).cast("timestamp_ntz"), F.lit(half["a"]).cast("timestamp_ntz")
+    old, new = events.where(F.col("ts") < cut), events.where(F.col("ts") >= cut)
+    again = old.where(F.col("ts") >= cut - F.expr("INTERVAL 1 HOUR"))
+    late = old.where(F.col("ts") < start + F.expr("INTERVAL 2 DAYS")).select(
+        (-F.col("event_id") - 1).alias("event_id"), "event_type", "ts", (F.col("value") + 1e9).alias("value"))
+    landing, out, ckpt = (scratch_dir(spark, n) for n in ("ticks", "bars", "bars-ckpt"))
+    # event time as TIMESTAMP (watermarks need it), read as UTC so that windows align to
+    # wall-clock hours whatever the session time zone
+    zoned = lambda df: df.withColumn("ts", wall_to_instant(F.col("ts")))
+    bars = None
+    for drop in (old.unionByName(old.where("event_id % 5 = 0")), new.unionByName(again).unionByName(late)):
+        drop.write.mode("append").parquet(landing)
+        bars = drain_bars(zoned(spark.readStream.schema(events.schema).parquet(landing)), zoned(spark.read.schema(events.schema).parquet(landing)),
+                          out, ckpt, "event_type", "ts", "value", "event_id", dedupe_key="event_id")
+    return r6(bars.select("ticker", instant_to_wall(F.col("start")).alias("date"), *BASE, "volume"))
 
 
 @register("stream_upsert", f"""WITH u AS (
@@ -180,17 +189,81 @@ def stream_bars(spark, sf):
 SELECT ticker, date, {sql_r6(BASE)}, volume FROM (
   SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY src DESC) AS rn FROM u) t WHERE rn = 1""")
 def stream_upsert(spark, sf):
-    """Landed CSV files merged into the history by a stream, one file per micro-batch (ST1)."""
-    hist_root = scratch_dir(spark, "stream-history")
-    io.write_history(history_bars(spark, sf), hist_root)
+    """Landed CSV files merged into the history store by a stream, several files per micro-batch
+    (ST1); the last batches come again under a new checkpoint and change nothing."""
+    store = HistoryStore(spark, scratch_dir(spark, "stream-history"), buckets=4)
+    store.upsert(history_bars(spark, sf))
     landing = scratch_dir(spark, "stream-landing")
     landed = landed_bars(spark, sf).withColumn("dt", F.to_date(F.date_trunc("month", "date")))
     io.write_partitioned(landed, landing, ["dt"], "csv", cluster=["ticker", "date"], header="true")
-    schema = T.StructType([T.StructField("ticker", T.StringType()), T.StructField("date", T.StringType()),
-                           *[T.StructField(c, T.DoubleType()) for c in BASE],
-                           T.StructField("volume", T.LongType()), T.StructField("dt", T.DateType())])
-    upsert_stream(spark, landing, schema, hist_root, scratch_dir(spark, "stream-upsert-ckpt"), files_per_batch=16)
-    return r6(io.read_history(spark, hist_root).select("ticker", "date", *BASE, "volume"))
+    upsert_stream(spark, landing, store, scratch_dir(spark, "stream-upsert-ckpt"), files_per_batch=64)
+    upsert_stream(spark, landing, store, scratch_dir(spark, "stream-upsert-ckpt"), files_per_batch=64)
+    return r6(store.read().select("ticker", "date", *BASE, F.col("volume").cast("bigint").alias("volume")))
+
+
+@register("landed_keep_last", """SELECT o_orderpriority AS ticker, CAST(date_trunc('day', o_orderdate) AS TIMESTAMP) AS date,
+  round(arg_max(o_totalprice, o_orderkey), 6) AS close, round(arg_max(o_totalprice / 8, o_orderkey), 6) AS volume,
+  CAST(arg_max(o_orderkey, o_orderkey) AS BIGINT) AS line FROM orders GROUP BY 1, 2""")
+def landed_keep_last(spark, sf):
+    """Every order landed as a line of ``dt=<date>/<TICKER>.csv`` (S1), so most keys are repeated
+    inside a file; the last line of a key in file order wins (U2) in a backfill (M13)."""
+    o = ds.table(spark, sf, "orders").select(
+        F.col("o_orderpriority").alias("ticker"), F.date_trunc("day", "o_orderdate").alias("date"),
+        F.col("o_totalprice").alias("close"), (F.col("o_totalprice") / 8).alias("volume"), F.col("o_orderkey").alias("line"))
+    root = scratch_dir(spark, "raw-files")
+    write_ticker_files(o, root, "2001-08-01", ["line"])
+    hist, _ = backfill(read_landed(spark, root), o.select("ticker").distinct())
+    return r6(hist.select("ticker", "date", "close", "volume", F.col("line").cast("bigint").alias("line")))
+
+
+@register("landed_latest", f"""SELECT ticker, date, {sql_r6(BASE)}, round(CASE WHEN volume % 3 = 0 THEN NULL ELSE volume / 4.0 END, 6) AS volume,
+  CAST(max(date_trunc('month', date)) OVER () AS TIMESTAMP) AS dt
+FROM ({BARS_ORDERS}) b QUALIFY date_trunc('month', date) = max(date_trunc('month', date)) OVER ()""")
+def landed_latest(spark, sf):
+    """The latest landed date (S3) of a table landed by month, volumes with fractions and NaN."""
+    root = scratch_dir(spark, "raw-latest")
+    volume = F.when(F.col("volume") % 3 == 0, F.lit(float("nan"))).otherwise(F.col("volume") / 4.0)
+    bars = ds.daily_orders(spark, sf).withColumn("volume", volume).withColumn("dt", F.to_date(F.date_trunc("month", "date")))
+    io.write_partitioned(bars, root, ["dt", "ticker"], "csv", cluster=["date"], header="true")
+    back = read_landed(spark, root, "latest")
+    return r6(back.select("ticker", "date", *BASE, "volume", F.col("dt").cast("timestamp_ntz").alias("dt")))
+
+
+@register("history_store", f"""WITH b AS ({BARS_ORDERS}), u AS (
+  SELECT ticker, date, open, high, low, close, CAST(volume AS DOUBLE) AS volume, 0 AS src FROM b WHERE year(date) < 2000
+  UNION ALL SELECT ticker, date, open, high, low, close + 1, volume / 2.0, 1 FROM b WHERE year(date) >= 1998 AND ticker <> '5-LOW')
+SELECT ticker, CAST(year(date) AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS rows, round(sum(close), 6) AS close_sum,
+  round(sum(volume), 6) AS volume_sum FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY src DESC) AS rn FROM u) t
+WHERE rn = 1 AND year(date) IN (1997, 1998, 1999, 2000) GROUP BY 1, 2""")
+def history_store(spark, sf):
+    """Two batches merged into the versioned store (K2, U2) and four of its years read back (S2);
+    the second batch is sent twice, old versions are deleted in between."""
+    store = HistoryStore(spark, scratch_dir(spark, "store"), buckets=4)
+    bars = ds.daily_orders(spark, sf).withColumn("volume", F.col("volume").cast("double"))
+    store.upsert(bars.where("year(date) < 2000"), ("orders", 0))
+    second = bars.where("year(date) >= 1998 AND ticker <> '5-LOW'").withColumn("close", F.col("close") + 1).withColumn("volume", F.col("volume") / 2)
+    store.upsert(second, ("orders", 1))
+    store.vacuum(1)
+    store.upsert(second, ("orders", 1))
+    h = store.read(years=[1997, 1998, 1999, 2000])
+    return r6(h.groupBy("ticker", "year").agg(F.count(F.lit(1)).cast("long").alias("rows"), F.sum("close").alias("close_sum"),
+                                              F.sum("volume").alias("volume_sum")))
+
+
+@register("history_files", f"""SELECT CAST(year(date) AS INTEGER) AS year, CAST(count(*) AS BIGINT) AS rows, true AS several_files,
+  true AS disjoint FROM ({BARS_ORDERS}) b GROUP BY 1""")
+def history_files(spark, sf):
+    """Layout of the year-partitioned history (K2): several files a year, with disjoint ranges of
+    (ticker, date), so that their bounds prune."""
+    root = scratch_dir(spark, "layout")
+    io.write_partitioned(ds.daily_orders(spark, sf).withColumn("year", F.year("date")), root, ["year"], cluster=["ticker", "date"], splits=40)
+    key = F.struct("ticker", "date")
+    files = io.read_history(spark, root).withColumn("file", F.col("_metadata.file_path")).groupBy("year", "file").agg(
+        F.count(F.lit(1)).alias("n"), F.min(key).alias("a"), F.max(key).alias("b"))
+    later = F.lead("a").over(Window.partitionBy("year").orderBy("a"))
+    return files.withColumn("ok", F.coalesce(F.col("b") < later, F.lit(True))).groupBy(F.col("year").cast("int").alias("year")).agg(
+        F.sum("n").cast("long").alias("rows"), (F.count(F.lit(1)) > 1).alias("several_files"), F.min("ok").alias("disjoint"))
 
 
 @register("landed_roundtrip", f"SELECT ticker, date, {sql_r6(BASE)}, volume FROM ({BARS_ORDERS}) b")
@@ -199,8 +272,8 @@ def landed_roundtrip(spark, sf):
     root = scratch_dir(spark, "raw")
     bars = ds.daily_orders(spark, sf).withColumn("dt", F.to_date(F.date_trunc("month", "date")))
     io.write_partitioned(bars, root, ["dt", "ticker"], "csv", cluster=["date"], header="true")
-    back = io.read_landed(spark, root)
-    return r6(back.select("ticker", "date", *BASE, "volume"))
+    back = read_landed(spark, root)
+    return r6(back.select("ticker", "date", *BASE, F.col("volume").cast("bigint").alias("volume")))
 
 
 SPLIT_AT = "2024-01-16 00:00:00"
@@ -228,14 +301,15 @@ SELECT s.ticker, s.date, round(e.e12, 6) AS ema_12, round(e.e26, 6) AS ema_26, r
   round(e.sig, 6) AS macd_signal, round(r.rsi, 6) AS rsi_14
 FROM s JOIN e ON s.ticker = e.ticker AND s.i = e.i JOIN r ON s.ticker = r.ticker AND s.i = r.i""")
 def stream_running_ema(spark, sf):
-    """Running EMA / MACD / RSI as streaming state (ST4): hourly bars land in two chunks (before and
+    """Running EMA / MACD / RSI continued over a stream (ST4): hourly bars land in two chunks (before and
     after 2024-01-16); two availableNow runs on one checkpoint, the second resuming from the
-    per-ticker state of the first."""
+    carries of the first."""
     bars = ds.hourly_events(spark, sf)
     landing, out, ckpt = (scratch_dir(spark, n) for n in ("run-landing", "run-out", "run-ckpt"))
     cut = F.lit(SPLIT_AT).cast("timestamp_ntz")
     schema = bars.schema
+    rows = None
     for part in (bars.filter(F.col("date") < cut), bars.filter(F.col("date") >= cut)):
         part.write.mode("append").parquet(landing)
-        drain_to_files(running_indicators(spark.readStream.schema(schema).parquet(landing)), out, ckpt)
-    return r6(spark.read.parquet(out).select("ticker", "date", "ema_12", "ema_26", "macd", "macd_signal", "rsi_14"))
+        rows = running_indicators(spark.readStream.schema(schema).parquet(landing), out, ckpt)
+    return r6(rows.select("ticker", "date", "ema_12", "ema_26", "macd", "macd_signal", "rsi_14"))

@@ -1,68 +1,29 @@
-"""Readers and writers of the pipeline's tables.
+"""Readers and writers of the pipeline's tables (S4-S9, S12-S14, K1-K10; landed bars are in
+``landed``, the versioned history in ``store``).
 
-Layouts: landed bars ``raw/dt=YYYY-MM-DD/<TICKER>.csv``; history Parquet partitioned by
-``year`` (ticker as a column, clustered on write); features Parquet partitioned by
-``dt``; JSON documents (metadata, reports, run log) under ``dt=``.  Paths may be any
+Layouts: history Parquet partitioned by ``year`` (ticker as a column, clustered on write);
+features Parquet partitioned by ``dt``; JSON documents (metadata, reports, run log) under ``dt=``.  Paths may be any
 Hadoop URI (local, s3a://, gs://).
 """
 
 from __future__ import annotations
 
-from urllib.parse import unquote
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barwright.operators.bars import normalise_columns
+from barwright.sources import fs
+from barwright.sources.store import BARS
 
 FORMATS = ("parquet", "csv", "json")
+#: rows of a written file at most
+FILE_ROWS = 2_000_000
 
 
 # ---------------------------------------------------------------------------
 # sources
 # ---------------------------------------------------------------------------
 
-def file_headers(spark: SparkSession, root: str) -> DataFrame:
-    """First line of every CSV file under ``root``: (header, path).  The first split of a
-    file (block start 0) holds its first line, the lowest row id of that split."""
-    lines = spark.read.text(root).select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"),
-        F.col("value"), F.monotonically_increasing_id().alias("_id"))
-    return (lines.filter(F.col("start") == 0).groupBy("path")
-                 .agg(F.min_by("value", "_id").alias("header")))
-
-
-def read_landed(spark: SparkSession, root: str, dt: str | None = None) -> DataFrame:
-    """Landed bars (S1): one CSV per ticker (ticker = file stem, or a ``ticker=`` directory),
-    ``dt`` from the partition directory, ``_row`` = row order inside a file (keep-last
-    tiebreak).  Files are read by their own header (upper-case names, vendor spellings,
-    missing columns), one read per distinct header, then unioned by name (P1, F11)."""
-    heads = file_headers(spark, root)
-    if dt is not None:
-        heads = heads.filter(F.col("path").contains(f"dt={dt}"))
-    groups = heads.groupBy("header").agg(F.collect_list("path").alias("paths")).collect()
-    out = None
-    for g in groups:     # one read per distinct header: a handful, whatever the file count
-        paths = [unquote(p) for p in g["paths"]]     # file metadata paths are URI-encoded
-        r = spark.read.option("header", True).option("basePath", root).csv(paths)
-        r = normalise_columns(r)
-        if "ticker" not in r.columns:
-            stem = F.regexp_extract(F.col("_metadata.file_name"), r"^(.*)\.csv$", 1)
-            r = r.withColumn("ticker", F.coalesce(F.try_url_decode(stem), stem))
-        out = r if out is None else out.unionByName(r, allowMissingColumns=True)
-    if out is None:
-        return spark.createDataFrame([], "ticker string, date timestamp_ntz, open double, high double, "
-                                         "low double, close double, volume bigint")
-    for c in ("open", "high", "low", "close"):
-        if c in out.columns:
-            out = out.withColumn(c, F.col(c).cast("double"))
-    if "volume" in out.columns:
-        out = out.withColumn("volume", F.col("volume").cast("double").cast("bigint"))
-    return (out.withColumn("ticker", F.col("ticker").cast("string"))
-               .withColumn("_row", F.monotonically_increasing_id()))
-
-
 def read_symbols(spark: SparkSession, path: str) -> DataFrame:
     """Symbol list written by the constituent stage (S4): ``symbol`` (and ``company_name``
     when present), in file order."""
@@ -71,18 +32,21 @@ def read_symbols(spark: SparkSession, path: str) -> DataFrame:
     return r.select(*cols)
 
 
-def read_history(spark: SparkSession, root: str, tickers: DataFrame | None = None) -> DataFrame:
-    """History table (S2); a missing table reads as empty.  A ticker filter prunes row groups."""
-    try:
-        h = spark.read.parquet(root)
-    except Exception as e:  # noqa: BLE001
-        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
-            return spark.createDataFrame([], "ticker string, date timestamp_ntz, open double, high double, "
-                                             "low double, close double, volume bigint")
-        raise
-    if tickers is not None:
+def read_history(spark: SparkSession, root: str, tickers: DataFrame | list[str] | None = None,
+                 years: list[int] | None = None) -> DataFrame:
+    """Year-partitioned history (S2) with its ``year``; a missing table reads as empty.  ``years``
+    and a list of tickers are literal filters: they prune directories and row groups; a DataFrame
+    of tickers is joined."""
+    if not fs.exists(spark, root):
+        return spark.createDataFrame([], f"{BARS}, year int")
+    h = spark.read.parquet(root)
+    if years is not None:
+        h = h.where(F.col("year").isin(list(years)))
+    if isinstance(tickers, list):
+        h = h.where(F.col("ticker").isin(tickers))
+    elif tickers is not None:
         h = h.join(tickers.select("ticker").distinct(), "ticker", "left_semi")
-    return h.drop("year") if "year" in h.columns else h
+    return h
 
 
 def partitions(spark: SparkSession, root: str, column: str = "dt") -> DataFrame:
@@ -137,16 +101,17 @@ def newest_per_type(files: DataFrame, type_col: str, k: int, ts: str = "modified
 # ---------------------------------------------------------------------------
 
 def write_partitioned(df: DataFrame, root: str, by: list[str], fmt: str = "parquet",
-                      cluster: list[str] | None = None, **options) -> None:
+                      cluster: list[str] | None = None, splits: int | None = None, **options) -> None:
     """Dynamic partition overwrite: only partitions present in ``df`` are replaced (K1, K2).
-    ``cluster`` sorts rows inside each task (e.g. ticker, date) for row-group pruning."""
-    spark = df.sparkSession
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    out = df.repartition(*[F.col(c) for c in by])
-    if cluster:
-        out = out.sortWithinPartitions(*by, *cluster)
-    w = out.write.mode("overwrite").partitionBy(*by).format(fmt)
-    for k, v in options.items():
+
+    Rows go to ranges of (``by``, ``cluster``) with bounds from a sample, so a large partition is
+    written by many tasks, and each file holds a narrow range of ``cluster`` (e.g. ticker, date),
+    sorted, with row-group bounds that prune.  ``splits``: number of ranges; left out, it follows
+    the size (``spark.sql.shuffle.partitions``, small neighbours merged at run time)."""
+    order = [F.col(c) for c in (*by, *(cluster or []))]
+    out = df.repartitionByRange(splits, *order) if splits else df.repartitionByRange(*order)
+    w = out.sortWithinPartitions(*order).write.mode("overwrite").partitionBy(*by).format(fmt)
+    for k, v in {"partitionOverwriteMode": "dynamic", "maxRecordsPerFile": FILE_ROWS, **options}.items():
         w = w.option(k, v)
     w.save(root)
 

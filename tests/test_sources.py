@@ -7,10 +7,11 @@ import tempfile
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from barwright.operators import runs as r
 from barwright.plans.features import MODULAR_COLUMNS, modular_features
-from barwright.sources import io
+from barwright.sources import io, landed
 
 
 def test_read_landed_ticker_files(spark):
@@ -21,10 +22,12 @@ def test_read_landed_ticker_files(spark):
                   "Close": [105, 110], "Volume": [1000000, 1200000]}).to_csv(os.path.join(day, "AAPL.csv"), index=False)
     pd.DataFrame({"Date": ["2025-01-16"], "Open": [1], "High": [2], "Low": [0.5], "Close": [1.5],
                   "Volume": [10]}).to_csv(os.path.join(day, "MSFT.csv"), index=False)
-    got = io.read_landed(spark, root).orderBy("ticker", "date").collect()
+    got = landed.read_landed(spark, root).orderBy("ticker", "date").collect()
     assert [(x.ticker, str(x.date)[:10], x.close, x.volume) for x in got] == [
         ("AAPL", "2025-01-15", 105.0, 1000000), ("AAPL", "2025-01-16", 110.0, 1200000), ("MSFT", "2025-01-16", 1.5, 10)]
-    assert io.read_landed(spark, root, dt="2025-01-17").count() == 0
+    assert landed.landed_dates(spark, root) == ["2025-01-16"]
+    with pytest.raises(landed.NoLandedData):
+        landed.read_landed(spark, root, dt="2025-01-17")
 
 
 def test_run_log_json_and_rollup(spark):
@@ -102,8 +105,7 @@ def test_required_gate_and_symbols(spark):
                   "Volume": [10]}).to_csv(os.path.join(day, "GOOD.csv"), index=False)
     pd.DataFrame({"Date": ["2025-01-16"], "Open": [1.0], "High": [2.0], "Low": [0.5],
                   "Volume": [10]}).to_csv(os.path.join(day, "NOCLOSE.csv"), index=False)
-    landed = io.read_landed(spark, root)
-    ok, skipped = required_gate(landed)
+    ok, skipped = required_gate(landed.read_landed(spark, root))
     assert {x.ticker for x in ok.collect()} == {"GOOD"}
     assert [(x.ticker, x.missing) for x in skipped.collect()] == [("NOCLOSE", ["close"])]
     sym = os.path.join(tempfile.mkdtemp(prefix="bw-sym-"), "tickers.csv")
@@ -128,7 +130,7 @@ def test_sinks_features_landed_events(spark):
     raw = os.path.join(base, "raw")
     assert io.write_landed(bars, raw, "2025-01-15", dry_run=True) == 0 and not os.path.exists(raw)
     assert io.write_landed(bars, raw, "2025-01-15") == 1
-    back = io.read_landed(spark, raw)
+    back = landed.read_landed(spark, raw)
     assert sorted((x.ticker, x.close, x.volume) for x in back.collect()) == [("AAPL", 1.5, 10), ("MSFT", 3.5, 20)]
     ev = os.path.join(base, "events")
     e = spark.createDataFrame([(dt.datetime(2025, 1, 15, 9), "fetch_start", "{}")],
