@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barwright.functions.nulls import nan_to_null
 
@@ -29,20 +30,26 @@ def ohlcv_bars(ticks: DataFrame, ticker: Column | str, ts: Column | str, price:
     ``unit`` is a ``date_trunc`` unit.  Ties on the timestamp are broken by ``tiebreak`` (a
     column or a list of columns, compared in order; kept flat in one struct, which is
     cheaper to compare than a nested one).
-    ``volume`` None counts ticks.  Partial aggregation runs map-side, so a hot ticker
+    ``volume`` None counts ticks; otherwise it is summed in its own type (fractions stay, decimals
+    as double, NaN counts as missing).  Partial aggregation runs map-side, so a hot ticker
     is combined before the shuffle.
     """
     col = lambda c: F.col(c) if isinstance(c, str) else c
     t, p = col(ts), col(price)
     ties = [] if tiebreak is None else [col(c) for c in (tiebreak if isinstance(tiebreak, list) else [tiebreak])]
     order = F.struct(t, *ties) if ties else t
-    vol = F.count(F.lit(1)) if volume is None else F.sum(col(volume))
+    if volume is None:
+        vol = F.count(F.lit(1)).cast("bigint")
+    else:
+        kind = ticks.select(col(volume)).schema[0].dataType
+        v = col(volume).cast("double") if isinstance(kind, T.DecimalType) else col(volume)
+        vol = F.sum(nan_to_null(v) if isinstance(kind, (T.FloatType, T.DoubleType)) else v)
     return (ticks.groupBy(col(ticker).alias("ticker"), F.date_trunc(unit, t).cast("timestamp_ntz").alias("date"))
                  .agg(F.min_by(p, order).alias("open"),
                       F.max(p).alias("high"),
                       F.min(p).alias("low"),
                       F.max_by(p, order).alias("close"),
-                      vol.cast("bigint").alias("volume")))
+                      vol.alias("volume")))
 
 
 def normalise_columns(df: DataFrame, aliases: dict[str, str] | None = None) -> DataFrame:

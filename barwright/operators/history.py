@@ -6,11 +6,14 @@ never a Python loop.  ``as_of`` is always an argument (no clock reads).
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.functions.time import whole_days_between
 from barwright.operators.bars import BASE_COLUMNS
+from barwright.session import materialize
 
 
 def _lit_ts(as_of) -> Column:
@@ -96,23 +99,34 @@ def last_rows(df: DataFrame, n: int, key: str = "ticker", order: str = "date") -
     return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n).drop("_rn")
 
 
+class Ingest(NamedTuple):
+    """``history``: merged bars; ``output``: the last bars per ticker of the universe; ``outcome``:
+    per ticker of the universe rows before, rows added and status."""
+    history: DataFrame
+    output: DataFrame
+    outcome: DataFrame
+
+
 def ingest_apply(history: DataFrame, landed: DataFrame, universe: DataFrame, tail: int = 30,
-                 key: str = "ticker") -> tuple[DataFrame, DataFrame]:
-    """Apply landed bars to history (M2): keep rows newer than the watermark (P7), upsert
-    (U2).  Returns (new history, outcome) where outcome has per ticker the rows added and
-    status ``updated`` / ``up_to_date`` / ``failed`` (no history and no new rows)."""
-    wm = watermark(history, key)
-    fresh = newer_than_watermark(landed, wm, key)
-    merged = upsert_keep_last([history, fresh], [key, "date"])
-    added = fresh.groupBy(key).agg(F.count(F.lit(1)).alias("rows_added"))
-    hist_n = history.groupBy(key).agg(F.count(F.lit(1)).alias("rows_before"))
-    u = universe.select(key).distinct().join(added, key, "left").join(hist_n, key, "left")
-    ra = F.coalesce(F.col("rows_added"), F.lit(0)).cast("long")
-    rb = F.coalesce(F.col("rows_before"), F.lit(0)).cast("long")
+                 key: str = "ticker", seq: str | None = None) -> Ingest:
+    """Apply landed bars to history (M2): keep rows newer than the watermark (P7), upsert (U2), and
+    give the last ``tail`` bars of every ticker of the universe, whether it had new bars or not.
+    Status: ``updated`` / ``up_to_date`` / ``failed`` (no history and no new rows).
+
+    History and new rows are written once, tagged; the three results are read from that table.
+    To store the new rows, ``upsert`` the landed ones into ``sources.store.HistoryStore``."""
+    seq = seq or ("_seq" if "_seq" in landed.columns else None)
+    fresh = newer_than_watermark(landed, watermark(history, key), key)
+    both = materialize(history.withColumn("_new", F.lit(False)).unionByName(fresh.withColumn("_new", F.lit(True)), allowMissingColumns=True))
+    parts = [both.where("NOT _new").drop("_new", *([seq] if seq else [])), both.where("_new").drop("_new")]
+    merged = upsert_keep_last(parts, [key, "date"], seq)
+    asked = universe.select(key).distinct()
+    counts = both.groupBy(key).agg(F.count_if(~F.col("_new")).alias("rows_before"), F.count_if("_new").alias("rows_added"))
+    rb, ra = (F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ("rows_before", "rows_added"))
     status = (F.when(ra > 0, F.lit("updated")).when(rb > 0, F.lit("up_to_date"))
                .otherwise(F.lit("failed")))
-    outcome = u.select(key, rb.alias("rows_before"), ra.alias("rows_added"), status.alias("status"))
-    return merged, outcome
+    outcome = asked.join(counts, key, "left").select(key, rb.alias("rows_before"), ra.alias("rows_added"), status.alias("status"))
+    return Ingest(merged, last_rows(merged.join(asked, key, "left_semi"), tail, key), outcome)
 
 
 def gap_check(history: DataFrame, as_of, key: str = "ticker", max_gap_days: int = 1) -> DataFrame:
@@ -183,4 +197,29 @@ def outcome_summary(outcome: DataFrame, key: str = "ticker", ok: str = "ok",
         F.array_sort(F.collect_list(F.when(~okc, F.col(key)))).alias("failed_tickers"))
 
 
+def stage_outcome(bars: DataFrame, universe: DataFrame, key: str = "ticker") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Outcome of a stage that keeps complete bars only (P3, A9): (per ticker rows, rows_dropped, ok,
+    error; failures as rows of their own; one summary row).
+
+    Dropped are the bars with a NULL in a base column, and those without a ticker, which belong to
+    no series: the latter only show in the summary.  A ticker without any bar has failed."""
+    complete = F.lit(True)
+    for c in BASE_COLUMNS:
+        complete = complete & F.col(c).isNotNull()
+    n = F.count(F.lit(1))
+    counts = bars.groupBy(key).agg(n.alias("n"), F.count_if(complete & F.col(key).isNotNull()).alias("kept"))
+    none = F.coalesce(F.col("n"), F.lit(0)) == 0
+    outcome = universe.select(key).distinct().join(counts, key, "left").select(
+        key, F.coalesce("kept", F.lit(0)).cast("long").alias("rows"),
+        (F.coalesce("n", F.lit(0)) - F.coalesce("kept", F.lit(0))).cast("long").alias("rows_dropped"),
+        (~none).alias("ok"), F.when(none, F.lit("no data")).alias("error"))
+    failures = outcome.where(~F.col("ok")).select(key, "error")
+    lost = counts.agg(F.coalesce(F.sum(F.col("n") - F.col("kept")), F.lit(0)).cast("long").alias("rows_dropped"))
+    failed = F.col("tickers_failed")
+    # two one-row tables side by side
+    summary = outcome_summary(outcome, key).join(lost).withColumn(
+        "error_message", F.when(failed > 0, F.concat(F.lit("Failed to process "), failed.cast("string"), F.lit(" tickers"))))
+    return outcome, failures, summary
+
+
 BAR_COLUMNS = ["ticker"] + BASE_COLUMNS

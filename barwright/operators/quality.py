@@ -7,6 +7,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barwright.session import materialize
+
+#: digests of 16 bytes that are broadcast at most
+BROADCAST_DIGESTS = 1_000_000
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
 
@@ -62,12 +66,23 @@ def numeric_profile(df: DataFrame) -> DataFrame:
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
-    """Fully duplicated rows beyond the first (U4): sum(n - 1) over groups of all columns.
-    Grouping combines map-side, so a hot repeated row does not pile up in one task."""
+    """Fully duplicated rows beyond the first (U4): sum(n - 1) over groups of equal rows.
+
+    Only a 128-bit digest of each row is shuffled, counted map-side; rows whose digest occurs twice
+    are then compared whole, so equal digests of different rows could not count as duplicates."""
     cols = [F.col(f"`{c}`") for c in df.columns]
-    g = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
-    return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"),
-                 F.count(F.lit(1)).cast("long").alias("distinct_rows"))
+    digest = (F.xxhash64(*cols, F.lit(0)).alias("_a"), F.xxhash64(F.lit(1), *cols).alias("_b"))
+    pairs = df.select(*digest).groupBy("_a", "_b").agg(F.count(F.lit(1)).alias("_n"))
+    twice = materialize(pairs.where("_n > 1"))
+    keys = twice.select("_a", "_b")
+    if twice.count() <= BROADCAST_DIGESTS:  # otherwise both sides are shuffled
+        keys = F.broadcast(keys)
+    groups = df.select("*", *digest).join(keys, ["_a", "_b"], "left_semi").groupBy("_a", "_b", *cols).agg(F.count(F.lit(1)).alias("_n")).agg(
+        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"), F.count(F.lit(1)).alias("g"),
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("r"))
+    # two one-row tables side by side
+    return groups.join(df.agg(F.count(F.lit(1)).alias("n"))).select(
+        "duplicate_rows", (F.col("n") - F.col("r") + F.col("g")).cast("long").alias("distinct_rows"))
 
 
 def expected_columns(df: DataFrame, expected: list[str]) -> DataFrame:

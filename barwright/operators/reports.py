@@ -168,6 +168,57 @@ def run_state(events: DataFrame, run: str = "run_id", ts: str = "timestamp", tie
                                    F.count(F.lit(1)).cast("long").alias("events")).select(run, "s.*", "events")
 
 
+# Fixed values of a run's metadata: version, directories and retention, of test and other runs.
+PIPELINE_VERSION = "1.0.0"
+DIRECTORIES = {"raw": ("data/test/raw", "data/raw"), "processed": ("data/test/processed", "data/processed"), "logs": ("logs/test", "logs")}
+TEST_RETENTION = ("immediate", "30_days")
+PRODUCTION_RETENTION = "90_days"
+
+
+def run_metadata(runs: DataFrame) -> DataFrame:
+    """Metadata document of every run (M10): its flags, pipeline version, data directories and
+    retention policy."""
+    choose = lambda pair: F.when(F.col("is_test"), F.lit(pair[0])).otherwise(F.lit(pair[1]))
+    return run_flags(runs).withColumn("pipeline_version", F.lit(PIPELINE_VERSION)).withColumn(
+        "data_directories", F.struct(*[choose(v).alias(k) for k, v in DIRECTORIES.items()])).withColumn(
+        "retention_policy", F.struct(choose(TEST_RETENTION).alias("test_data"), F.lit(PRODUCTION_RETENTION).alias("production_data")))
+
+
+def partition_status(spark, roots: dict[str, str], as_of: str) -> DataFrame:
+    """Partitions of the named trees (Q9, A16): tree, exists, latest_partition, partition_count,
+    days_old; from directory names."""
+    from barwright.sources import fs
+    rows = []
+    for tree, root in roots.items():
+        names = [n[3:] for n in fs.subdirectories(spark, root, "dt=")]
+        rows.append((tree, fs.exists(spark, root), names))
+    t = spark.createDataFrame(rows, "tree string, exists boolean, names array<string>")
+    dates = F.array_sort(F.array_compact(F.transform("names", lambda n: F.try_to_date(n, "yyyy-MM-dd"))))
+    last = F.try_element_at("dates", F.lit(-1))
+    return t.withColumn("dates", dates).select("tree", "exists", last.cast("string").alias("latest_partition"),
+                                               F.size("dates").cast("long").alias("partition_count"),
+                                               F.datediff(F.lit(as_of).cast("date"), last).alias("days_old"))
+
+
+def status_documents(spark, runs: DataFrame, roots: dict[str, str], as_of: str, last: int = 10) -> DataFrame:
+    """Status documents (Q9) as (document, json): ``pipeline`` (is a run going on, the newest run),
+    ``data`` (partitions of every tree), ``runs`` (the newest ``last`` runs).  Every part is bounded:
+    a few runs and one entry per tree."""
+    fields = ("run_id", "start_time", "end_time", "mode", "status", "retry_count")
+    text = lambda c: F.date_format(c, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias(c)
+    run = F.struct(*[text(c) if c.endswith("_time") else F.col(c) for c in fields])
+    newest = runs.orderBy(F.desc("start_time"), F.desc("run_id")).limit(last)
+    # ascending, as a log has them
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("start_time", "run_id", run.alias("r")))), lambda x: x["r"])
+    recent = newest.agg(listed.alias("runs"))
+    going = runs.agg(F.coalesce(F.max(F.col("status") == "running"), F.lit(False)).alias("running"))
+    pipeline = going.join(recent.select(F.try_element_at("runs", F.lit(-1)).alias("last_run")))
+    data = partition_status(spark, roots, as_of).agg(F.array_sort(F.collect_list(F.struct(
+        "tree", "exists", "latest_partition", "partition_count", "days_old"))).alias("trees"))
+    doc = lambda name, df: df.select(F.lit(name).alias("document"), F.to_json(F.struct("*")).alias("json"))
+    return doc("pipeline", pipeline).unionByName(doc("data", data)).unionByName(doc("runs", recent))
+
+
 def run_flags(runs: DataFrame, environment: str = "production") -> DataFrame:
     """Run metadata flags (M10): environment ('test' for test runs), triggered_by (daily / weekly
     -> cron)."""

@@ -41,5 +41,6 @@ def daily_lineitem(spark: SparkSession, sf_dir: str, by_supplier: bool = False)
     ticker = (F.col("l_suppkey").cast("string") if by_supplier
               else F.concat(F.col("l_returnflag"), F.col("l_linestatus")))
     price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
-    return ohlcv_bars(li, ticker, "l_shipdate", price, "l_quantity", "day",
+    bars = ohlcv_bars(li, ticker, "l_shipdate", price, "l_quantity", "day",
                       ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"])
+    return bars.withColumn("volume", F.col("volume").cast("bigint"))  # quantities are whole numbers

@@ -91,8 +91,7 @@ SELECT u.ticker, CAST(coalesce(b.n, 0) AS BIGINT) AS rows_before, CAST(coalesce(
   CASE WHEN coalesce(a.n, 0) > 0 THEN 'updated' WHEN coalesce(b.n, 0) > 0 THEN 'up_to_date' ELSE 'failed' END AS status
 FROM ({UNIVERSE_SQL}) u LEFT JOIN a ON u.ticker = a.ticker LEFT JOIN b ON u.ticker = b.ticker""")
 def ingest_apply(spark, sf):
-    _, outcome = h.ingest_apply(history_bars(spark, sf), landed_bars(spark, sf), universe(spark, sf))
-    return outcome
+    return h.ingest_apply(history_bars(spark, sf), landed_bars(spark, sf), universe(spark, sf)).outcome
 
 
 @register("ingest_history", f"""WITH w AS (SELECT ticker, max(date) AS latest_date FROM ({HIST_SQL}) h GROUP BY ticker),
@@ -103,8 +102,46 @@ SELECT ticker, date, {sql_r6(BASE)}, volume FROM (
   SELECT *, row_number() OVER (PARTITION BY ticker, date ORDER BY src DESC) AS rn FROM u) t WHERE rn = 1""")
 def ingest_history(spark, sf):
     """The new history after an incremental ingest (M2): watermark filter + keep-last."""
-    merged, _ = h.ingest_apply(history_bars(spark, sf), landed_bars(spark, sf), universe(spark, sf))
-    return r6(merged)
+    return r6(h.ingest_apply(history_bars(spark, sf), landed_bars(spark, sf), universe(spark, sf)).history)
+
+
+@register("ingest_output", f"""WITH w AS (SELECT ticker, max(date) AS latest_date FROM ({HIST_SQL}) h GROUP BY ticker),
+f AS (SELECT l.* FROM ({LANDED_SQL}) l LEFT JOIN w ON l.ticker = w.ticker
+      WHERE (w.latest_date IS NULL OR l.date > w.latest_date) AND l.ticker <> '1-URGENT'),
+u AS (SELECT * FROM ({HIST_SQL}) a UNION ALL SELECT * FROM f)
+SELECT ticker, date, {sql_r6(BASE)}, volume FROM (
+  SELECT *, row_number() OVER (PARTITION BY ticker ORDER BY date DESC) AS rn FROM u) t
+WHERE rn <= 30 AND ticker IN ({UNIVERSE_SQL})""")
+def ingest_output(spark, sf):
+    """The output of an ingest (M2): the last 30 bars per ticker of the universe, of tickers with
+    new bars and of one without (1-URGENT lands nothing); the limit is the feature."""
+    landed = landed_bars(spark, sf).where("ticker <> '1-URGENT'")
+    return r6(h.ingest_apply(history_bars(spark, sf), landed, universe(spark, sf)).output)
+
+
+@register("stage_outcome", f"""WITH b AS ({BARS_SUPPLIER}),
+c AS (SELECT ticker, count(*) AS n, count(*) FILTER (WHERE NOT (day(date) = 13 OR (day(date) = 14 AND volume > 20))) AS kept
+      FROM b GROUP BY ticker),
+o AS (SELECT u.ticker, coalesce(n, 0) AS n, coalesce(kept, 0) AS kept FROM (
+  SELECT CAST(s_suppkey AS VARCHAR) AS ticker FROM supplier UNION ALL SELECT n_name FROM nation) u LEFT JOIN c USING (ticker))
+SELECT CAST(count(*) AS BIGINT) AS tickers_processed, CAST(count(*) FILTER (WHERE n > 0) AS BIGINT) AS tickers_successful,
+  CAST(count(*) FILTER (WHERE n = 0) AS BIGINT) AS tickers_failed,
+  printf('%.2f%%', count(*) FILTER (WHERE n > 0) * 100.0 / count(*)) AS success_rate,
+  CAST(coalesce(sum(kept) FILTER (WHERE n > 0), 0) AS BIGINT) AS total_rows, 'partial_success' AS status,
+  array_to_string(list_sort(list(ticker) FILTER (WHERE n = 0)), ',') AS failed_tickers,
+  CAST((SELECT sum(n) FROM c WHERE ticker IS NOT NULL) - sum(kept) + (SELECT count(*) FROM b WHERE day(date) = 15) AS BIGINT) AS rows_dropped,
+  'Failed to process ' || CAST(count(*) FILTER (WHERE n = 0) AS VARCHAR) || ' tickers' AS error_message FROM o""")
+def stage_outcome(spark, sf):
+    """Outcome of the feature stage (A9) with the rows that P3 drops: bars without close, volume,
+    ticker; the nations are tickers without bars."""
+    bars = ds.daily_lineitem(spark, sf, by_supplier=True)
+    day = F.dayofmonth("date")
+    bars = bars.withColumn("close", F.when(day != 13, F.col("close"))).withColumn(
+        "volume", F.when((day != 14) | (F.col("volume") <= 20), F.col("volume")))
+    lost = bars.where(day == 15).withColumn("ticker", F.lit(None).cast("string"))
+    tickers = _supplier_universe(spark, sf).unionByName(ds.table(spark, sf, "nation").select(F.col("n_name").alias("ticker")))
+    _, _, summary = h.stage_outcome(bars.unionByName(lost), tickers)
+    return summary.withColumn("failed_tickers", F.array_join("failed_tickers", ","))
 
 
 @register("completeness", f"""WITH c AS (SELECT ticker, count(*) AS n FROM ({HIST_SQL}) h GROUP BY ticker)
@@ -170,7 +207,8 @@ def source_fallback(spark, sf):
     li = ds.table(spark, sf, "lineitem")
     price = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     tb = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
-    mk = lambda d: ohlcv_bars(d, F.col("l_suppkey").cast("string"), "l_shipdate", price, "l_quantity", "day", tb)
+    mk = lambda d: ohlcv_bars(d, F.col("l_suppkey").cast("string"), "l_shipdate", price, "l_quantity", "day", tb).withColumn(
+        "volume", F.col("volume").cast("bigint"))
     prim = mk(li.filter(F.col("l_returnflag") == "R")).withColumn("source", F.lit("primary"))
     sec = mk(li.filter(F.col("l_returnflag") != "R")).withColumn("source", F.lit("secondary"))
     return r6(prim.unionByName(sec.join(prim.select("ticker").distinct(), "ticker", "left_anti")))

@@ -9,5 +9,6 @@ from barwright.plans import q_runs  # noqa: F401
 from barwright.plans import q_quality  # noqa: F401
 from barwright.plans import q_io  # noqa: F401
 from barwright.plans import q_reports  # noqa: F401
+from barwright.plans import q_maintenance  # noqa: F401
 
 QUERIES = catalog.QUERIES

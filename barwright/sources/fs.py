@@ -63,6 +63,12 @@ def create_document(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def set_time(spark: SparkSession, path: str, millis: int) -> None:
+    """Set the modification time of a file."""
+    p, fs = _path(spark, path)
+    fs.setTimes(p, millis, -1)
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     p, fs = _path(spark, old)
     q, _ = _path(spark, new)

@@ -8,7 +8,9 @@ Hadoop URI (local, s3a://, gs://).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import json
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -89,9 +91,69 @@ def stage_metadata(spark: SparkSession, roots: dict[str, str], dt: str) -> DataF
     return out
 
 
+def report_files(spark: SparkSession, root: str, types: list[str] = ("daily", "summary")) -> DataFrame:
+    """Report documents ``root/<type>/<stem>.json`` (S9, T5): type, stem, path, bytes, modified; from
+    the listing alone."""
+    kind = F.regexp_extract("path", r"/([^/]+)/[^/]+\.json$", 1)
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.json").load(root)
+              .select("path", F.col("length").alias("bytes"), F.col("modificationTime").alias("modified")))
+    return listed.select(kind.alias("type"), F.regexp_extract("path", r"([^/]+)\.json$", 1).alias("stem"), "path", "bytes",
+                         "modified").where(F.col("type").isin(list(types)))
+
+
+def read_reports(spark: SparkSession, root: str, newest: dict[str, int]) -> DataFrame:
+    """The newest report documents of each type by their stem (S9), ``newest`` = {type: how many}:
+    type, stem, key ``<type>_<stem>``, document (the JSON text)."""
+    files = report_files(spark, root, list(newest))
+    most = F.create_map(*[F.lit(x) for kv in newest.items() for x in kv])
+    w = Window.partitionBy("type").orderBy(F.desc("stem"))
+    chosen = files.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= most[F.col("type")])
+    # as many paths as the caller asks for
+    paths = [r["path"] for r in chosen.select("path").collect()]
+    if not paths:
+        return spark.createDataFrame([], "type string, stem string, key string, document string")
+    text = spark.read.text(paths, wholetext=True).select(F.col("value").alias("document"), F.col("_metadata.file_path").alias("path"))
+    kind, stem = F.regexp_extract("path", r"/([^/]+)/[^/]+\.json$", 1), F.regexp_extract("path", r"([^/]+)\.json$", 1)
+    return text.select(kind.alias("type"), stem.alias("stem"), F.concat(kind, F.lit("_"), stem).alias("key"), "document")
+
+
+def write_symbols(df: DataFrame, path: str, columns: list[str] = ("symbol", "company_name")) -> None:
+    """Symbol list as CSV with a header, in the order of ``pos`` (K4): a constituent list, some
+    hundred rows, is one sorted file."""
+    df.repartitionByRange(1, "pos").sortWithinPartitions("pos").select(*[c for c in columns if c in df.columns]) \
+      .write.mode("overwrite").option("header", True).csv(path)
+
+
+def retention_plan(spark: SparkSession, roots: dict[str, str], as_of: str, days: int = 30) -> DataFrame:
+    """Partitions ``dt=`` of the named trees and whether they are older than ``days`` before
+    ``as_of`` (M6): tree, dt, path, expired.  Directory names only; a name that is no date is kept."""
+    rows = [(tree, n[3:], f"{root}/{n}") for tree, root in roots.items() for n in fs.subdirectories(spark, root, "dt=")]
+    cut = F.date_sub(F.lit(as_of).cast("date"), days)
+    d = F.try_to_date("name", "yyyy-MM-dd")
+    return spark.createDataFrame(rows, "tree string, name string, path string").where(d.isNotNull()).select(
+        "tree", d.alias("dt"), "path", (d < cut).alias("expired"))
+
+
+def retention_apply(spark: SparkSession, roots: dict[str, str], log_root: str, as_of: str, days: int = 30,
+                    dry_run: bool = False) -> dict:
+    """Delete the expired partitions of a data tree and a log tree (M6, K10) and write the log of it as
+    ``log_root/cleanup_<as_of>.json`` (K7); a dry run deletes and writes nothing.  A run that was
+    cut off deletes the rest when repeated.  Returns the log."""
+    plan = retention_plan(spark, roots, as_of, days).where("expired").orderBy("path").collect()  # one entry per partition
+    log = {"cleanup_date": as_of, "retention_days": days, "deleted_partitions": [r["path"] for r in plan],
+           "total_deleted": len(plan), "dry_run": dry_run}
+    if not dry_run:
+        for r in plan:
+            fs.delete(spark, r["path"])
+        path = f"{log_root}/cleanup_{as_of}.json"
+        if not fs.create_document(spark, path, json.dumps(log)):
+            fs.delete(spark, path)  # a second cleanup of the day replaces its log
+            fs.create_document(spark, path, json.dumps(log))
+    return log
+
+
 def newest_per_type(files: DataFrame, type_col: str, k: int, ts: str = "modified") -> DataFrame:
     """Newest ``k`` report files per type."""
-    from pyspark.sql import Window
     w = Window.partitionBy(type_col).orderBy(F.col(ts).desc(), F.col("path").desc())
     return files.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
@@ -160,8 +222,11 @@ def load(spark: SparkSession, path: str, fmt: str, schema: T.StructType | None =
 
 
 def write_json_doc(df: DataFrame, path: str) -> None:
-    """A small document (metadata, errors, diff, report) as JSON under its path (K7)."""
-    df.coalesce(1).write.mode("overwrite").json(path)
+    """A small document (metadata, errors, diff, report) as JSON under its path (K7): an object for
+    one row, an array for several, as ``read_json_doc`` reads it."""
+    rows = df.agg(F.collect_list(F.struct(*[F.col(f"`{c}`") for c in df.columns])).alias("r"))
+    text = F.when(F.size("r") == 1, F.to_json(F.col("r")[0])).otherwise(F.to_json("r"))
+    rows.select(text.alias("value")).write.mode("overwrite").text(path)
 
 
 def append_events(df: DataFrame, root: str) -> None:

@@ -4,7 +4,9 @@ in logs (A15).  All are built-in string / JSON functions, run per row on executo
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import datetime
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,19 +26,20 @@ def vendor_series(df: DataFrame, payload: str = "payload", ticker: str = "ticker
 
     Returns (bars, errors): a payload without the series (a ``Note`` / ``Error Message``
     reply) gives zero bars and an error row with the reason.  ``days`` keeps the last n
-    bars of each payload.
+    days of each payload, whatever other payloads the ticker has.
     """
     p = df.select(F.col(ticker).alias("ticker"), F.from_json(F.col(payload), _PAYLOAD).alias("p"))
     series = F.col("p").getField(SERIES_KEY)
     errors = p.filter(series.isNull()).select(
         "ticker", F.coalesce(F.col("p.Note"), F.col("p.`Error Message`"), F.lit("no series")).alias("error"))
-    rows = p.filter(series.isNotNull()).select("ticker", F.explode(series).alias("d", "v"))
+    found = F.map_entries(series)
+    if days is not None:  # the newest days of the payload, by their text (ISO dates)
+        found = F.slice(F.reverse(F.array_sort(F.transform(found, lambda e: F.struct(e["key"], e["value"])))), 1, days)
+    rows = p.filter(series.isNotNull()).select("ticker", F.explode(found).alias("e")).select("ticker", F.col("e.key").alias("d"),
+                                                                                            F.col("e.value").alias("v"))
     bars = rows.select("ticker", F.to_timestamp_ntz(F.col("d")).alias("date"),
                        *[F.col("v").getField(f).cast("double").alias(f.split(". ")[1]) for f in VENDOR_FIELDS[:4]],
                        F.col("v").getField(VENDOR_FIELDS[4]).cast("double").cast("bigint").alias("volume"))
-    if days is not None:
-        from barwright.operators.history import last_rows
-        bars = last_rows(bars, days)
     return bars, errors
 
 
@@ -61,8 +64,8 @@ def html_constituents(pages: DataFrame, html: str = "html", url: str = "url") ->
 
 
 def parse_test_summary(logs: DataFrame, text: str = "value", order: str | None = None) -> DataFrame:
-    """Counts from a test-run summary text (S13): passed / failed / skipped and failed test
-    names; when several logs are given the last by ``order`` wins."""
+    """Counts from bare summary texts (no session heading): passed / failed / skipped and failed
+    test names; when several are given the last by ``order`` wins.  Logs go by ``test_results``."""
     t = F.col(text)
     num = lambda word: F.coalesce(F.regexp_extract(t, rf"(\d+) {word}", 1).try_cast("long"), F.lit(0))
     p = logs.select(*( [F.col(order)] if order else []),
@@ -74,6 +77,45 @@ def parse_test_summary(logs: DataFrame, text: str = "value", order: str | None =
     return p
 
 
+#: a test session's block in a log: its heading, and the text up to the next heading
+SESSION = r"(?s)=+ [^\n]*?test session[^\n]*? in [^\n]*? =+\n(.*?)(?=\n=|\z)"
+
+
+def test_results(logs: DataFrame, text: str = "value", order: str = "order", modified: str = "modified") -> DataFrame:
+    """Result of the last test run from whole log texts (S13, F12), one row: passed, failed, skipped,
+    total_tests, failed_tests, last_run.
+
+    Of each log the first session block counts; a log without one changes nothing.  A count that
+    a block does not name keeps the value of the logs before it, in the order of ``order``; the
+    failed tests and the time are those of the last log with a block."""
+    body = F.when(F.regexp_like(text, F.lit(SESSION)), F.regexp_extract(text, SESSION, 1))
+    number = lambda word: F.regexp_extract("_b", rf"(\d+) {word}", 1).try_cast("long")
+    p = logs.select(F.col(order).alias("_o"), F.col(modified).alias("_m"), body.alias("_b")).where("_b IS NOT NULL").select(
+        "_o", "_m", *[number(w).alias(w) for w in ("passed", "failed", "skipped")],
+        F.regexp_extract_all("_b", F.lit(r"tests/[^\n]*?\.py::(\S+)"), 1).alias("names"))
+    last = lambda c: F.coalesce(F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col("_o"))), F.lit(0))
+    return p.agg(*[last(c).alias(c) for c in ("passed", "failed", "skipped")],
+                 F.coalesce(F.max_by("names", "_o"), F.array().cast("array<string>")).alias("failed_tests"),
+                 F.max_by("_m", "_o").alias("last_run")).withColumn("total_tests", F.col("passed") + F.col("failed") + F.col("skipped"))
+
+
+def log_files(spark: SparkSession, root: str, as_of: str | None = None, hours: int = 24, pattern: str = "*.log",
+              whole: bool = False) -> DataFrame:
+    """Lines (or whole texts) of the log files under ``root`` with their path and time.  ``as_of``:
+    only files changed in the ``hours`` before it, chosen while listing, so others are not read."""
+    r = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    if as_of is not None:
+        since = datetime.datetime.fromisoformat(as_of) - datetime.timedelta(hours=hours)
+        r = r.option("timeZone", "UTC").option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))
+    return r.text(root, wholetext=whole).select("value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_modification_time").alias("modified"))
+
+
+def recent_errors(spark: SparkSession, root: str, as_of: str, hours: int = 24, pattern: str = "*.log") -> DataFrame:
+    """Mentions of 'error' per log file of the last ``hours``."""
+    lines = log_files(spark, root, as_of, hours, pattern)
+    return lines.groupBy("path").agg(F.sum(error_mentions(lines, "value")).cast("long").alias("errors"))
+
+
 def error_mentions(df: DataFrame, text: str = "text", word: str = "error") -> Column:
     """Case-insensitive occurrences of ``word`` in a text column."""
     low = F.lower(F.col(text))

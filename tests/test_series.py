@@ -190,8 +190,14 @@ def test_sma_is_one_arithmetic_for_every_length_and_scale(spark):
         assert last.volume_sma == 0.5 and last.volume_ratio == 1.0
 
 
-def test_keep_last_is_one_row_however_partitioned(spark):
+def test_keep_last_is_the_last_of_the_sequence_however_partitioned(spark):
     from barwright.operators import history as h
-    src = spark.range(500).selectExpr("'A' AS ticker", "DATE'2024-01-01' AS date", "CAST(id AS DOUBLE) AS close")
-    got = {h.upsert_keep_last([src.repartition(n)]).collect()[0].close for n in (1, 3, 8)}
-    assert got == {499.0}
+    # closes fall along the sequence: the last one is the smallest
+    src = spark.range(500).selectExpr("'A' AS ticker", "DATE'2024-01-01' AS date", "CAST(500 - id AS DOUBLE) AS close",
+                                      "struct(DATE'2024-01-02' AS dt, 'f' AS path, id AS row) AS seq")
+    for n in (1, 3, 8):
+        assert [r.close for r in h.upsert_keep_last([src.repartition(n)], seq="seq").collect()] == [1.0]
+        old = src.drop("seq").limit(1)
+        assert [r.close for r in h.upsert_keep_last([old, src.repartition(n)], seq="seq").collect()] == [1.0]
+    with pytest.raises(ValueError):
+        h.upsert_keep_last([src], seq="place")
