@@ -43,9 +43,32 @@ def rolling(agg, lay: Layout, src: str | Column, n: int) -> Column:
     return full_window(agg(c).over(w), F.count(c).over(w), n)
 
 
+#: rows of a partial sum, and the look-back from which means are made of partial sums
+STEP, LONG = 10, 30
+
+
 def sma(lay: Layout, src: str, n: int, out: str) -> Levels:
-    """n-row mean, in double for every n."""
-    return [{out: rolling(F.avg, lay, src, n)}]
+    """n-row mean, in double for every n.
+
+    A sliding frame is summed anew for every row, n values each time.  A long mean adds the
+    ``STEP``-row sums that lie ``STEP`` rows apart (and the few rows left over) instead: n / STEP
+    values, no differences of running sums, so nothing cancels.  That the frame is full is seen
+    from the position of the last missing value."""
+    if n < LONG:
+        return [{out: rolling(F.avg, lay, src, n)}]
+    if n - 1 > lay.halo_rows:
+        raise ValueError(f"look-back {n - 1} exceeds the halo of {lay.halo_rows} rows")
+    x, part, gap = F.col(src).cast("double"), f"_t_part_{src}", f"_t_gap_{src}"
+    value = F.coalesce(x, F.lit(0.0))
+    run = lay.window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    back = lambda c, k: F.lag(c, k).over(lay.window()) if k else c
+    terms = [back(F.col(part), k) for k in range(0, n - STEP + 1, STEP)] + [back(value, k) for k in range(n - n % STEP, n)]
+    total = terms[0]
+    for t in terms[1:]:
+        total = total + t
+    full = (F.col("_i") >= n - 1) & (F.col(gap).isNull() | (F.col("_i") - F.col(gap) >= n))
+    return [{part: F.sum(value).over(lay.rows(STEP)), gap: F.max(F.when(x.isNull(), F.col("_i"))).over(run)},
+            {out: F.when(full, total / F.lit(float(n)))}]
 
 
 def lag(lay: Layout, src: str, n: int = 1) -> Column:
