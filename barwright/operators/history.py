@@ -178,6 +178,18 @@ def backfill(landed: DataFrame, universe: DataFrame, key: str = "ticker",
     return hist, outcome
 
 
+def source_fallback(primary: DataFrame, secondary: DataFrame, universe: DataFrame, key: str = "ticker",
+                    names: tuple[str, str] = ("primary", "secondary")) -> tuple[DataFrame, DataFrame]:
+    """Rows of the primary source for tickers that it has, else of the secondary one (S14): (rows with
+    their ``source``, (ticker, error) of the universe's tickers that neither has)."""
+    have = primary.select(key).distinct()
+    rows = primary.withColumn("source", F.lit(names[0])).unionByName(
+        secondary.join(have, key, "left_anti").withColumn("source", F.lit(names[1])))
+    found = have.unionByName(secondary.select(key).distinct())
+    failed = universe.select(key).distinct().join(found, key, "left_anti").withColumn("error", F.lit("no data from any source"))
+    return rows, failed
+
+
 def outcome_summary(outcome: DataFrame, key: str = "ticker", ok: str = "ok",
                     rows: str = "rows", error: str = "error") -> DataFrame:
     """One summary row over a per-ticker outcome table (A9, A19): processed / successful /

@@ -200,6 +200,42 @@ def partition_status(spark, roots: dict[str, str], as_of: str) -> DataFrame:
                                                F.datediff(F.lit(as_of).cast("date"), last).alias("days_old"))
 
 
+def data_availability(spark, roots: dict[str, str], dt: str) -> DataFrame:
+    """Files of one date in every tree (Q3): tree, exists, file_count, size_mb, missing_data_pct (trees
+    without the date, of all); from listings, no file is read."""
+    from barwright.sources import fs
+    rows = []
+    for tree, root in roots.items():
+        at = f"{root}/dt={dt}"
+        rows.append((tree, at, fs.exists(spark, at)))
+    t = spark.createDataFrame(rows, "tree string, at string, exists boolean")
+    paths = [at for _, at, there in rows if there]
+    if paths:
+        listed = (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(paths)
+                  .select("length", "path"))
+        sizes = listed.join(F.broadcast(t.select("tree", "at")), F.col("path").contains(F.col("at"))).groupBy("tree").agg(  # a few trees
+            F.count(F.lit(1)).alias("file_count"), (F.sum("length") / 1048576.0).alias("size_mb"))
+    else:
+        sizes = spark.createDataFrame([], "tree string, file_count long, size_mb double")
+    share = availability(t.select(F.col("exists").alias("present"))).select("missing_data_pct")
+    return t.join(sizes, "tree", "left").join(share).select(
+        "tree", "exists", F.coalesce("file_count", F.lit(0)).cast("long").alias("file_count"), F.coalesce("size_mb", F.lit(0.0)).alias("size_mb"),
+        F.col("missing_data_pct").cast("double").alias("missing_data_pct"))
+
+
+#: metrics that a report takes from the metadata of the feature stage
+METRICS = ("runtime_seconds", "runtime_minutes", "tickers_processed", "tickers_successful", "tickers_failed", "features_generated")
+
+
+def pipeline_metrics(metadata: DataFrame) -> DataFrame:
+    """Pipeline metrics of a report (Q3) from stage metadata documents: missing numbers are 0, a
+    missing status is ``unknown``."""
+    has = set(metadata.columns)
+    number = lambda c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in has else F.lit(0.0)
+    status = F.coalesce(F.col("status"), F.lit("unknown")) if "status" in has else F.lit("unknown")
+    return metadata.select(*[number(c).alias(c) for c in METRICS], status.alias("status"))
+
+
 def status_documents(spark, runs: DataFrame, roots: dict[str, str], as_of: str, last: int = 10) -> DataFrame:
     """Status documents (Q9) as (document, json): ``pipeline`` (is a run going on, the newest run),
     ``data`` (partitions of every tree), ``runs`` (the newest ``last`` runs).  Every part is bounded:

@@ -2,11 +2,15 @@
 
 "History" and "landed" bars are both aggregated from ``orders``: history = bars of
 orders before 2000-01-01 (priority 5-LOW has none, so it is a new ticker), landed =
-bars of orders from 1999-10-01 on, so they overlap and keep-last is exercised.
+bars of orders from 1999-10-01 on and all of 5-LOW, so they overlap, keep-last is
+exercised, and both together are the whole table.  Watermarks, plans, completeness and
+gaps are taken of whole tables, with the nations as tickers without history.
 """
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from barwright.operators import history as h
@@ -19,7 +23,6 @@ from barwright.plans.sqlparts import r6 as sql_r6
 BASE = ["open", "high", "low", "close"]
 HIST_END = "2000-01-01"
 LANDED_START = "1999-10-01"
-AS_OF = "2000-01-03 00:00:00"
 
 
 def _orders_bars(o):
@@ -34,7 +37,8 @@ def history_bars(spark, sf):
 
 def landed_bars(spark, sf):
     o = ds.table(spark, sf, "orders")
-    return _orders_bars(o.filter(F.col("o_orderdate") >= F.lit(LANDED_START).cast("timestamp_ntz")))
+    return _orders_bars(o.filter((F.col("o_orderdate") >= F.lit(LANDED_START).cast("timestamp_ntz"))
+                                 | (F.col("o_orderpriority") == "5-LOW")))
 
 
 def universe(spark, sf):
@@ -50,7 +54,7 @@ def _bars_sql(where: str) -> str:
 
 
 HIST_SQL = _bars_sql(f"o_orderdate < TIMESTAMP '{HIST_END}' AND o_orderpriority <> '5-LOW'")
-LANDED_SQL = _bars_sql(f"o_orderdate >= TIMESTAMP '{LANDED_START}'")
+LANDED_SQL = _bars_sql(f"(o_orderdate >= TIMESTAMP '{LANDED_START}' OR o_orderpriority = '5-LOW')")
 UNIVERSE_SQL = "SELECT DISTINCT o_orderpriority AS ticker FROM orders"
 
 
@@ -62,23 +66,35 @@ def upsert_keep_last(spark, sf):
     return r6(h.upsert_keep_last([history_bars(spark, sf), landed_bars(spark, sf)]))
 
 
-@register("watermark", f"SELECT ticker, max(date) AS latest_date FROM ({HIST_SQL}) h GROUP BY ticker")
+@register("watermark", f"SELECT ticker, max(date) AS latest_date FROM ({BARS_SUPPLIER}) h GROUP BY ticker")
 def watermark(spark, sf):
-    return h.watermark(history_bars(spark, sf))
+    return h.watermark(ds.daily_lineitem(spark, sf, by_supplier=True))
+
+
+#: two days after the last ship date, at noon; the newest bars of suppliers end on different days
+_NOW = "(SELECT date_trunc('day', max(l_shipdate)) + INTERVAL 36 HOUR FROM lineitem)"
+_AGE = f"CAST(floor(date_diff('second', latest_date, {_NOW}) / 86400.0) AS BIGINT)"
+ALL_SQL = "SELECT CAST(s_suppkey AS VARCHAR) AS ticker FROM supplier UNION SELECT n_name FROM nation"
+
+
+def _now(spark, sf):
+    last = ds.table(spark, sf, "lineitem").agg(F.date_trunc("day", F.max("l_shipdate"))).first()[0]
+    return last + datetime.timedelta(hours=36)
 
 
-_AGE = f"CAST(floor(date_diff('second', latest_date, TIMESTAMP '{AS_OF}') / 86400.0) AS BIGINT)"
+def _all_tickers(spark, sf):
+    return _supplier_universe(spark, sf).unionByName(ds.table(spark, sf, "nation").select(F.col("n_name").alias("ticker")))
 
 
-@register("ingest_plan", f"""WITH w AS (SELECT ticker, max(date) AS latest_date FROM ({HIST_SQL}) h GROUP BY ticker)
+@register("ingest_plan", f"""WITH w AS (SELECT ticker, max(date) AS latest_date FROM ({BARS_SUPPLIER}) h GROUP BY ticker)
 SELECT u.ticker, w.latest_date, CAST({_AGE} AS DOUBLE) AS days_since_update,
   CASE WHEN latest_date IS NULL THEN 'full' WHEN {_AGE} <= 1 THEN 'up_to_date' ELSE 'incremental' END AS action,
   CAST(CASE WHEN latest_date IS NULL THEN 30 WHEN {_AGE} <= 1 THEN 0 ELSE {_AGE} + 5 END AS BIGINT) AS days_to_request
-FROM ({UNIVERSE_SQL}) u LEFT JOIN w ON u.ticker = w.ticker""")
+FROM ({ALL_SQL}) u LEFT JOIN w ON u.ticker = w.ticker""")
 def ingest_plan(spark, sf):
     """Ingest plan per ticker (M1).  The age is NULL for a ticker without history; it is
     returned as a double so that both engines hand NULL over as NaN."""
-    p = h.ingest_plan(universe(spark, sf), history_bars(spark, sf), AS_OF, days_back=30)
+    p = h.ingest_plan(_all_tickers(spark, sf), ds.daily_lineitem(spark, sf, by_supplier=True), _now(spark, sf), days_back=30)
     return p.withColumn("days_since_update", F.col("days_since_update").cast("double"))
 
 
@@ -144,20 +160,20 @@ def stage_outcome(spark, sf):
     return summary.withColumn("failed_tickers", F.array_join("failed_tickers", ","))
 
 
-@register("completeness", f"""WITH c AS (SELECT ticker, count(*) AS n FROM ({HIST_SQL}) h GROUP BY ticker)
-SELECT u.ticker, CAST(coalesce(n, 0) AS BIGINT) AS rows, coalesce(n, 0) >= 730 AS complete,
-  CAST(greatest(730 - coalesce(n, 0), 0) AS BIGINT) AS missing_days
-FROM ({UNIVERSE_SQL}) u LEFT JOIN c ON u.ticker = c.ticker""")
+@register("completeness", f"""WITH c AS (SELECT ticker, count(*) AS n FROM ({BARS_SUPPLIER}) h GROUP BY ticker)
+SELECT u.ticker, CAST(coalesce(n, 0) AS BIGINT) AS rows, coalesce(n, 0) >= 460 AS complete,
+  CAST(greatest(460 - coalesce(n, 0), 0) AS BIGINT) AS missing_days
+FROM ({ALL_SQL}) u LEFT JOIN c ON u.ticker = c.ticker""")
 def completeness(spark, sf):
-    return h.completeness(history_bars(spark, sf), universe(spark, sf), 730)
+    return h.completeness(ds.daily_lineitem(spark, sf, by_supplier=True), _all_tickers(spark, sf), 460)
 
 
 @register("gap_check", f"""SELECT ticker, max(date) AS latest_date,
-  CAST(date_diff('day', CAST(max(date) AS DATE), DATE '2000-01-03') AS BIGINT) AS days_behind,
-  date_diff('day', CAST(max(date) AS DATE), DATE '2000-01-03') > 1 AS needs_run
-FROM ({HIST_SQL}) h GROUP BY ticker""")
+  CAST(date_diff('day', CAST(max(date) AS DATE), CAST({_NOW} AS DATE)) AS BIGINT) AS days_behind,
+  date_diff('day', CAST(max(date) AS DATE), CAST({_NOW} AS DATE)) > 1 AS needs_run
+FROM ({BARS_SUPPLIER}) h GROUP BY ticker""")
 def gap_check(spark, sf):
-    g = h.gap_check(history_bars(spark, sf), AS_OF)
+    g = h.gap_check(ds.daily_lineitem(spark, sf, by_supplier=True), _now(spark, sf))
     return g.withColumn("days_behind", F.col("days_behind").cast("long"))
 
 
@@ -209,6 +225,20 @@ def source_fallback(spark, sf):
     tb = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_quantity"]
     mk = lambda d: ohlcv_bars(d, F.col("l_suppkey").cast("string"), "l_shipdate", price, "l_quantity", "day", tb).withColumn(
         "volume", F.col("volume").cast("bigint"))
-    prim = mk(li.filter(F.col("l_returnflag") == "R")).withColumn("source", F.lit("primary"))
-    sec = mk(li.filter(F.col("l_returnflag") != "R")).withColumn("source", F.lit("secondary"))
-    return r6(prim.unionByName(sec.join(prim.select("ticker").distinct(), "ticker", "left_anti")))
+    rows, _ = h.source_fallback(mk(li.filter(F.col("l_returnflag") == "R")), mk(li.filter(F.col("l_returnflag") != "R")), _supplier_universe(spark, sf))
+    return r6(rows)
+
+
+@register("fallback_failures", """WITH t AS (SELECT CAST(l_orderkey AS VARCHAR) AS ticker, max(CASE WHEN l_returnflag = 'R' THEN 2 WHEN l_returnflag = 'A' THEN 1 ELSE 0 END) AS best
+  FROM lineitem GROUP BY 1)
+SELECT 'primary' AS source, CAST(count(*) FILTER (WHERE best = 2) AS BIGINT) AS tickers FROM t
+UNION ALL SELECT 'secondary', count(*) FILTER (WHERE best = 1) FROM t
+UNION ALL SELECT 'failed', (SELECT count(DISTINCT o_orderkey) FROM orders) - (SELECT count(*) FROM t JOIN (SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS k FROM orders) o ON k = ticker WHERE best > 0)""")
+def fallback_failures(spark, sf):
+    """Orders by the source that has their lines, returned lines first, accepted ones next, and the
+    orders that neither has (S14)."""
+    li = ds.table(spark, sf, "lineitem").select(F.col("l_orderkey").cast("string").alias("ticker"), "l_returnflag", "l_shipdate")
+    orders = ds.table(spark, sf, "orders").select(F.col("o_orderkey").cast("string").alias("ticker"))
+    rows, failed = h.source_fallback(li.where("l_returnflag = 'R'"), li.where("l_returnflag = 'A'"), orders)
+    both = rows.select("ticker", "source").distinct().unionByName(failed.select("ticker", F.lit("failed").alias("source")))
+    return both.groupBy("source").agg(F.count(F.lit(1)).alias("tickers"))

@@ -21,7 +21,8 @@ from barwright.plans.sqlparts import BARS_LINEITEM, BARS_ORDERS
 from barwright.plans.sqlparts import r6 as sql_r6
 from barwright.session import scratch_dir
 from barwright.sources import fs, io
-from barwright.sources.parse import log_files, recent_errors, test_results, vendor_series
+from barwright.sources.landed import write_ticker_files
+from barwright.sources.parse import html_constituents, log_files, recent_errors, test_results, vendor_series
 
 BASE = ["open", "high", "low", "close"]
 AS_OF = "2001-08-01"
@@ -366,6 +367,41 @@ def dashboard_document(spark, sf):
                          F.col("d.summary.total_runs").alias("total_runs"), F.size("d.recommendations").cast("long").alias("recommendations"))
 
 
+@register("constituent_pages", """SELECT n_name AS url, CAST(row_number() OVER (PARTITION BY n_name ORDER BY s_suppkey) AS INTEGER) AS pos,
+  'S' || s_suppkey AS symbol, s_name || ' & Co' AS company FROM supplier JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 0""")
+def constituent_pages(spark, sf):
+    """Constituent tables of HTML pages (S11): a page per nation with a header, links, entities, a
+    second table, and rows of suppliers; those in debt have an empty name and are left out."""
+    s = ds.table(spark, sf, "supplier").join(ds.table(spark, sf, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+    named = F.col("s_acctbal") > 0
+    row = F.concat(F.lit('<tr><td><a href="/q">S'), F.col("s_suppkey").cast("string"), F.lit("</a></td>\n<TD class='n'>"),
+                   F.when(named, F.concat("s_name", F.lit(" &amp; Co"))).otherwise(""), F.lit("</TD><td>1</td></tr>"))
+    # suppliers in debt come last, so that the others keep their places
+    rows = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct((~named).alias("last"), "s_suppkey", row.alias("r")))), lambda x: x["r"]), "")
+    html = F.concat(F.lit("<html><table class='x'><tr><td>no</td><td>no</td></tr></table><table class=\"sortable wikitable\"><tr><th>Symbol</th><th>Name</th></tr>"),
+                    rows, F.lit('</table><table class="wikitable"><tr><th>a</th></tr><tr><td>Z</td><td>Z</td></tr></table></html>'))
+    pages = s.groupBy(F.col("n_name").alias("url")).agg(html.alias("html"))
+    return html_constituents(pages).withColumn("pos", F.col("pos").cast("int"))
+
+
+@register("integrity_report", f"""SELECT tree, tree <> 'tickers' AS "exists", CAST(CASE tree WHEN 'raw' THEN (SELECT count(DISTINCT ticker) FROM ({BARS_ORDERS}) b)
+  WHEN 'processed' THEN (SELECT ceil(count(*) / 100.0) FROM ({BARS_ORDERS}) b) ELSE 0 END AS BIGINT) AS file_count, tree <> 'tickers' AS has_bytes,
+  round(100.0 / 3, 6) AS missing_data_pct, CAST((SELECT count(*) FROM ({BARS_ORDERS}) b) AS DOUBLE) AS tickers_processed, 0.0::DOUBLE AS runtime_seconds,
+  'unknown' AS status FROM (VALUES ('raw'), ('processed'), ('tickers')) t(tree)""")
+def integrity_report(spark, sf):
+    """Data availability of a date and the metrics of its stage document (Q3): one file per ticker in
+    ``raw``, a file per hundred rows in ``processed``, no ``tickers``."""
+    base = scratch_dir(spark, "trees")
+    roots = {k: f"{base}/{k}" for k in ("raw", "processed", "tickers")}
+    bars = ds.daily_orders(spark, sf)
+    write_ticker_files(bars, roots["raw"], AS_OF)
+    io.write_partitioned(bars.withColumn("dt", F.lit(AS_OF).cast("date")), roots["processed"], ["dt"], cluster=["ticker", "date"], splits=1, maxRecordsPerFile=100)
+    io.write_json_doc(bars.agg(F.count(F.lit(1)).alias("tickers_processed")), f"{base}/meta/features/dt={AS_OF}")
+    metrics = rp.pipeline_metrics(io.stage_metadata(spark, {"features": f"{base}/meta/features"}, AS_OF))
+    report = rp.data_availability(spark, roots, AS_OF).withColumn("has_bytes", F.col("size_mb") > 0).drop("size_mb")
+    return r6(report.join(metrics.select("tickers_processed", "runtime_seconds", "status")))
+
+
 @register("availability", """WITH t AS (SELECT s_nationkey AS k, count(*) FILTER (WHERE s_acctbal > 5000) > 0 AS present FROM supplier GROUP BY 1)
 SELECT CAST(count(*) AS BIGINT) AS expected, CAST(count(*) FILTER (WHERE present) AS BIGINT) AS present,
   CAST(count(*) FILTER (WHERE NOT present) AS BIGINT) AS missing, round(count(*) FILTER (WHERE NOT present) * 100.0 / count(*), 6) AS missing_data_pct,
