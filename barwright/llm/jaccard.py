@@ -26,12 +26,13 @@ empty result."""
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barwright.llm.hashing import U64, mixed, shingle_hashes, word_hashes
@@ -233,7 +234,8 @@ def hash_filter(hashes: DataFrame) -> bytes:
 
 
 def sets_of(docs: DataFrame, k: int, text_col: str, bits: bytes) -> DataFrame:
-    """(key, items) of the texts that the filter lets through, once per task and class."""
+    """(key, items) of the texts that the filter lets through, once per task and text; a key that
+    comes from several tasks has the same items in each."""
     held = docs.sparkSession.sparkContext.broadcast(bits)
     names = ["key", "items"]
 
@@ -251,17 +253,50 @@ def sets_of(docs: DataFrame, k: int, text_col: str, bits: bytes) -> DataFrame:
                         sets.append(s.astype(np.int64))
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names)
-    return (docs.select(F.col(text_col).cast("string").alias("_t")).mapInArrow(run, "key long, items array<long>")
-            .groupBy("key").agg(F.max("items").alias("items")))
+    return docs.select(F.col(text_col).cast("string").alias("_t")).mapInArrow(run, "key long, items array<long>")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """The pairs (a, b) whose sets reach p/q."""
-    both = (pairs.join(sets.withColumnsRenamed({"key": "a", "items": "x"}), "a")
-            .join(sets.withColumnsRenamed({"key": "b", "items": "y"}), "b"))
-    same = F.size(F.array_intersect("x", "y")).cast("long")
-    union = F.size("x") + F.size("y") - F.col("_i")
-    return both.withColumn("_i", same).where(q * F.col("_i") >= p * union).select("a", "b")
+    """The pairs (a, b) whose sets reach p/q.
+
+    The sets of the b are dealt over partitions, and the set of an a goes once to each partition
+    that holds any of its b (not once per pair), so a lead's set is sent to its list at most once
+    per partition.  A task holds the sets of its partition."""
+    n = partitions(pairs.sparkSession)
+    place = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(n)).cast("int")
+    none = lambda t: F.lit(None).cast(t)
+    placed = pairs.select(place("b").alias("p"), "a", "b")
+    need = placed.select("p", "a").union(placed.select("p", F.col("b").alias("a"))).distinct()
+    sent = need.join(sets.withColumnRenamed("key", "a"), "a").select("p", F.lit(0).alias("kind"), "a", none("long").alias("b"), "items")
+    rows = sent.union(placed.select("p", F.lit(1), "a", "b", none("array<long>")))
+    dealt = rows.repartitionById(n, F.col("p")).sortWithinPartitions("kind")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, np.ndarray] = {}
+        for batch in batches:
+            items, keys, others = batch.column(4), batch.column(2).to_numpy(), batch.column(3).fill_null(0).to_numpy()
+            pair = batch.column(1).to_numpy() == 1
+            if not pair.all():
+                ends, flat = items.offsets.to_numpy(), items.values.to_numpy()
+                for i in np.flatnonzero(~pair).tolist():
+                    held[int(keys[i])] = flat[ends[i]:ends[i + 1]]
+            found = []
+            for i in np.flatnonzero(pair).tolist():
+                x, y = held[int(keys[i])], held[int(others[i])]
+                if q * min(len(x), len(y)) >= p * max(len(x), len(y)):
+                    same = len(np.intersect1d(x, y, assume_unique=True))
+                    if q * same >= p * (len(x) + len(y) - same):
+                        found.append(i)
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(keys[found]), pa.array(others[found])], ["a", "b"])
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def released(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: it does so when the driver collects
+    its garbage, which a driver with room to spare puts off while the disks fill."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -311,6 +346,8 @@ def by_difference(dense: DataFrame, sets: DataFrame, p: int, q: int) -> DataFram
     component), a link of x and y needs a common element of D(x) and D(y), and at least
     (G(x) + G(y)) / 2 of them, G(x) = |D(x)| - |x| (q - p) / (q + p).  So differences are joined by
     their rarest elements only (prefix filter), and near copies that are no links are not paired."""
+    some = dense.select(F.col("lead").alias("key")).union(dense.select("key")).distinct()
+    sets = written(sets.join(some, "key", "left_semi").dropDuplicates(["key"]), "some")
     d = (dense.join(sets.withColumnsRenamed({"key": "lead", "items": "x"}), "lead")
          .join(sets.withColumnRenamed("items", "y"), "key")
          .select("lead", "key", "comp", F.size("x").alias("lead_size"), F.size("y").alias("size"),
@@ -338,6 +375,7 @@ def indexed(docs: DataFrame, ids: DataFrame, k: int, percent: int, text_col: str
     """(sig, key, probe) of the signatures that several classes hold, and (key, items) of those
     classes; ``ids``: the keyed documents."""
     rows = written(shared(signed(docs, k, Bands(percent, 100), text_col)), "signatures")
+    released(docs.sparkSession)
     # sets of the classes that share a signature, from one text of each class
     texts = (ids.groupBy("_key").agg(F.min("_text").alias("h"))
              .join(rows.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi").select("h"))
@@ -402,6 +440,7 @@ def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text
             comp = merged(comp, found)
         done, lead = done + lead, 4 * lead
         rows = held.drop("comp")
+        released(docs.sparkSession)
         if done == 1:
             # what is left of long lists is compared by differences to their leads
             lists = rows.where("rank > 1")
@@ -419,6 +458,7 @@ def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text
                 if not found.isEmpty():
                     comp = merged(comp, found)
                 rows = written(rows.join(wide, "sig", "left_anti"), "members")
+                released(docs.sparkSession)
     return comp if comp is not None else docs.sparkSession.createDataFrame([], "key long, comp long")
 
 
