@@ -11,7 +11,8 @@ are dropped first, paid by the set's slack (its own H is below the band's) and t
 indexed.  If that does not pay for all, the remaining ones are probed as they are: exact always.
 
 Equal sets form one class; only classes are linked.  Members of an equal signature are not
-paired with each other: each round compares them with a few leads of the signature (1, 4, 16, ...)
+paired with each other: first each class is compared with one class, the lead of most of its
+signatures; then each round compares them with a few leads of the signature (1, 4, 16, ...)
 and goes on only where members of different components are left; what a long list holds beyond
 its first lead is compared by the members' differences to that lead (``by_difference``).  So a
 group of n near copies costs about n comparisons, yet no link between components is lost.  Candidates are verified on
@@ -36,11 +37,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barwright.llm.hashing import U64, mixed, shingle_hashes, word_hashes
-from barwright.llm.text import partitions, written
+from barwright.llm.text import if_small, partitions, written
 from barwright.session import ensure_checkpoint_dir
 
 #: bits of the candidate filter (2 MB); a fuller filter only lets more sets through
 FILTER_BITS = 24
+#: (partition, class) rows of 16 bytes that are broadcast to the sets at most
+BROADCAST_KEYS = 1_000_000
 #: signatures whose further probes lie in more components than this are compared by differences to their lead
 LONG = 64
 
@@ -266,7 +269,8 @@ def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     place = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(n)).cast("int")
     none = lambda t: F.lit(None).cast(t)
     placed = pairs.select(place("b").alias("p"), "a", "b")
-    need = placed.select("p", "a").union(placed.select("p", F.col("b").alias("a"))).distinct()
+    need = written(placed.select("p", "a").union(placed.select("p", F.col("b").alias("a"))).distinct(), "need")
+    need = if_small(need, need.count(), BROADCAST_KEYS)  # else the sets are shuffled too
     sent = need.join(sets.withColumnRenamed("key", "a"), "a").select("p", F.lit(0).alias("kind"), "a", none("long").alias("b"), "items")
     rows = sent.union(placed.select("p", F.lit(1), "a", "b", none("array<long>")))
     dealt = rows.repartitionById(n, F.col("p")).sortWithinPartitions("kind")
@@ -419,7 +423,16 @@ def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text
     weight = rows.groupBy("key").agg(F.sum("_n").alias("weight"))
     rows = rows.drop("_n").join(weight, "key").withColumn(
         "rank", F.row_number().over(by.orderBy(F.col("probe").desc(), F.col("weight").desc(), "key"))).drop("weight")
-    comp, done, lead = None, 0, 1
+    # first each class meets one lead, that of most of its lists: near copies then share a component,
+    # and the rounds below compare what is left
+    rows = written(rows, "ranked")
+    lead_of = rows.where("rank = 1 AND probe").select("sig", F.col("key").alias("lead"))
+    met = rows.where("rank > 1").join(lead_of, "sig").groupBy("key", "lead").agg(F.count("*").alias("n"))
+    first = met.groupBy("key").agg(F.max_by("lead", F.struct("n", "lead")).alias("lead"))
+    first = written(first.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct(), "pairs")
+    found = written(verified(first, sets, p, q), "links")
+    comp, done, lead = None if found.isEmpty() else merged(None, found), 0, 1
+    released(docs.sparkSession)
     while True:
         held = rows.withColumn("comp", F.col("key")) if comp is None else (
             rows.join(comp, "key", "left").withColumn("comp", F.coalesce("comp", "key")))
