@@ -237,13 +237,13 @@ def hash_filter(hashes: DataFrame) -> bytes:
 
 
 def sets_of(docs: DataFrame, k: int, text_col: str, bits: bytes) -> DataFrame:
-    """(key, items) of the texts that the filter lets through, once per task and text; a key that
-    comes from several tasks has the same items in each."""
+    """(key, items, src) of the texts that the filter lets through, once per task ``src`` and key; a
+    key that comes from several tasks has the same items in each."""
     held = docs.sparkSession.sparkContext.broadcast(bits)
     names = ["key", "items"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, have = set(), held.value
+        seen, held_keys, have = set(), set(), held.value
         for b in batches:
             for at in range(0, b.num_rows, 500):
                 keys, sets = [], []
@@ -252,11 +252,24 @@ def sets_of(docs: DataFrame, k: int, text_col: str, bits: bytes) -> DataFrame:
                     spot = h % (1 << FILTER_BITS)
                     if h not in seen and have[spot >> 3] >> (spot & 7) & 1 and len(s := shingles(t, k)):
                         seen.add(h)
-                        keys.append(set_key(s))
-                        sets.append(s.astype(np.int64))
+                        if (name := set_key(s)) not in held_keys:
+                            held_keys.add(name)
+                            keys.append(name)
+                            sets.append(s.astype(np.int64))
                 if keys:
                     yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names)
-    return docs.select(F.col(text_col).cast("string").alias("_t")).mapInArrow(run, "key long, items array<long>")
+    return docs.select(F.col(text_col).cast("string").alias("_t")).mapInArrow(run, "key long, items array<long>").withColumn(
+        "src", F.spark_partition_id())
+
+
+def single(sets: DataFrame) -> DataFrame:
+    """(key, items), each key once: copies of a text lie in many tasks, and each of them would be
+    sent wherever its set is needed.  Only the keys that occur twice are looked up; sets stay where
+    they are as long as those keys are few enough to broadcast."""
+    twice = written(sets.groupBy("key").agg(F.count("*").alias("n"), F.min("src").alias("keep")).where("n > 1")
+                    .select("key", "keep"), "twice")
+    return (sets.join(if_small(twice, twice.count(), BROADCAST_KEYS), "key", "left")
+            .where("keep is null or keep = src").select("key", "items"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
@@ -383,7 +396,8 @@ def indexed(docs: DataFrame, ids: DataFrame, k: int, percent: int, text_col: str
     # sets of the classes that share a signature, from one text of each class
     texts = (ids.groupBy("_key").agg(F.min("_text").alias("h"))
              .join(rows.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi").select("h"))
-    return rows, written(sets_of(docs, k, text_col, hash_filter(texts)), "sets")
+    sets = written(sets_of(docs, k, text_col, hash_filter(texts)), "sets")
+    return rows, written(single(sets), "sets")
 
 
 def links_of(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
