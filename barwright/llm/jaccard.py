@@ -364,7 +364,8 @@ def by_difference(dense: DataFrame, sets: DataFrame, p: int, q: int) -> DataFram
     (G(x) + G(y)) / 2 of them, G(x) = |D(x)| - |x| (q - p) / (q + p).  So differences are joined by
     their rarest elements only (prefix filter), and near copies that are no links are not paired."""
     some = dense.select(F.col("lead").alias("key")).union(dense.select("key")).distinct()
-    sets = written(sets.join(some, "key", "left_semi").dropDuplicates(["key"]), "some")
+    some = written(some, "held")
+    sets = written(sets.join(if_small(some, some.count(), BROADCAST_KEYS), "key", "left_semi"), "some")
     d = (dense.join(sets.withColumnsRenamed({"key": "lead", "items": "x"}), "lead")
          .join(sets.withColumnRenamed("items", "y"), "key")
          .select("lead", "key", "comp", F.size("x").alias("lead_size"), F.size("y").alias("size"),
