@@ -148,6 +148,22 @@ def signatures(s: np.ndarray, bands: Bands, cache: dict) -> tuple[np.ndarray, np
     return np.concatenate(sigs), np.concatenate(probes)
 
 
+def sketch(s: np.ndarray, bands: Bands) -> np.ndarray:
+    """Parities of the elements per bin, as 64-bit words; a power of two of them, at least 8 bins
+    for each element in which a linked set may differ.  Each differing element flips one bin, so
+    two sets differ in at least as many elements as their parities do in bins."""
+    words = 4
+    while words * 64 < 8 * bands.bound(len(s)):
+        words *= 2
+    odd = np.bincount((s % U64(words * 64)).astype(np.int64), minlength=words * 64) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def folded(x: np.ndarray, words: int) -> np.ndarray:
+    """The sketch ``x`` as it is with fewer bins."""
+    return np.bitwise_xor.reduce(x.reshape(-1, words), axis=0)
+
+
 def text_hash(t: str | None) -> int:
     return xxhash.xxh64_intdigest((t or "").encode("utf-8", "surrogatepass")) - (1 << 63)
 
@@ -236,17 +252,18 @@ def hash_filter(hashes: DataFrame) -> bytes:
     return bytes(out)
 
 
-def sets_of(docs: DataFrame, k: int, text_col: str, bits: bytes) -> DataFrame:
-    """(key, items, src) of the texts that the filter lets through, once per task ``src`` and key; a
+def sets_of(docs: DataFrame, k: int, bands: Bands, text_col: str, bits: bytes) -> DataFrame:
+    """(key, items, sketch, src) of the texts that the filter lets through, once per task ``src`` and key; a
     key that comes from several tasks has the same items in each."""
     held = docs.sparkSession.sparkContext.broadcast(bits)
-    names = ["key", "items"]
+    names = ["key", "items", "sketch"]
+    lists = pa.list_(pa.int64())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held_keys, have = set(), set(), held.value
         for b in batches:
             for at in range(0, b.num_rows, 500):
-                keys, sets = [], []
+                keys, sets, marks = [], [], []
                 for t in b.column(0).slice(at, 500).to_pylist():
                     h = text_hash(t)
                     spot = h % (1 << FILTER_BITS)
@@ -256,20 +273,46 @@ def sets_of(docs: DataFrame, k: int, text_col: str, bits: bytes) -> DataFrame:
                             held_keys.add(name)
                             keys.append(name)
                             sets.append(s.astype(np.int64))
+                            marks.append(sketch(s, bands))
                 if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names)
-    return docs.select(F.col(text_col).cast("string").alias("_t")).mapInArrow(run, "key long, items array<long>").withColumn(
-        "src", F.spark_partition_id())
+                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, lists), pa.array(marks, lists)], names)
+    return (docs.select(F.col(text_col).cast("string").alias("_t"))
+            .mapInArrow(run, "key long, items array<long>, sketch array<long>").withColumn("src", F.spark_partition_id()))
 
 
 def single(sets: DataFrame) -> DataFrame:
-    """(key, items), each key once: copies of a text lie in many tasks, and each of them would be
+    """(key, n, items, sketch), each key once: copies of a text lie in many tasks, and each of them would be
     sent wherever its set is needed.  Only the keys that occur twice are looked up; sets stay where
     they are as long as those keys are few enough to broadcast."""
     twice = written(sets.groupBy("key").agg(F.count("*").alias("n"), F.min("src").alias("keep")).where("n > 1")
                     .select("key", "keep"), "twice")
     return (sets.join(if_small(twice, twice.count(), BROADCAST_KEYS), "key", "left")
-            .where("keep is null or keep = src").select("key", "items"))
+            .where("keep is null or keep = src").select("key", F.size("items").alias("n"), "items", "sketch"))
+
+
+def plausible(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """The pairs (a, b) that their sizes and sketches do not rule out; no link is lost.  A sketch has
+    about a fortieth of its set's bytes, so pairs far from a link cost little."""
+    marks = sets.select("key", "n", "sketch")
+    met = (pairs.join(marks.withColumnsRenamed({"key": "a", "n": "na", "sketch": "sa"}), "a")
+           .join(marks.withColumnsRenamed({"key": "b", "n": "nb", "sketch": "sb"}), "b")
+           .where(q * F.least("na", "nb") >= p * F.greatest("na", "nb")).select("a", "b", F.expr("na + nb").alias("s"), "sa", "sb"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            total, ends, flat = batch.column(2).to_numpy(), [], []
+            for c in (batch.column(3), batch.column(4)):
+                ends.append(c.offsets.to_numpy())
+                flat.append(c.values.to_numpy())
+            keep = np.zeros(batch.num_rows, bool)
+            for i in range(batch.num_rows):
+                x, y = (f[e[i]:e[i + 1]] for e, f in zip(ends, flat))
+                words = min(len(x), len(y))
+                far = int(np.bitwise_count((folded(x, words) ^ folded(y, words)).view(np.uint64)).sum())
+                keep[i] = far * (p + q) <= int(total[i]) * (q - p)
+            if keep.any():
+                yield batch.select([0, 1]).filter(pa.array(keep))
+    return met.mapInArrow(run, "a long, b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
@@ -279,6 +322,7 @@ def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     that holds any of its b (not once per pair), so a lead's set is sent to its list at most once
     per partition.  A task holds the sets of its partition."""
     n = partitions(pairs.sparkSession)
+    pairs, sets = written(plausible(pairs, sets, p, q), "plausible"), sets.select("key", "items")
     place = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(n)).cast("int")
     none = lambda t: F.lit(None).cast(t)
     placed = pairs.select(place("b").alias("p"), "a", "b")
@@ -365,7 +409,7 @@ def by_difference(dense: DataFrame, sets: DataFrame, p: int, q: int) -> DataFram
     their rarest elements only (prefix filter), and near copies that are no links are not paired."""
     some = dense.select(F.col("lead").alias("key")).union(dense.select("key")).distinct()
     some = written(some, "held")
-    sets = written(sets.join(if_small(some, some.count(), BROADCAST_KEYS), "key", "left_semi"), "some")
+    sets = written(sets.select("key", "items").join(if_small(some, some.count(), BROADCAST_KEYS), "key", "left_semi"), "some")
     d = (dense.join(sets.withColumnsRenamed({"key": "lead", "items": "x"}), "lead")
          .join(sets.withColumnRenamed("items", "y"), "key")
          .select("lead", "key", "comp", F.size("x").alias("lead_size"), F.size("y").alias("size"),
@@ -390,14 +434,15 @@ def by_difference(dense: DataFrame, sets: DataFrame, p: int, q: int) -> DataFram
 
 
 def indexed(docs: DataFrame, ids: DataFrame, k: int, percent: int, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(sig, key, probe) of the signatures that several classes hold, and (key, items) of those
+    """(sig, key, probe) of the signatures that several classes hold, and (key, n, items, sketch) of those
     classes; ``ids``: the keyed documents."""
-    rows = written(shared(signed(docs, k, Bands(percent, 100), text_col)), "signatures")
+    bands = Bands(percent, 100)
+    rows = written(shared(signed(docs, k, bands, text_col)), "signatures")
     released(docs.sparkSession)
     # sets of the classes that share a signature, from one text of each class
     texts = (ids.groupBy("_key").agg(F.min("_text").alias("h"))
              .join(rows.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi").select("h"))
-    sets = written(sets_of(docs, k, text_col, hash_filter(texts)), "sets")
+    sets = written(sets_of(docs, k, bands, text_col, hash_filter(texts)), "sets")
     return rows, written(single(sets), "sets")
 
 
