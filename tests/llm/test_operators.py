@@ -428,3 +428,21 @@ def test_empty_tables(spark, docs):
     assert mixing.mix(none).count() == 0 and secrets.report(none, secrets.scan_new(none)).count() == 0
     assert decontam.report(none, bench).count() == 0
     assert decontam.report(docs, bench.limit(0)).where("contaminated").count() == 0
+
+
+def test_sketches_never_rule_out_a_link():
+    import numpy as np
+
+    from barwright.llm.jaccard import Bands, folded, sketch
+    rng = np.random.default_rng(3)
+    for percent in (80, 90):
+        bands = Bands(percent, 100)
+        for n in (1, 4, 70, 900):
+            for _ in range(50):
+                x = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+                gone, more = (int(v) for v in rng.integers(0, n // 4 + 1, 2))
+                y = np.unique(np.concatenate((x[gone:], rng.integers(0, 2**64, more, dtype=np.uint64))))
+                u, v = sketch(x, bands), sketch(y, bands)
+                words = min(len(u), len(v))
+                bins = np.bitwise_count((folded(u, words) ^ folded(v, words)).view(np.uint64)).sum()
+                assert bins <= len(np.setxor1d(x, y))
