@@ -4,8 +4,10 @@ All rolling two-word grams of every text are hashed and joined to the positions
 gram in the templates.  A match at word p of the document and word q of a template votes for
 the diagonal p - q.  Votes are aggregated by diagonal; a diagonal with every gram of a phrase is
 an exact occurrence.  For longer templates neighbouring diagonals are merged (a few inserted or
-missing words shift the diagonal), and a merged span is verified: it must hold enough distinct
-template grams within a bounded length.
+missing words shift the diagonal) and the matches of a merged run are verified from every start: a
+span holds enough distinct template grams within a bounded length.  Repeats of single grams may
+make a run as long as the text; they hide no span, as the bound is the span's and not the run's.
+Overlapping shortest spans are joined.
 
 The template table is a constant of this module, so broadcasting it is bounded.  A gram is
 moved only if its hash is one of the template's; the words themselves are compared in the join.
@@ -72,7 +74,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passag
             .join(F.broadcast(table), ["w1", "w2"])
             .select("_row", "t", "label", "exact", "grams", "q", "p", (F.col("p") - F.col("q")).alias("d")))
     votes = hits.groupBy("_row", "t", "label", "exact", "grams", "d").agg(
-        F.count("*").alias("n"), F.collect_set("q").alias("qs"), F.min("p").alias("p0"), F.max("p").alias("p1"))
+        F.count("*").alias("n"), F.collect_list(F.struct("p", "q")).alias("at"))
     # exact phrases: every gram on one diagonal
     exact = votes.where(F.col("exact") & (F.col("n") == F.col("grams"))).select(
         "_row", "label", "exact", F.col("d").cast("long").alias("first"),
@@ -81,14 +83,36 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", passag
     by = Window.partitionBy("_row", "t").orderBy("d")
     step = F.when(F.col("d") - F.lag("d").over(by) <= GAP, 0).otherwise(1)
     runs = (votes.where(~F.col("exact")).withColumn("run", F.sum(step).over(by))
-            .groupBy("_row", "t", "label", "exact", "grams", "run")
-            .agg(F.size(F.array_distinct(F.flatten(F.collect_list("qs")))).alias("got"),
-                 F.min("p0").cast("long").alias("first"), F.max(F.col("p1") + K - 1).cast("long").alias("last")))
-    spans = runs.withColumn("score", F.col("got") / F.col("grams")).where(
-        (F.col("score") >= COVER) & (F.col("last") - F.col("first") + 1 <= 2 * (F.col("grams") + K)))
+            .select("_row", "t", "label", "exact", "grams", "run", F.explode("at").alias("at"))
+            .select("_row", "t", "label", "exact", "grams", "run", "at.*"))
+    spans = shortest(runs, max((len(text.split()) for text, _ in passages), default=K))
     return base, exact.unionByName(spans.select(*exact.columns))
 
 
+def shortest(runs: DataFrame, longest: int) -> DataFrame:
+    """Spans of the matches (p, q) of every run: from each match, those of the next
+    2 * (grams + K) words; with enough distinct grams, the span ends where the share is reached.
+    Joined spans start with the first and end with the last of their shortest ones; the score is
+    the best share of a start.  ``longest``: words of the longest passage, which bounds the frame."""
+    group = ("_row", "t", "run")
+    reach = 2 * (F.col("grams") + K) - K
+    ahead = Window.partitionBy(*group).orderBy("p").rangeBetween(0, 2 * (longest + 1) - K)
+    need = F.ceil(F.col("grams") * COVER - 1e-9).cast("int")
+    near = F.filter(F.collect_list(F.struct("p", "q")).over(ahead), lambda m: m["p"] <= F.col("p") + reach)
+    starts = (runs.withColumn("w", F.array_sort(near)).withColumn("qs", F.array_distinct(F.col("w.q")))
+              .withColumn("got", F.size("qs")).where(F.col("got") >= need)
+              .withColumn("e", F.get(F.filter("w", lambda m: m["q"] == F.get("qs", need - 1)), F.lit(0))["p"])
+              .drop("w", "qs"))
+    by = Window.partitionBy(*group).orderBy("p", "q")
+    # no match after the start of a shortest span reaches the share at the same place
+    least = F.coalesce(F.lead("e").over(by) > F.col("e"), F.lit(True))
+    fresh = F.when(F.col("p") <= F.lag("e").over(by) + K - 1, 0).otherwise(1)
+    return (starts.withColumn("least", least).withColumn("span", F.sum(fresh).over(by))
+            .groupBy(*group, "label", "exact", "grams", "span")
+            .agg(F.min(F.when(F.col("least"), F.col("p"))).cast("long").alias("first"),
+                 (F.max("e") + K - 1).cast("long").alias("last"), (F.max("got") / F.col("grams")).alias("score")))
+
+
 def labelled(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, n_words, n_base, first_word, last_word, base_labels, labels, score."""
     base, spans = scan(docs, id_col, text_col)

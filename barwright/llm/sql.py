@@ -71,14 +71,17 @@ pos AS (SELECT doc_id, p, w[p + 1] AS w1, w[p + 2] AS w2 FROM (SELECT doc_id, w,
 base AS (SELECT d.doc_id, t.label, d.p AS place FROM (SELECT doc_id, w, unnest(range(len(w))) AS p FROM docs) d
   JOIN (SELECT * FROM template WHERE exact) t ON d.w[d.p + 1] = t.w[1] AND d.w[d.p + 1:d.p + len(t.w)] = t.w),
 hit AS (SELECT doc_id, label, grams, q, p, p - q AS d FROM pos JOIN gram USING (w1, w2)),
-diag AS (SELECT doc_id, label, grams, d, list(DISTINCT q) AS qs, min(p) AS p0, max(p) AS p1 FROM hit GROUP BY ALL),
+diag AS (SELECT DISTINCT doc_id, label, d FROM hit),
 run AS (SELECT *, sum(step) OVER (PARTITION BY doc_id, label ORDER BY d) AS run FROM (
   SELECT *, CASE WHEN d - lag(d) OVER (PARTITION BY doc_id, label ORDER BY d) <= {licenses.GAP} THEN 0 ELSE 1 END AS step
   FROM diag)),
-span AS (SELECT doc_id, label, grams, len(list_distinct(flatten(list(qs)))) / grams AS score,
-  max(p1) + {k - 1} - min(p0) + 1 AS n FROM run GROUP BY doc_id, label, grams, run),
+-- grams in the words after every match, twice the passage's length
+part AS (SELECT hit.*, run FROM hit JOIN run USING (doc_id, label, d)),
+span AS (SELECT x.doc_id, x.label, count(DISTINCT y.q) / x.grams AS score FROM part x JOIN part y
+  ON x.doc_id = y.doc_id AND x.label = y.label AND x.run = y.run AND y.p BETWEEN x.p AND x.p + 2 * (x.grams + {k}) - {k}
+  GROUP BY x.doc_id, x.label, x.run, x.grams, x.p),
 found AS (SELECT doc_id, label, place, 1.0::DOUBLE AS score FROM base
-  UNION ALL SELECT doc_id, label, NULL, score FROM span WHERE score >= {licenses.COVER} AND n <= 2 * (grams + {k}))
+  UNION ALL SELECT doc_id, label, NULL, score FROM span WHERE score >= {licenses.COVER})
 SELECT d.doc_id, CAST(len(any_value(d.w)) AS BIGINT) AS n_words, count(place) AS n_base,
   CAST(min(place) AS BIGINT) AS first_word, CAST(max(place) AS BIGINT) AS last_word,
   coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (place IS NOT NULL), '') AS base_labels,
@@ -180,10 +183,24 @@ found AS (SELECT doc_id, item, i, n FROM place JOIN win USING (n, win)),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
   SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM found)) GROUP BY doc_id),
 listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
-  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id),
+-- proximity: the second rarest word of a window within three words of its place, counted from
+-- the rarest one, where the window itself does not stand
+tok AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM docs),
+rare AS (SELECT win, n, word, o, row_number() OVER (PARTITION BY win ORDER BY c, word, o) AS r, c FROM (
+  SELECT win, n, word, o, coalesce(c, 0) AS c FROM (
+    SELECT win, n, unnest(string_split(win, ' ')) AS word, unnest(range(n)) AS o FROM (SELECT DISTINCT win, n FROM win))
+  LEFT JOIN (SELECT word, count(*) AS c FROM tok GROUP BY word) USING (word))),
+lead AS (SELECT x.win, x.n, x.word AS w1, x.o AS o1, y.word AS w2, y.o AS o2 FROM rare x JOIN rare y USING (win)
+  WHERE x.r = 1 AND y.r = 2 AND x.c > 0),
+near AS (SELECT doc_id, count(*) AS n_near FROM (
+  SELECT DISTINCT x.doc_id, win, x.p - o1 AS s, n FROM tok x JOIN lead ON x.word = w1
+    JOIN tok y ON y.doc_id = x.doc_id AND y.word = w2 AND abs((y.p - o2) - (x.p - o1)) <= 3) c
+  WHERE NOT EXISTS (SELECT 1 FROM place l WHERE l.doc_id = c.doc_id AND l.n = c.n AND l.i = c.s + 1 AND l.win = c.win)
+  GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
-  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id)"""
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
+FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN near USING (doc_id)"""
 
 
 def divergence_sql(least_docs: int = LEAST_DOCS, top: int = TOP) -> str:
