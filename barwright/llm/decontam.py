@@ -8,10 +8,11 @@ stored.  Steps:
 2. in each window take its rarest and second rarest place as first and second term;
 3. store the postings of first and second terms (a written table), first-term postings with
    the neighbourhood that a window can reach;
-4. offset-adjusted lists of the first terms give candidate alignments; the second terms' lists,
-   adjusted alike, are intersected with them; the rest of the window is compared in the stored
-   neighbourhood, so lists of frequent words never travel.  All of it equal: phrase match;
-   second term within ``slop`` of its place without an equal window: proximity match.
+4. offset-adjusted lists of the first terms give alignments; those stay candidates whose stored
+   neighbourhood holds the whole window, or the second term within ``slop`` of its place;
+5. the candidates' places of the second term are intersected with its list, so neither lists of
+   frequent words nor alignments without a chance ever travel.  All of the window equal: phrase
+   match; only the second term within ``slop`` of its place: proximity match.
 
 Defined cases: null or empty texts have no words and no hits; items without words give no
 window; repeated items and rows are kept (an item id counts once); an item without id is listed
@@ -19,17 +20,23 @@ as 'null'; an empty corpus or benchmark gives no hits."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barwright.llm.text import alnum_words, if_small, written
 from barwright.session import ensure_checkpoint_dir
 
 WINDOW = 10
-#: most benchmark words or window leads whose table is broadcast (about 100 bytes each)
+#: most benchmark words, window leads or candidates whose table is broadcast, at 100 bytes each
 BROADCAST_ROWS = 500_000
 
 
+def weight(df: DataFrame, text: Column) -> int:
+    """Rows of ``df``, or its bytes of ``text`` in hundreds if these are more."""
+    n, size = df.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()
+    return max(n, size // 100)
+
+
 def windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text", size: int = WINDOW) -> DataFrame:
     """item (string), win (distinct word list), len.  One row per distinct window of an item."""
     w = benchmark.select(F.coalesce(F.col(id_col).cast("string"), F.lit("null")).alias("item"),
@@ -60,23 +67,25 @@ def _words(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def corpus_counts(words: DataFrame, wins: DataFrame) -> tuple[DataFrame, int]:
     """(word, n over the corpus) of the benchmark's words, and how many such words there are."""
     vocab = wins.select(F.explode("win").alias("word")).distinct().checkpoint()
-    size = vocab.count()
+    size = weight(vocab, F.col("word"))
     return (words.select(F.explode("_w").alias("word")).join(if_small(vocab, size, BROADCAST_ROWS), "word")
             .groupBy("word").agg(F.count("*").alias("n"))), size
 
 
-def index(words: DataFrame, lead: DataFrame, n_leads: int, id_col: str, size: int = WINDOW) -> DataFrame:
-    """Positional postings of all first and second terms: term, document, position, and the
-    words within a window's reach on both sides (``left`` of them before the position)."""
-    terms = lead.groupBy("w1").agg(F.lit(True).alias("first")).select(F.col("w1").alias("word"), "first").unionByName(
-        lead.where(F.col("w2").isNotNull()).select(F.col("w2").alias("word"), F.lit(False).alias("first")).distinct())
-    terms = terms.groupBy("word").agg(F.max("first").alias("first"))
-    near = F.when(F.col("first"), F.slice("_w", F.greatest(F.col("pos") - size + 2, F.lit(1)),
-                                          F.least(F.col("pos"), F.lit(size - 1)) + size))
+def index(words: DataFrame, lead: DataFrame, n_leads: int, id_col: str, reach: int = WINDOW - 1) -> DataFrame:
+    """Positional postings of all first and second terms: term, document, position, whether it is
+    a first or a second term, and for first ones the words within ``reach`` on both sides (``left``
+    of them before the position)."""
+    term = lambda c: F.explode(F.array(F.struct(F.col("w1").alias("word"), F.lit(True).alias("first")),
+                                       F.struct(F.col("w2").alias("word"), F.lit(False).alias("first")))).alias(c)
+    terms = (lead.select(term("t")).select("t.*").where(F.col("word").isNotNull())
+             .groupBy("word").agg(F.max("first").alias("first"), F.max(~F.col("first")).alias("second")))
+    near = F.when(F.col("first"), F.slice("_w", F.greatest(F.col("pos") - reach + 1, F.lit(1)),
+                                          F.least(F.col("pos"), F.lit(reach)) + reach + 1))
     return written(words.select(id_col, "_k", "_w", F.posexplode("_w").alias("pos", "word"))
                    .join(if_small(terms, 2 * n_leads, BROADCAST_ROWS), "word")
-                   .select("word", id_col, "_k", "pos", "first", near.alias("near"),
-                           F.least(F.col("pos"), F.lit(size - 1)).alias("left")), "postings")
+                   .select("word", id_col, "_k", "pos", "first", "second", near.alias("near"),
+                           F.least(F.col("pos"), F.lit(reach)).alias("left")), "postings")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -87,37 +96,35 @@ def matches(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_
     wins = windows(benchmark, item_col, item_text, size)
     counts, _ = corpus_counts(words, wins)
     lead = leads(wins, counts).where(F.col("n1") > 0).checkpoint()
-    n = lead.count()
-    posts = index(words, lead, n, id_col, size)
-    hint = lambda df: if_small(df, n, BROADCAST_ROWS)
+    n = weight(lead, F.array_join("win", " "))
+    off = slop or 0
+    posts = index(words, lead, n, id_col, size - 1 + off)
     ids = [id_col, "_k"]
-    # offset-adjusted list of the first terms
-    one = (posts.where("first").join(hint(lead.withColumnRenamed("w1", "word")), "word")
+    # offset-adjusted list of the first terms, and what their neighbourhood says of the window
+    gap = F.col("left") + F.col("o2") - F.col("o1")
+    low = F.greatest(gap - off, F.lit(0))
+    one = (posts.where("first").join(if_small(lead.withColumnRenamed("w1", "word"), n, BROADCAST_ROWS), "word")
            .withColumn("start", F.col("pos") - F.col("o1"))
            .withColumn("same", F.slice("near", F.greatest(F.col("left") - F.col("o1") + 1, F.lit(1)), F.col("len"))
                        .eqNullSafe(F.col("win")) & (F.col("left") >= F.col("o1")))
-           .select(*ids, "wid", "start", "len", "same", "w2"))
-    # ... of the second terms, in blocks of the slop, so that near starts share a block or neighbours do
-    two = (posts.join(hint(lead.where(F.col("w2").isNotNull()).select("wid", F.col("w2").alias("word"), "o2")), "word")
-           .select(*ids, "wid", (F.col("pos") - F.col("o2")).alias("start2")))
-    if slop is None:  # equal starts only
-        key = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), "_k", "wid", "start")
-        lone = one.where(F.col("same") & F.col("w2").isNull())
-        pair = one.where(F.col("same") & F.col("w2").isNotNull()).withColumn("_at", key).join(
-            two.withColumnRenamed("start2", "start").select(key.alias("_at")), "_at", "left_semi").drop("_at")
-        return lone.unionByName(pair).select(*ids, "wid", "start", "len", F.lit("phrase").alias("kind")).distinct()
-    block = slop + 1
-    near = (two.withColumn("blk", F.explode(F.transform(
-        F.array(F.lit(-1), F.lit(0), F.lit(1)), lambda x: F.floor(F.col("start2") / block) + x)))
-        .groupBy(*ids, "wid", "blk").agg(F.collect_set("start2").alias("near2")))
-    left, right = one.alias("l"), near.alias("r")
-    both = left.join(right, (F.col(f"l.{id_col}").eqNullSafe(F.col(f"r.{id_col}"))) & (F.col("l._k") == F.col("r._k"))
-                     & (F.col("l.wid") == F.col("r.wid")) & (F.floor(F.col("l.start") / block) == F.col("r.blk")), "left")
-    second = F.coalesce(F.exists("near2", lambda s: F.abs(s - F.col("start")) <= slop), F.lit(False))
-    exact2 = F.col("w2").isNull() | F.coalesce(F.array_contains("near2", F.col("start")), F.lit(False))
-    kind = F.when(exact2 & F.col("same"), "phrase").when(second, "proximity")
-    return (both.select("l.*", kind.alias("kind")).where(F.col("kind").isNotNull())
-            .select(*ids, "wid", "start", "len", "kind").distinct())
+           .withColumn("close", F.coalesce(F.array_contains(
+               F.slice("near", low + 1, F.greatest(gap + off - low + 1, F.lit(0))), F.col("w2")), F.lit(False))))
+    held = one.where("same" if slop is None else "same or close").select(
+        *ids, "wid", "start", "len", "same", F.xxhash64("w2").alias("_w2"), (F.col("start") + F.col("o2")).alias("_at"),
+        F.col("w2").isNull().alias("lone")).distinct().checkpoint()
+    # second terms: their places around the candidates are met with the list
+    shifts = F.sequence(F.lit(-off), F.lit(off))
+    asked = held.where(~F.col("lone")).select(
+        F.col(id_col).alias("_id"), F.col("_k").alias("_k2"), "wid", "start", "len", "same", "_w2", "_at",
+        F.explode(shifts).alias("_shift")).withColumn("_at", F.col("_at") + F.col("_shift"))
+    met = posts.where("second").select(*ids, F.xxhash64("word").alias("_word"), "pos").join(
+        if_small(asked, asked.count(), BROADCAST_ROWS),
+        F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_k") == F.col("_k2")) & (F.col("_word") == F.col("_w2"))
+        & (F.col("pos") == F.col("_at")))
+    kind = F.when(F.col("same") & F.max(F.col("_shift") == 0), "phrase").otherwise("proximity")
+    both = met.groupBy(*ids, "wid", "start", "len", "same").agg(kind.alias("kind")).drop("same")
+    lone = held.where("lone and same").select(*ids, "wid", "start", "len", F.lit("phrase").alias("kind"))
+    return both.unionByName(lone)
 
 
 def report(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

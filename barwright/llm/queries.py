@@ -74,7 +74,7 @@ def op8_secrets(spark, sf_dir):
 
 
 def op9_decontam(spark, sf_dir):
-    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_k", "n_near")
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("_k")
 
 
 def op10_quality(spark, sf_dir):
