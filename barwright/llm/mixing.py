@@ -8,7 +8,8 @@ passes fill what the boundary document left open with documents small enough for
 thresholds of growing budgets are nested, nothing is sorted by hash, and a rerun decides alike.
 
 Defined cases: null text has size 0; null source is a source of its own (last); a source of
-size 0 has target 0 and its documents get 0 copies; fully repeated rows (same id, same text)
+size 0 has target 0 and its documents get 0 copies; a document of size 0 goes with the whole
+passes of its source only (0 to 3 copies), as it fills nothing; fully repeated rows (same id, same text)
 share one hash and one decision; an empty table gives an empty result."""
 
 from __future__ import annotations
@@ -131,7 +132,7 @@ def copies_of() -> Column:
     once = F.lit(False)
     for i in range(PASSES):
         once = once | ((F.col("h") <= F.col(f"cut{i}")) & (F.col("size") <= F.col(f"cap{i}")))
-    return F.col("copies") + once.cast("long")
+    return F.col("copies") + (once & (F.col("size") > 0)).cast("long")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
