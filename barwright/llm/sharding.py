@@ -77,10 +77,11 @@ def permuted(c: Column, n: int, seed: int) -> Column:
 
 
 def numbered(df: DataFrame, order_by: list[str]) -> tuple[DataFrame, int]:
-    """``df`` with its global ``row_number`` (from 0, by ``order_by``), and the number of rows."""
+    """The rows of ``df`` as ``_row`` with their global ``row_number`` (from 0, by ``order_by``),
+    and how many there are.  Columns of ``df`` may have any names."""
     hashed = [c for c, t in df.dtypes if "map<" not in t]
-    keyed = df.withColumn("_tie", F.xxhash64(*hashed)).withColumn("_at", F.monotonically_increasing_id())
-    keys = [*(F.col(c).asc_nulls_first() for c in order_by), F.col("_tie"), F.col("_at")]
+    keyed = df.select(F.struct("*").alias("_row"), F.xxhash64(*hashed).alias("_tie"), F.monotonically_increasing_id().alias("_at"))
+    keys = [*(F.col("_row")[c].asc_nulls_first() for c in order_by), F.col("_tie"), F.col("_at")]
     # the id of a row is its partition (upper bits) and its place in the sorted partition
     placed = (keyed.repartitionByRange(partitions(df.sparkSession), *keys).sortWithinPartitions(*keys)
               .withColumn("_place", F.monotonically_increasing_id()).drop("_tie", "_at"))
@@ -97,8 +98,7 @@ def numbered(df: DataFrame, order_by: list[str]) -> tuple[DataFrame, int]:
 
 def shard(df: DataFrame, n_shards: int = 24, seed: int = 1, order_by: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``df`` with ``shard`` int and ``slot`` long; columns of these names are replaced."""
-    rows, n = numbered(df.drop("shard", "slot", "row_number"), list(order_by))
-    p = permuted(F.col("row_number"), n, seed)
-    return (rows.withColumn("_p", p)
-            .withColumn("shard", (F.col("_p") % n_shards).cast("int"))
-            .withColumn("slot", F.expr(f"_p div {int(n_shards)}").cast("long")).drop("_p", "row_number"))
+    rows, n = numbered(df.drop("shard", "slot"), list(order_by))
+    return rows.withColumn("_p", permuted(F.col("row_number"), n, seed)).select(
+        "_row.*", (F.col("_p") % n_shards).cast("int").alias("shard"),
+        F.expr(f"_p div {int(n_shards)}").cast("long").alias("slot"))
