@@ -31,15 +31,25 @@ def text_hash() -> Column:
     return F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
 
 
+def wrapped(docs: DataFrame) -> DataFrame:
+    """Whole rows as ``_row`` beside their key, so that further columns may have any names."""
+    plain = [c for c, t in docs.dtypes if "map<" not in t]
+    return docs.select(F.struct("*").alias("_row"), F.col("doc_id").alias("_held"), text_hash().alias("_key"),
+                       F.xxhash64(*plain).alias("_order"))
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    columns = docs.columns
     model = quality.trained(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.scored(docs, model).where(F.col("p_good") >= 0.5).select(*columns)
+    # numbered names: further columns may be named like the scores
+    names = docs.columns
+    plain = docs.toDF(*(f"_c{i}" for i in range(len(names))))
+    kept = quality.scored(plain, model, text_col=f"_c{names.index('text')}").where(F.col("p_good") >= 0.5)
+    return kept.select(*(F.col(f"_c{i}").alias(c) for i, c in enumerate(names)))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns = docs.columns
-    rows = jaccard.components_of(docs.withColumn("_th", text_hash()), k=5, percent=80, carry=("_th",))
+    rows = jaccard.components_of(docs.select("doc_id", "text", text_hash().alias("_th")), k=5, percent=80, carry=("_th",))
     rows = rows.where(F.col("component_key").isNotNull())
     # one row of a group stays: smallest id, then smallest text hash
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_th")).alias("m")
@@ -48,24 +58,22 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     kept = kept.alias("l").join(copies.alias("r"), F.col("l.doc_id").eqNullSafe(F.col("r.doc_id"))
                                 & (F.col("l._th") == F.col("r._th"))).select(
         F.col("l.doc_id").alias("_id"), F.col("l._th").alias("_th"), "n").checkpoint()
-    held = docs.withColumn("_key", text_hash())
-    same = held["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th"))
-    single = held.join(kept.where("n = 1"), same).select(*columns)
+    held = wrapped(docs)
+    same = F.col("_held").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_th"))
+    single = held.join(kept.where("n = 1"), same).select("_row.*")
     # fully repeated rows: one of them stays
-    order = Window.partitionBy("_id", "_key").orderBy(F.xxhash64(*columns))
+    order = Window.partitionBy("_id", "_key").orderBy("_order")
     several = (held.join(kept.where("n > 1"), same).withColumn("_rank", F.row_number().over(order))
-               .where("_rank = 1").select(*columns))
-    blank = docs.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"\A[\x20\x09-\x0D]*\z"))
+               .where("_rank = 1").select("_row.*"))
+    blank = docs.where(F.coalesce(F.col("text"), F.lit("")).rlike(r"\A[\x20\x09-\x0D]*\z")).select(*columns)
     return single.unionByName(several).unionByName(blank)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    columns = docs.columns
     found = decontam.matches(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), slop=None)
     hit = found.select("doc_id", "_k").distinct()
-    held = docs.withColumn("_key", text_hash())
-    return held.join(hit.withColumnRenamed("doc_id", "_hit"), held["doc_id"].eqNullSafe(F.col("_hit"))
-                     & (F.col("_key") == F.col("_k")), "left_anti").select(*columns)
+    return wrapped(docs).join(hit.withColumnRenamed("doc_id", "_hit"), F.col("_held").eqNullSafe(F.col("_hit"))
+                              & (F.col("_key") == F.col("_k")), "left_anti").select("_row.*")
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
