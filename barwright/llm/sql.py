@@ -179,25 +179,25 @@ win AS (SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + 9]
   FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)),
 place AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS win FROM (
   SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM win))),
-found AS (SELECT doc_id, item, i, n FROM place JOIN win USING (n, win)),
+found AS MATERIALIZED (SELECT doc_id, item, i, n, win FROM place JOIN win USING (n, win)),
 hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (
   SELECT doc_id, unnest(range(i, i + n)) AS p FROM (SELECT DISTINCT doc_id, i, n FROM found)) GROUP BY doc_id),
 listed AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
   FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id),
 -- proximity: the second rarest word of a window within three words of its place, counted from
 -- the rarest one, where the window itself does not stand
-tok AS (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM docs),
+tok AS MATERIALIZED (SELECT doc_id, unnest(w) AS word, unnest(range(len(w))) AS p FROM docs),
 rare AS (SELECT win, n, word, o, row_number() OVER (PARTITION BY win ORDER BY c, word, o) AS r, c FROM (
   SELECT win, n, word, o, coalesce(c, 0) AS c FROM (
     SELECT win, n, unnest(string_split(win, ' ')) AS word, unnest(range(n)) AS o FROM (SELECT DISTINCT win, n FROM win))
   LEFT JOIN (SELECT word, count(*) AS c FROM tok GROUP BY word) USING (word))),
-lead AS (SELECT x.win, x.n, x.word AS w1, x.o AS o1, y.word AS w2, y.o AS o2 FROM rare x JOIN rare y USING (win)
+lead AS MATERIALIZED (SELECT x.win, x.n, x.word AS w1, x.o AS o1, y.word AS w2, y.o AS o2 FROM rare x JOIN rare y USING (win)
   WHERE x.r = 1 AND y.r = 2 AND x.c > 0),
-near AS (SELECT doc_id, count(*) AS n_near FROM (
-  SELECT DISTINCT x.doc_id, win, x.p - o1 AS s, n FROM tok x JOIN lead ON x.word = w1
-    JOIN tok y ON y.doc_id = x.doc_id AND y.word = w2 AND abs((y.p - o2) - (x.p - o1)) <= 3) c
-  WHERE NOT EXISTS (SELECT 1 FROM place l WHERE l.doc_id = c.doc_id AND l.n = c.n AND l.i = c.s + 1 AND l.win = c.win)
-  GROUP BY doc_id)
+cand AS MATERIALIZED (SELECT x.doc_id, win, x.p - o1 AS s, w2, x.p - o1 + o2 + unnest(range(-3, 4)) AS p
+  FROM tok x JOIN lead ON x.word = w1),
+close AS (SELECT DISTINCT doc_id, win, s FROM cand JOIN (SELECT doc_id, word AS w2, p FROM tok) y USING (doc_id, w2, p)),
+near AS (SELECT doc_id, count(*) AS n_near FROM close c ANTI JOIN found l
+  ON l.doc_id = c.doc_id AND l.i = c.s + 1 AND l.win = c.win GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near, 0) AS n_near
 FROM docs LEFT JOIN hit USING (doc_id) LEFT JOIN listed USING (doc_id) LEFT JOIN near USING (doc_id)"""
