@@ -319,3 +319,11 @@ def test_pipeline_stages_of_an_empty_table(spark, sf):
 def test_pipeline_runs_its_stages(spark, sf):
     out = p.run(spark, sf)
     assert out.columns[-2:] == ["shard", "slot"] and 0 < out.count() < 600
+
+
+def test_empty_tables_of_pages_and_tokens(spark, tmp_path):
+    from barwright.llm import htmltext, tokens
+    (tmp_path / "v").write_bytes(b"YQ== 1\nYg== 2")
+    pages = spark.createDataFrame([], "page_id long, url string, html string, text string, n_chars int")
+    assert htmltext.extracted(pages).count() == 0
+    assert tokens.counted(spark.createDataFrame([], "doc_id long, text string, n_words int"), str(tmp_path / "v")).count() == 0
