@@ -99,11 +99,34 @@ def test_results(logs: DataFrame, text: str = "value", order: str = "order", mod
                  F.max_by("_m", "_o").alias("last_run")).withColumn("total_tests", F.col("passed") + F.col("failed") + F.col("skipped"))
 
 
+#: ends a log in a file that holds many (ASCII record separator), and the line that names its run
+LOG_END = "\x1e"
+LOG_HEAD = r"\Arun ([^\n]*)\n"
+
+
+def write_logs(logs: DataFrame, root: str, text: str = "value", run: str = "run") -> None:
+    """Whole log texts, many to a file: each begins with a line that names its run and ends in
+    ``LOG_END``.  The files are as many as the partitions of ``logs``, not as the runs, so neither
+    writing nor listing grows with the number of logs.  No text may hold ``LOG_END``."""
+    head = F.concat(F.lit("run "), F.coalesce(F.col(run), F.lit("")), F.lit("\n"))
+    body = F.when(F.contains(F.col(text), F.lit(LOG_END)), F.raise_error(F.lit("a log holds its own end mark"))).otherwise(F.col(text))
+    logs.select(F.concat(head, F.coalesce(body, F.lit(""))).alias("value")).write.option("lineSep", LOG_END).text(root)
+
+
+def read_logs(spark: SparkSession, root: str, pattern: str = "*.txt") -> DataFrame:
+    """Logs of ``write_logs``, one row each: value, path, modified, and ``order``, the run it names."""
+    logs = log_files(spark, root, pattern=pattern, end=LOG_END)
+    return logs.withColumn("order", F.regexp_extract("value", LOG_HEAD, 1)).withColumn("value", F.regexp_replace("value", LOG_HEAD, ""))
+
+
 def log_files(spark: SparkSession, root: str, as_of: str | None = None, hours: int = 24, pattern: str = "*.log",
-              whole: bool = False) -> DataFrame:
-    """Lines (or whole texts) of the log files under ``root`` with their path and time.  ``as_of``:
-    only files changed in the ``hours`` before it, chosen while listing, so others are not read."""
+              whole: bool = False, end: str | None = None) -> DataFrame:
+    """Lines (or whole texts, or the texts that ``end`` ends) of the log files under ``root`` with
+    their path and time.  ``as_of``: only files changed in the ``hours`` before it, chosen while
+    listing, so others are not read."""
     r = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", pattern)
+    if end is not None:
+        r = r.option("lineSep", end)
     if as_of is not None:
         since = datetime.datetime.fromisoformat(as_of) - datetime.timedelta(hours=hours)
         r = r.option("timeZone", "UTC").option("modifiedAfter", since.strftime("%Y-%m-%dT%H:%M:%S"))

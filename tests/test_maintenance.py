@@ -12,6 +12,7 @@ from barwright.operators import history as h
 from barwright.operators import quality as qy
 from barwright.operators import runlog as rl
 from barwright.operators import runs as r
+from barwright.plans import q_maintenance
 from barwright.sources import io, parse
 
 D = dt.datetime
@@ -89,6 +90,22 @@ def test_sessions_in_logs(spark):
     assert (x.passed, x.total_tests, x.failed_tests, x.last_run) == (0, 0, [], None)
 
 
+def test_logs_share_files(spark, tmp_path, monkeypatch):
+    texts = [("1", "a\n\nrun 9\nb\n"), ("2", ""), (None, "c\r\nd"), ("3", None)]
+    parse.write_logs(spark.createDataFrame(texts, "run string, value string").coalesce(1), f"{tmp_path}/logs")
+    got = parse.read_logs(spark, f"{tmp_path}/logs").collect()
+    assert sorted((x.order, x.value) for x in got) == [("", "c\r\nd"), ("1", texts[0][1]), ("2", ""), ("3", "")]
+    with pytest.raises(Exception, match="end mark"):
+        parse.write_logs(spark.createDataFrame([("1", "a\x1eb")], "run string, value string"), f"{tmp_path}/bad")
+    # the files of the query do not grow with the suppliers
+    spark.range(200).selectExpr("id + 1 AS l_suppkey", "if(id % 2 = 0, 'R', 'N') AS l_returnflag").write.parquet(f"{tmp_path}/sf/lineitem.parquet")
+    monkeypatch.setattr(q_maintenance, "scratch_dir", lambda s, name: f"{tmp_path}/{name}")
+    x = q_maintenance.test_results_q(spark, f"{tmp_path}/sf").first()
+    assert (x.passed, x.failed, x.skipped, x.total_tests, x.failed_tests) == (1, 0, 0, 1, "test_a200,test_b[x]")
+    files = [f for _, _, names in os.walk(f"{tmp_path}/test-logs") for f in names if f.endswith(".txt")]
+    assert 1 <= len(files) <= 16
+
+
 def test_old_logs_are_not_read(spark, tmp_path):
     for name, hours in (("new.log", 1), ("old.log", 25), ("new.txt", 1)):
         (tmp_path / name).write_text("Error error\nfine\n")
