@@ -152,13 +152,14 @@ def stochastic(lay: Layout, n: int = 14, d: int = 3, k_out: str = "stoch_k",
     return [{k_out: k}, {d_out: rolling(F.avg, lay, k_out, d)}]
 
 
-def tail_flag(lay: Layout, n: int, keep: Column, out: str = "_out") -> Levels:
-    """``out`` = True for the last ``n`` kept rows of each ticker.  Kept rows after a row =
-    rest of its block (block total - running count) + ``_kafter`` (later blocks, side table)."""
+def tail_flag(lay: Layout, n: int, keep: Column, out: str = "_out", left: str = "_left") -> Levels:
+    """``out`` = True for the last ``n`` kept rows of each ticker; ``left`` = kept rows after a row =
+    rest of its block (block total ``_kin`` - running count) + ``_kafter`` (later blocks; both from
+    ``block_table``).  ``left`` never rises along a block, so the rows with ``left`` < n + m are its
+    end, and hold every row that a frame of m rows before a row of the last n can reach."""
     k = F.when(keep, F.lit(1)).otherwise(F.lit(0))
-    total = F.sum(k).over(Window.partitionBy(lay.key, "_blk"))
     running = F.sum(k).over(lay.window().rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return [{out: keep & ((total - running + F.col("_kafter")) < n)}]
+    return [{left: F.col("_kin") - running + F.col("_kafter")}, {out: keep & (F.col(left) < n)}]
 
 
 def kept_rows_per_ticker(df: DataFrame, lay: Layout, keep: str, out: str = "_kept_n") -> DataFrame:

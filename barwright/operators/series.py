@@ -26,6 +26,7 @@ Every table that is shuffled whole is keyed by ``(ticker, _blk)`` or
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -43,11 +44,15 @@ LF_FLOOR = -40.0      # ln(1 - w) floor; exp(-40) ~ 4e-18 is below double resolu
 
 @dataclass(frozen=True)
 class Layout:
-    """``reaching(n)`` sizes the halo (and the block with it) for a look-back of n rows."""
+    """``reaching(n)`` sizes the halo (and the block with it) for a look-back of n rows.
+
+    ``by_sub``: windows sort a block by (``_sb``, ``_i``).  That is the order of ``_i``, but one sort
+    then serves the frames of blocks and those of sub-blocks (rows need ``with_sub_blocks``)."""
     key: str = "ticker"
     order: str = "date"
     block_rows: int = BLOCK_ROWS
     halo_rows: int = HALO_ROWS
+    by_sub: bool = False
 
     @classmethod
     def reaching(cls, n: int, **kw) -> Layout:
@@ -55,7 +60,7 @@ class Layout:
 
     def window(self):
         """Window over one block (own rows and halo), ordered by position."""
-        return Window.partitionBy(self.key, "_blk").orderBy("_i")
+        return Window.partitionBy(self.key, "_blk").orderBy(*(["_sb"] if self.by_sub else []), "_i")
 
     def rows(self, n: int):
         if n - 1 > self.halo_rows:
@@ -192,13 +197,21 @@ def with_sub_blocks(df: DataFrame, layout: Layout) -> DataFrame:
                                        ).otherwise(F.lit(-1)).cast("long"))
 
 
+def ends_sub_block(layout: Layout) -> Column:
+    """The last own row of a sub-block."""
+    pos = F.col("_i") % F.lit(layout.block_rows) + 1
+    last = (pos % F.lit(SUB_ROWS) == 0) | (pos == layout.block_rows) | (F.col("_i") + 1 == F.col("_n"))
+    return (F.col("_h") == 0) & last
+
+
 SUPER_BLOCKS = 1024   # blocks per super-block in the two-level scans of the block table
 
 
 def block_table(layout_df: DataFrame, layout: Layout, value: str | None = None,
                 keep: Column | None = None) -> DataFrame:
     """Small per-(ticker, block) table: ``_pobs_blk`` = position of the last non-NULL ``value``
-    in all earlier blocks, ``_kafter`` = rows passing ``keep`` in all later blocks.
+    in all earlier blocks, ``_kin`` and ``_kafter`` = rows passing ``keep`` in the block itself and in
+    all later blocks.
 
     Both are scans over the blocks of a ticker, done in two levels so no window holds more
     than ``SUPER_BLOCKS`` rows or the super-blocks of one ticker (data / 1M rows)."""
@@ -230,7 +243,7 @@ def block_table(layout_df: DataFrame, layout: Layout, value: str | None = None,
         cols.append(F.greatest(in_sup, F.col("_sm_before")).alias("_pobs_blk"))
     if keep is not None:
         in_sup = F.coalesce(F.sum("_k").over(wb.rowsBetween(1, Window.unboundedFollowing)), F.lit(0))
-        cols.append((in_sup + F.col("_sk_after")).cast("long").alias("_kafter"))
+        cols += [F.col("_k").alias("_kin"), (in_sup + F.col("_sk_after")).cast("long").alias("_kafter")]
     return j.select(*cols)
 
 
@@ -290,7 +303,8 @@ def _fused_carries(summary: DataFrame, key: str, m: int, jf: int, js: int) -> Da
 
 def ema_family(df: DataFrame, layout: Layout, value: str, prev: Column, spans: dict[str, float],
                max_rows: int, signal: tuple[str, float, str, str] | None = None,
-               seeds: dict[str, str] | None = None) -> DataFrame:
+               seeds: dict[str, str] | None = None,
+               narrow: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Exponential means of ``value`` (``ewm(span, adjust=False).mean()``), one column per
     ``spans`` entry, and optionally ``signal = (name, span, fast, slow)``: the exponential
     mean of ``fast - slow``.
@@ -302,6 +316,9 @@ def ema_family(df: DataFrame, layout: Layout, value: str, prev: Column, spans: d
     ``seeds`` continue a series: per mean a column that holds, on the first observation of a
     ticker, the value that the mean has there (NULL: the observation itself); for the signal its
     value on any one row, from which it goes on.
+    ``narrow`` is given the rows with their local sums and returns those whose means are wanted
+    (further columns may be added); rows that end a sub-block (``ends_sub_block``) must stay, as
+    the carries come from them.  Only what it returns is kept and joined.
 
     One window pass computes, per 64-row sub-block, running sums with zero carry; the
     carry entering each sub-block is resolved on the per-sub-block summary table (64x
@@ -337,6 +354,8 @@ def ema_family(df: DataFrame, layout: Layout, value: str, prev: Column, spans: d
     df = df.withColumns(lvl_p).withColumns(lvl_l)
     if lvl_s:
         df = df.withColumns(lvl_s)
+    if narrow is not None:
+        df = narrow(df)
 
     # the local sums feed both the summary and the final columns: compute them once; the
     # cached scan keeps the (ticker, block) partitioning, so the carry join shuffles only carries

@@ -13,6 +13,8 @@ small carry tables joined back on (ticker, block).
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ from barwright.operators.bars import BASE_COLUMNS
 from barwright.session import keep as keep_df
 from barwright.session import materialize
 from barwright.operators.series import (
-    Layout, block_layout, block_table, ema_family, index_series, prev_observation,
+    Layout, block_layout, block_table, ema_family, ends_sub_block, index_series, prev_observation,
     with_sub_blocks)
 
 STANDARD_COLUMNS = ["sma_50", "sma_200", "ema_26", "macd", "macd_signal", "macd_histogram",
@@ -50,10 +52,12 @@ def layout_bars(bars: DataFrame, lay: Layout = Layout(), bucket_days: int = 64,
 
 def macd_family(df: DataFrame, lay: Layout, max_rows: int, fast: int = 12, slow: int = 26,
                 signal: int = 9, src: str = "close", fast_out: str = "_ema_f",
-                slow_out: str = "_ema_s", macd_out: str = "macd", signal_out: str = "macd_signal") -> DataFrame:
-    """ema fast / slow of ``src``, macd = fast - slow, signal = ema(signal) of macd."""
+                slow_out: str = "_ema_s", macd_out: str = "macd", signal_out: str = "macd_signal",
+                narrow=None) -> DataFrame:
+    """ema fast / slow of ``src``, macd = fast - slow, signal = ema(signal) of macd (``narrow``: see
+    ``ema_family``)."""
     df = ema_family(df, lay, src, F.col("_pobs"), {fast_out: fast, slow_out: slow}, max_rows,
-                    signal=(signal_out, signal, fast_out, slow_out))
+                    signal=(signal_out, signal, fast_out, slow_out), narrow=narrow)
     df = df.withColumn(macd_out, F.col(fast_out) - F.col(slow_out))
     return df.drop(*[c for c in (fast_out, slow_out) if c.startswith("_")])
 
@@ -74,23 +78,33 @@ def standard_features(bars: DataFrame, tail: int | None = 30, lay: Layout = Layo
     literal behaviour, which empties the output whenever min_rows > tail).
     """
     extras = [c for c in bars.columns if c not in BASE_COLUMNS + ["ticker"]]
-    df, max_rows = layout_bars(bars, lay, keep=_base_ok())
+    lay = replace(lay, by_sub=True)
+    laid, max_rows = layout_bars(bars, lay, keep=_base_ok())
     keep = (F.col("_h") == 0) & _base_ok()
-    out_flag = ind.tail_flag(lay, tail, keep) if tail is not None else [{"_out": keep}]
-    df = ind.apply_levels(
-        df,
-        [{"_pobs": prev_observation("close", lay)}],
-        ind.sma(lay, "close", 50, "sma_50"),
-        ind.sma(lay, "close", 200, "sma_200"),
-        ind.rsi(lay, "close", 14, "rsi_14"),
-        ind.bollinger(lay, "close", 20, 2.0, "bb"),
-        out_flag)
-    df = macd_family(df, lay, max_rows, slow_out="ema_26")
+    pobs = [{"_pobs": prev_observation("close", lay)}]
+    # indicators by the rows before a row that they look at, most first
+    rolling = [(200, [ind.sma(lay, "close", 200, "sma_200")]),
+               (50, [ind.sma(lay, "close", 50, "sma_50")]),
+               (20, [ind.rsi(lay, "close", 14, "rsi_14"), ind.bollinger(lay, "close", 20, 2.0, "bb")])]
+    if tail is None:
+        df = ind.apply_levels(laid, pobs, *[i for _, group in rolling for i in group], [{"_out": keep}])
+        df = macd_family(df, lay, max_rows, slow_out="ema_26")
+    else:
+        # the exponential means run over every row; the rolling frames only where the last rows
+        # reach, and only those rows and the ends of sub-blocks are kept
+        def narrow(d):
+            for reach, group in rolling:
+                d = d.filter((F.col("_left") < tail + reach) | ends_sub_block(lay))
+                d = ind.apply_levels(d, *group)
+            return d.filter(F.col("_out") | ends_sub_block(lay))
+
+        df = ind.apply_levels(laid, pobs, ind.tail_flag(lay, tail, keep))
+        df = macd_family(df, lay, max_rows, slow_out="ema_26", narrow=narrow)
     df = df.withColumn("macd_histogram", F.col("macd") - F.col("macd_signal"))
     out = df.filter(F.col("_out"))
     if min_rows is not None:
         if depth_on == "history":
-            counts = ind.kept_rows_per_ticker(df.withColumn("_k", keep), lay, "_k", "_depth")
+            counts = ind.kept_rows_per_ticker(laid.withColumn("_k", keep), lay, "_k", "_depth")
         else:
             counts = out.groupBy(lay.key).agg(F.count(F.lit(1)).alias("_depth"))
         out = out.join(counts.filter(F.col("_depth") >= min_rows).select(lay.key), lay.key, "left_semi")

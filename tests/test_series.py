@@ -117,6 +117,23 @@ def test_standard_tail_and_null_rows(spark):
     assert list(out["date"]) == list(kept["date"])
 
 
+def test_tail_keeps_only_what_it_needs(spark, monkeypatch):
+    from barwright.operators import series
+    # several blocks, a series that ends just behind a block's start, missing rows at the end
+    pdf = pd.concat([_walk(2500, 11, [2499, 2400, 2390]).assign(ticker="A"), _walk(1030, 12, [1025]).assign(ticker="B"),
+                     _walk(1024, 13).assign(ticker="C"), _walk(20, 14).assign(ticker="D")])
+    kept, keep = [], series.keep
+    monkeypatch.setattr(series, "keep", lambda df: kept.append(keep(df)) or kept[-1])
+    whole = standard_features(_frame(spark, pdf), tail=None).toPandas().sort_values(["ticker", "date"])
+    out = standard_features(_frame(spark, pdf), tail=30).toPandas().sort_values(["ticker", "date"])
+    want = whole.groupby("ticker").tail(30)
+    assert len(out) == 110 and list(out["date"]) == list(want["date"]) and list(out["ticker"]) == list(want["ticker"])
+    for c in out.columns[2:]:
+        assert np.allclose(out[c].to_numpy(dtype=float), want[c].to_numpy(dtype=float), rtol=1e-12, atol=1e-9, equal_nan=True), c
+    # the last 30 rows of each ticker and one row per 64, not every row
+    assert kept[0].count() > 4500 and kept[1].count() < 110 + 4600 / 64 + 10
+
+
 def test_depth_filter_switch(spark):
     pdf = pd.concat([_walk(600, 9).assign(ticker="DEEP"), _walk(100, 10).assign(ticker="SHALLOW")])
     sdf = _frame(spark, pdf)
