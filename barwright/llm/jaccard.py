@@ -15,8 +15,10 @@ paired with each other: first each class is compared with one class, the lead of
 signatures; then each round compares them with a few leads of the signature (1, 4, 16, ...)
 and goes on only where members of different components are left; what a long list holds beyond
 its first lead is compared by the members' differences to that lead (``by_difference``).  So a
-group of n near copies costs about n comparisons, yet no link between components is lost.  Candidates are verified on
-the whole shingle sets (64-bit hashes of the words).  That gives components; ``links_of`` leaves
+group of n near copies costs about n comparisons, yet no link between components is lost.  Pairs that sizes and parity
+sketches do not rule out are verified on the whole shingle
+sets (64-bit hashes of the words), which are read from the texts again for these pairs only
+(``Sets``): a set has about twice the bytes of its text.  That gives components; ``links_of`` leaves
 nothing out and gives every link and the number of links per class, at the price of all pairs
 of a group.
 
@@ -28,7 +30,7 @@ empty result."""
 from __future__ import annotations
 
 import gc
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -246,24 +248,25 @@ def hash_filter(hashes: DataFrame) -> bytes:
     rows = hashes.groupBy(F.bitmap_bucket_number(spot).alias("n")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits"))
     out = bytearray((1 << FILTER_BITS) // 8)
-    for r in rows.toLocalIterator():  # at most 2**FILTER_BITS / 32768 rows of 4 KB
+    for r in rows.collect():  # at most 2**FILTER_BITS / 32768 rows of 4 KB
         at = (r["n"] - 1) * 4096
         out[at:at + len(r["bits"])] = r["bits"]
     return bytes(out)
 
 
-def sets_of(docs: DataFrame, k: int, bands: Bands, text_col: str, bits: bytes) -> DataFrame:
-    """(key, items, sketch, src) of the texts that the filter lets through, once per task ``src`` and key; a
-    key that comes from several tasks has the same items in each."""
+def sets_of(docs: DataFrame, k: int, text_col: str, bits: bytes, made: Callable[[np.ndarray], list], schema: str) -> DataFrame:
+    """(key, h, n, ..., src) of the texts that the filter lets through, once per task ``src`` and key: hash
+    of the text, size of the set and the columns (arrays of longs, ``schema``) that ``made`` has of
+    the set; a key that comes from several tasks has the same set in each."""
     held = docs.sparkSession.sparkContext.broadcast(bits)
-    names = ["key", "items", "sketch"]
-    lists = pa.list_(pa.int64())
+    schema = f"key long, h long, n long, {schema}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, held_keys, have = set(), set(), held.value
+        names = [c.split()[0] for c in schema.split(", ")]
         for b in batches:
             for at in range(0, b.num_rows, 500):
-                keys, sets, marks = [], [], []
+                rows = []
                 for t in b.column(0).slice(at, 500).to_pylist():
                     h = text_hash(t)
                     spot = h % (1 << FILTER_BITS)
@@ -271,29 +274,51 @@ def sets_of(docs: DataFrame, k: int, bands: Bands, text_col: str, bits: bytes) -
                         seen.add(h)
                         if (name := set_key(s)) not in held_keys:
                             held_keys.add(name)
-                            keys.append(name)
-                            sets.append(s.astype(np.int64))
-                            marks.append(sketch(s, bands))
-                if keys:
-                    yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(sets, lists), pa.array(marks, lists)], names)
+                            rows.append((name, h, len(s), *made(s)))
+                if rows:
+                    columns = [pa.array(list(c), pa.int64() if i < 3 else pa.list_(pa.int64())) for i, c in enumerate(zip(*rows))]
+                    yield pa.RecordBatch.from_arrays(columns, names)
     return (docs.select(F.col(text_col).cast("string").alias("_t"))
-            .mapInArrow(run, "key long, items array<long>, sketch array<long>").withColumn("src", F.spark_partition_id()))
+            .mapInArrow(run, schema).withColumn("src", F.spark_partition_id()))
 
 
 def single(sets: DataFrame) -> DataFrame:
-    """(key, n, items, sketch), each key once: copies of a text lie in many tasks, and each of them would be
+    """Rows of ``sets_of``, each key once: copies of a text lie in many tasks, and each of them would be
     sent wherever its set is needed.  Only the keys that occur twice are looked up; sets stay where
     they are as long as those keys are few enough to broadcast."""
     twice = written(sets.groupBy("key").agg(F.count("*").alias("n"), F.min("src").alias("keep")).where("n > 1")
                     .select("key", "keep"), "twice")
     return (sets.join(if_small(twice, twice.count(), BROADCAST_KEYS), "key", "left")
-            .where("keep is null or keep = src").select("key", F.size("items").alias("n"), "items", "sketch"))
+            .where("keep is null or keep = src").drop("keep", "src"))
 
 
-def plausible(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+class Sets:
+    """The classes of an index: ``marks`` (key, h, n, sketch) of all, their sets on demand.
+
+    Most classes share a signature with another by chance and never meet a plausible partner, so
+    their sets are not kept: ``of`` makes those asked for from one text of each class."""
+
+    def __init__(self, docs: DataFrame, k: int, bands: Bands, text_col: str, texts: DataFrame):
+        """``texts``: h, the hash of one text of each class."""
+        self.docs, self.k, self.text_col = docs, k, text_col
+        made = lambda s: [sketch(s, bands)]
+        found = sets_of(docs, k, text_col, hash_filter(texts), made, "sketch array<long>")
+        self.marks = written(single(written(found, "marks")), "marks")
+
+    def of(self, keys: DataFrame) -> DataFrame:
+        """(key, items) of the distinct ``keys``."""
+        need = written(keys.join(self.marks.select("key", "h"), "key"), "needed")
+        found = sets_of(self.docs, self.k, self.text_col, hash_filter(need.select("h")),
+                        lambda s: [s.astype(np.int64)], "items array<long>")
+        if need.count() <= BROADCAST_KEYS:  # else what the filter lets through beside them stays
+            found = found.join(F.broadcast(need.select("key")), "key", "left_semi")
+        return single(written(found.drop("h", "n"), "sets"))
+
+
+def plausible(pairs: DataFrame, marks: DataFrame, p: int, q: int) -> DataFrame:
     """The pairs (a, b) that their sizes and sketches do not rule out; no link is lost.  A sketch has
     about a fortieth of its set's bytes, so pairs far from a link cost little."""
-    marks = sets.select("key", "n", "sketch")
+    marks = marks.select("key", "n", "sketch")
     met = (pairs.join(marks.withColumnsRenamed({"key": "a", "n": "na", "sketch": "sa"}), "a")
            .join(marks.withColumnsRenamed({"key": "b", "n": "nb", "sketch": "sb"}), "b")
            .where(q * F.least("na", "nb") >= p * F.greatest("na", "nb")).select("a", "b", F.expr("na + nb").alias("s"), "sa", "sb"))
@@ -315,20 +340,23 @@ def plausible(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     return met.mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: Sets, p: int, q: int) -> DataFrame:
     """The pairs (a, b) whose sets reach p/q.
 
     The sets of the b are dealt over partitions, and the set of an a goes once to each partition
     that holds any of its b (not once per pair), so a lead's set is sent to its list at most once
     per partition.  A task holds the sets of its partition."""
     n = partitions(pairs.sparkSession)
-    pairs, sets = written(plausible(pairs, sets, p, q), "plausible"), sets.select("key", "items")
+    pairs = written(plausible(pairs, sets.marks, p, q), "plausible")
+    if pairs.isEmpty():
+        return pairs
+    ends = sets.of(pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct())
     place = lambda c: F.pmod(F.xxhash64(F.col(c)), F.lit(n)).cast("int")
     none = lambda t: F.lit(None).cast(t)
     placed = pairs.select(place("b").alias("p"), "a", "b")
     need = written(placed.select("p", "a").union(placed.select("p", F.col("b").alias("a"))).distinct(), "need")
     need = if_small(need, need.count(), BROADCAST_KEYS)  # else the sets are shuffled too
-    sent = need.join(sets.withColumnRenamed("key", "a"), "a").select("p", F.lit(0).alias("kind"), "a", none("long").alias("b"), "items")
+    sent = need.join(ends.withColumnRenamed("key", "a"), "a").select("p", F.lit(0).alias("kind"), "a", none("long").alias("b"), "items")
     rows = sent.union(placed.select("p", F.lit(1), "a", "b", none("array<long>")))
     dealt = rows.repartitionById(n, F.col("p")).sortWithinPartitions("kind")
 
@@ -398,7 +426,7 @@ def merged(comp: DataFrame | None, links: DataFrame) -> DataFrame:
     return written(moved.union(fresh), "labels")
 
 
-def by_difference(dense: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+def by_difference(dense: DataFrame, sets: Sets, p: int, q: int) -> DataFrame:
     """Candidate pairs (a, b) among the members of long signature lists, by their differences to
     the list's lead; ``dense``: (lead, key, comp).
 
@@ -407,11 +435,9 @@ def by_difference(dense: DataFrame, sets: DataFrame, p: int, q: int) -> DataFram
     component), a link of x and y needs a common element of D(x) and D(y), and at least
     (G(x) + G(y)) / 2 of them, G(x) = |D(x)| - |x| (q - p) / (q + p).  So differences are joined by
     their rarest elements only (prefix filter), and near copies that are no links are not paired."""
-    some = dense.select(F.col("lead").alias("key")).union(dense.select("key")).distinct()
-    some = written(some, "held")
-    sets = written(sets.select("key", "items").join(if_small(some, some.count(), BROADCAST_KEYS), "key", "left_semi"), "some")
-    d = (dense.join(sets.withColumnsRenamed({"key": "lead", "items": "x"}), "lead")
-         .join(sets.withColumnRenamed("items", "y"), "key")
+    some = sets.of(dense.select(F.col("lead").alias("key")).union(dense.select("key")).distinct())
+    d = (dense.join(some.withColumnsRenamed({"key": "lead", "items": "x"}), "lead")
+         .join(some.withColumnRenamed("items", "y"), "key")
          .select("lead", "key", "comp", F.size("x").alias("lead_size"), F.size("y").alias("size"),
                  F.array_union(F.array_except("x", "y"), F.array_except("y", "x")).alias("diff"))
          .withColumn("n", F.size("diff")))
@@ -433,17 +459,15 @@ def by_difference(dense: DataFrame, sets: DataFrame, p: int, q: int) -> DataFram
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
-def indexed(docs: DataFrame, ids: DataFrame, k: int, percent: int, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """(sig, key, probe) of the signatures that several classes hold, and (key, n, items, sketch) of those
-    classes; ``ids``: the keyed documents."""
+def indexed(docs: DataFrame, ids: DataFrame, k: int, percent: int, text_col: str) -> tuple[DataFrame, Sets]:
+    """(sig, key, probe) of the signatures that several classes hold, and those classes; ``ids``:
+    the keyed documents."""
     bands = Bands(percent, 100)
     rows = written(shared(signed(docs, k, bands, text_col)), "signatures")
     released(docs.sparkSession)
-    # sets of the classes that share a signature, from one text of each class
     texts = (ids.groupBy("_key").agg(F.min("_text").alias("h"))
              .join(rows.select(F.col("key").alias("_key")).distinct(), "_key", "left_semi").select("h"))
-    sets = written(sets_of(docs, k, bands, text_col, hash_filter(texts)), "sets")
-    return rows, written(single(sets), "sets")
+    return rows, Sets(docs, k, bands, text_col, texts)
 
 
 def links_of(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
@@ -501,16 +525,17 @@ def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text
                 .withColumn("hi", F.max("comp").over(by)).withColumn("any", F.max("probe").over(by))
                 .where((F.col("lo") != F.col("hi")) & F.col("any")).drop("lo", "hi", "any"))
         held = written(held, "members")
+        if held.isEmpty():
+            break
         heads = held.where((F.col("rank") <= done + lead) & F.col("probe")).select(
             "sig", F.col("key").alias("lead"), F.col("rank").alias("first"), F.col("comp").alias("lead_comp"))
         pairs = (held.join(heads, "sig").where((F.col("rank") > F.col("first")) & (F.col("comp") != F.col("lead_comp")))
                  .select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct())
         pairs = written(pairs, "pairs")
-        if pairs.isEmpty():
-            break
-        found = written(verified(pairs, sets, p, q), "links")
-        if not found.isEmpty():
-            comp = merged(comp, found)
+        if not pairs.isEmpty():
+            found = written(verified(pairs, sets, p, q), "links")
+            if not found.isEmpty():
+                comp = merged(comp, found)
         done, lead = done + lead, 4 * lead
         rows = held.drop("comp")
         released(docs.sparkSession)

@@ -110,6 +110,38 @@ def test_jaccard_links_of_nothing(docs):
     assert links.count() == counts.count() == 0
 
 
+def _common_passage(spark):
+    """Texts that share most words, and so signatures, but no link; one of them has two near copies."""
+    common = " ".join(f"c{i}" for i in range(30))
+    rows = [(i, f"{common} " + " ".join(f"w{i}x{j}" for j in range(10))) for i in range(200)]
+    long = " ".join(f"v{j}" for j in range(60))
+    rows += [(200, f"{common} {long}"), (201, f"{common} {long} end"), (202, f"{common} {long} end"), (203, f"first {common} {long}")]
+    return rows, spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+
+
+def _written_rows(monkeypatch):
+    """(name, rows) of every table that the join writes."""
+    from barwright.llm import text
+    rows = []
+
+    def written(df, name):
+        out = text.written(df, name)
+        rows.append((name, out.count()))
+        return out
+    monkeypatch.setattr(jaccard, "written", written)
+    return rows
+
+
+def test_jaccard_keeps_sets_of_plausible_pairs_only(spark, monkeypatch):
+    rows, docs = _common_passage(spark)
+    made = _written_rows(monkeypatch)
+    got = [(r.doc_id, r.n_shingles, r.component_id) for r in jaccard.components_of(docs, 3, 90).collect()]
+    assert _key(got) == _key((d, n, c) for (d, _), (n, c) in zip(rows, b.components(rows, 3, 90)))
+    assert max(n for name, n in made if name == "signatures") > 200  # they do meet by signature
+    # 201 and 202 are one set, held once per task at most
+    assert 0 < sum(n for name, n in made if name == "sets") <= 4
+
+
 def test_html():
     page = ("<html><head><title>x</title><script>var a='</p>';</script></head><body><nav><ul><li>Home</li><li>About</li></ul></nav>"
             "<div class='cookie-notice'>We use cookies on this site a lot.</div><article><h1>T &amp; U</h1><p>One <b>two\n three.<br><p>Four.</p>"
