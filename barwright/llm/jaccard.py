@@ -15,8 +15,8 @@ paired with each other: first each class is compared with one class, the lead of
 signatures; then each round compares them with a few leads of the signature (1, 4, 16, ...)
 and goes on only where members of different components are left; what a long list holds beyond
 its first lead is compared by the members' differences to that lead (``by_difference``).  So a
-group of n near copies costs about n comparisons, yet no link between components is lost.  Pairs that sizes and parity
-sketches do not rule out are verified on the whole shingle
+group of n near copies costs about n comparisons, yet no link between components is lost.  Pairs whose sizes or
+parity sketches rule a link out are not made; what is left is verified on the whole shingle
 sets (64-bit hashes of the words), which are read from the texts again for these pairs only
 (``Sets``): a set has about twice the bytes of its text.  That gives components; ``links_of`` leaves
 nothing out and gives every link and the number of links per class, at the price of all pairs
@@ -35,7 +35,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barwright.llm.hashing import U64, mixed, shingle_hashes, word_hashes
@@ -46,6 +46,8 @@ from barwright.session import ensure_checkpoint_dir
 FILTER_BITS = 24
 #: (partition, class) rows of 16 bytes that are broadcast to the sets at most
 BROADCAST_KEYS = 1_000_000
+#: 64-bit words of the sketch of fixed size that pairs are made by
+BRIEF = 8
 #: signatures whose further probes lie in more components than this are compared by differences to their lead
 LONG = 64
 
@@ -150,15 +152,20 @@ def signatures(s: np.ndarray, bands: Bands, cache: dict) -> tuple[np.ndarray, np
     return np.concatenate(sigs), np.concatenate(probes)
 
 
-def sketch(s: np.ndarray, bands: Bands) -> np.ndarray:
-    """Parities of the elements per bin, as 64-bit words; a power of two of them, at least 8 bins
-    for each element in which a linked set may differ.  Each differing element flips one bin, so
+def parities(s: np.ndarray, words: int) -> np.ndarray:
+    """Parities of the elements per bin, as 64-bit words.  Each differing element flips one bin, so
     two sets differ in at least as many elements as their parities do in bins."""
+    odd = np.bincount((s % U64(words * 64)).astype(np.int64), minlength=words * 64) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+
+
+def sketch(s: np.ndarray, bands: Bands) -> np.ndarray:
+    """Parities of a power of two of words, at least 8 bins for each element in which a linked set
+    may differ."""
     words = 4
     while words * 64 < 8 * bands.bound(len(s)):
         words *= 2
-    odd = np.bincount((s % U64(words * 64)).astype(np.int64), minlength=words * 64) & 1
-    return np.packbits(odd.astype(np.uint8), bitorder="little").view("<i8")
+    return parities(s, words)
 
 
 def folded(x: np.ndarray, words: int) -> np.ndarray:
@@ -293,7 +300,7 @@ def single(sets: DataFrame) -> DataFrame:
 
 
 class Sets:
-    """The classes of an index: ``marks`` (key, h, n, sketch) of all, their sets on demand.
+    """The classes of an index: ``marks`` (key, h, n, sketch, brief) of all, their sets on demand.
 
     Most classes share a signature with another by chance and never meet a plausible partner, so
     their sets are not kept: ``of`` makes those asked for from one text of each class."""
@@ -301,8 +308,8 @@ class Sets:
     def __init__(self, docs: DataFrame, k: int, bands: Bands, text_col: str, texts: DataFrame):
         """``texts``: h, the hash of one text of each class."""
         self.docs, self.k, self.text_col = docs, k, text_col
-        made = lambda s: [sketch(s, bands)]
-        found = sets_of(docs, k, text_col, hash_filter(texts), made, "sketch array<long>")
+        made = lambda s: [sketch(s, bands), parities(s, BRIEF)]
+        found = sets_of(docs, k, text_col, hash_filter(texts), made, "sketch array<long>, brief array<long>")
         self.marks = written(single(written(found, "marks")), "marks")
 
     def of(self, keys: DataFrame) -> DataFrame:
@@ -315,6 +322,14 @@ class Sets:
         return single(written(found.drop("h", "n"), "sets"))
 
 
+def possible(x: tuple[str, str], y: tuple[str, str], p: int, q: int) -> Column:
+    """Whether the sizes and parities of fixed size (names of ``n`` and ``brief``) leave room for a
+    link.  As a condition of the join that makes pairs it keeps it from making the others."""
+    (n, brief), (m, other) = x, y
+    far = sum((F.bit_count(F.col(brief)[i].bitwiseXOR(F.col(other)[i])) for i in range(BRIEF)), F.lit(0))
+    return (q * F.least(n, m) >= p * F.greatest(n, m)) & ((p + q) * far <= (q - p) * (F.col(n) + F.col(m)))
+
+
 def plausible(pairs: DataFrame, marks: DataFrame, p: int, q: int) -> DataFrame:
     """The pairs (a, b) that their sizes and sketches do not rule out; no link is lost.  A sketch has
     about a fortieth of its set's bytes, so pairs far from a link cost little."""
@@ -482,8 +497,10 @@ def links_of(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_
     ensure_checkpoint_dir(docs.sparkSession)
     ids = written(keyed(docs, k, id_col, text_col, []), "classes")
     rows, sets = indexed(docs, ids, k, percent, text_col)
-    one, two = rows.withColumnsRenamed({"key": "a", "probe": "pa"}), rows.withColumnsRenamed({"key": "b", "probe": "pb"})
-    pairs = written(one.join(two, "sig").where((F.col("a") < F.col("b")) & (F.col("pa") | F.col("pb")))
+    rows = rows.join(sets.marks.select("key", "n", "brief"), "key")
+    one, two = (rows.withColumnsRenamed({"key": x, "probe": f"p{x}", "n": f"n{x}", "brief": f"s{x}"}) for x in "ab")
+    pairs = written(one.join(two, "sig").where((F.col("a") < F.col("b")) & (F.col("pa") | F.col("pb"))
+                                               & possible(("na", "sa"), ("nb", "sb"), percent, 100))
                     .select("a", "b").distinct(), "pairs")
     links = written(verified(pairs, sets, percent, 100), "links")
     held = written(ids.where(F.col("_key").isNotNull()).groupBy(F.col("_key").alias("class_key")).agg(
@@ -500,6 +517,7 @@ def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text
     """(key, comp) of the classes that have links; ``ids``: the keyed documents."""
     p, q = percent, 100
     rows, sets = indexed(docs, ids, k, percent, text_col)
+    brief = sets.marks.select("key", "n", "brief")
     by = Window.partitionBy("sig")
     # ranks with probes first: pairs of two that only index need no comparison
     # ... and then members of many and long lists: the least edited copies lead all lists they are in
@@ -529,7 +547,10 @@ def class_components(docs: DataFrame, ids: DataFrame, k: int, percent: int, text
             break
         heads = held.where((F.col("rank") <= done + lead) & F.col("probe")).select(
             "sig", F.col("key").alias("lead"), F.col("rank").alias("first"), F.col("comp").alias("lead_comp"))
-        pairs = (held.join(heads, "sig").where((F.col("rank") > F.col("first")) & (F.col("comp") != F.col("lead_comp")))
+        far = heads.join(brief.withColumnsRenamed({"key": "lead", "n": "lead_n", "brief": "lead_brief"}), "lead")
+        pairs = (held.join(brief, "key").join(far, "sig")
+                 .where((F.col("rank") > F.col("first")) & (F.col("comp") != F.col("lead_comp"))
+                        & possible(("n", "brief"), ("lead_n", "lead_brief"), p, q))
                  .select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct())
         pairs = written(pairs, "pairs")
         if not pairs.isEmpty():

@@ -142,6 +142,36 @@ def test_jaccard_keeps_sets_of_plausible_pairs_only(spark, monkeypatch):
     assert 0 < sum(n for name, n in made if name == "sets") <= 4
 
 
+def test_jaccard_makes_possible_pairs_only(spark, monkeypatch):
+    rows, docs = _common_passage(spark)
+    made = _written_rows(monkeypatch)
+    got = [(r.doc_id, r.component_id) for r in jaccard.components_of(docs, 3, 90).collect()]
+    assert _key(got) == _key((d, c) for (d, _), (_, c) in zip(rows, b.components(rows, 3, 90)))
+    pairs = [n for name, n in made if name == "pairs"]
+    # each class meets one lead; then only pairs that their sizes and parities leave room for
+    assert len(pairs) > 1 and pairs[0] <= len(rows) and sum(pairs[1:]) <= 3
+    made.clear()
+    links, _ = jaccard.links_of(docs, 3, 90)
+    assert {(r.id_a, r.id_b) for r in links.collect()} | {(r.id_b, r.id_a) for r in links.collect()} == {
+        (x, y) for x in (200, 201, 203) for y in (200, 201, 203) if x != y}
+    assert [n for name, n in made if name == "pairs"] == [3]
+
+
+def test_parities_of_fixed_size_never_rule_out_a_link(spark):
+    rng = np.random.default_rng(5)
+    for n in (1, 4, 70, 900, 5000):
+        for gone in (0, 1, n // 20, n // 10):
+            x = np.unique(rng.integers(0, 2**64, n, dtype=np.uint64))
+            y = np.unique(np.concatenate((x[gone:], rng.integers(0, 2**64, n // 20 - gone // 2, dtype=np.uint64))))
+            if not len(y):
+                continue
+            cols = {"n": len(x), "s": jaccard.parities(x, jaccard.BRIEF).tolist(), "m": len(y), "t": jaccard.parities(y, jaccard.BRIEF).tolist()}
+            same = len(np.intersect1d(x, y))
+            if 100 * same >= 90 * (len(x) + len(y) - same):
+                df = spark.createDataFrame([tuple(cols.values())], "n long, s array<long>, m long, t array<long>")
+                assert df.where(jaccard.possible(("n", "s"), ("m", "t"), 90, 100)).count() == 1
+
+
 def test_html():
     page = ("<html><head><title>x</title><script>var a='</p>';</script></head><body><nav><ul><li>Home</li><li>About</li></ul></nav>"
             "<div class='cookie-notice'>We use cookies on this site a lot.</div><article><h1>T &amp; U</h1><p>One <b>two\n three.<br><p>Four.</p>"
